@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
+from ratingloom.operators.joins import hot_keys, salted_join
+from ratingloom.operators.preparation import counts
 from ratingloom.operators.vectors import ItemFactors, matrix, vector_lists
 
 _SCHEMA = "userId INT, features ARRAY<DOUBLE>, n_items BIGINT"
@@ -31,9 +33,12 @@ def combine(ratings: DataFrame) -> DataFrame:
 def probe(ratings: DataFrame, items: ItemFactors) -> DataFrame:
     """Rating rows with a flag ``known``: whether their movie has an item vector."""
     ids = items.table.select("movieId", F.lit(True).alias("known"))
-    if items.packed is not None:
-        ids = F.broadcast(ids)  # size checked when the factors were packed
-    return ratings.join(ids, "movieId", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    if items.packed is not None:  # size checked when the factors were packed
+        joined = ratings.join(F.broadcast(ids), "movieId", "left").select(*ratings.columns, "known")
+    else:
+        hot = hot_keys(counts(ratings, "movieId"), "movieId")
+        joined = salted_join(ratings, ids, "movieId", hot, ["userId"], "left")
+    return joined.withColumn("known", F.coalesce("known", F.lit(False)))
 
 
 def fold_in(ratings: DataFrame, items: ItemFactors, reg: float = fixed.FOLD_IN_REG) -> DataFrame:
@@ -49,7 +54,9 @@ def fold_in(ratings: DataFrame, items: ItemFactors, reg: float = fixed.FOLD_IN_R
         rows = pairs.select("userId", "movieId", "n", "total")
         catalogue = items.packed
     else:
-        rows = pairs.join(items.table, "movieId").select("userId", "n", "total", "features")
+        hot = hot_keys(counts(pairs, "movieId"), "movieId")
+        joined = salted_join(pairs, items.table, "movieId", hot, ["userId"])
+        rows = joined.select("userId", "n", "total", "features")
         catalogue = None
     by_user = rows.repartition("userId").sortWithinPartitions("userId")
     rank = items.rank

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
+from ratingloom.operators.joins import hot_keys, salted_join
 from ratingloom.operators.positions import dense_ids
 from ratingloom.operators.quantiles import approx_quantile, exact_quantile
 
@@ -34,13 +35,15 @@ def active_only(
 ) -> DataFrame:
     """Ratings of users and movies with enough ratings, both counted on the input.
 
-    The counts side of each semi join is small next to the ratings; AQE turns it
-    into a broadcast when its measured size allows and otherwise splits the
-    partition of a hot user or movie.
+    The counts that decide who stays also name the hot users and movies, whose
+    ratings are spread over several tasks.
     """
-    users = counts(ratings, "userId").filter(F.col("count") >= min_user).select("userId")
-    movies = counts(ratings, "movieId").filter(F.col("count") >= min_movie).select("movieId")
-    return ratings.join(users, "userId", "left_semi").join(movies, "movieId", "left_semi").select(*ratings.columns)
+    kept = ratings
+    for key, other, enough in (("userId", "movieId", min_user), ("movieId", "userId", min_movie)):
+        sizes = counts(ratings, key)
+        active = sizes.filter(F.col("count") >= enough).select(key)
+        kept = salted_join(kept, active, key, hot_keys(sizes, key), [other], "left_semi")
+    return kept
 
 
 @dataclass(frozen=True)
@@ -58,7 +61,11 @@ class IdMappings:
         )
 
     def rekey(self, ratings: DataFrame) -> DataFrame:
-        """Ratings under dense ids. Rows without a mapping drop out."""
+        """Ratings under dense ids. Rows without a mapping drop out.
+
+        Both sides of each join come straight out of a shuffle and the next step
+        shuffles again or writes, so AQE splits the partition of a hot id.
+        """
         rest = [name for name in ratings.columns if name not in ("userId", "movieId")]
         return (
             ratings.join(self.users, "userId")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
 from ratingloom.functions import guarded_ratio, ideal_dcg, is_good
+from ratingloom.operators.joins import hot_keys, salted_join
+from ratingloom.operators.preparation import counts
 
 
 def top_k_per_user(predictions: DataFrame, k: int = fixed.METRIC_K, ties: bool = True) -> DataFrame:
@@ -35,10 +37,37 @@ def ranked_labels(
     return top_k_per_user(labelled, k)
 
 
+def ranked_groups(
+    predictions: DataFrame, k: int = fixed.METRIC_K, threshold: float = fixed.GOOD_RATING
+) -> DataFrame:
+    """The rows of :func:`ranked_labels`, equal predictions of a user folded into one row.
+
+    Columns ``(userId, prediction, items, good, rank)``. Equal predictions share
+    their rank, so counts of all and of good items say as much as the rows do, and
+    a user with any number of copies has one row per copy group. At most ``k``
+    groups per user reach the rank computation.
+    """
+    groups = (
+        predictions.filter("prediction IS NOT NULL")
+        .groupBy("userId", "prediction")
+        .agg(F.count("*").alias("items"), F.sum(is_good(F.col("rating"), threshold)).alias("good"))
+    )
+    best_first = Window.partitionBy("userId").orderBy(F.col("prediction").desc())
+    before = best_first.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        groups.withColumn("place", F.row_number().over(best_first))
+        .filter(F.col("place") <= k)
+        .withColumn("rank", F.coalesce(F.sum("items").over(before), F.lit(0)) + 1)
+        .filter(F.col("rank") <= k)
+        .drop("place")
+    )
+
+
 def user_hits(ranked: DataFrame) -> DataFrame:
-    """Per user whether a good item is among the ranked ones, and the DCG of the list."""
-    gain = F.col("is_good_item") / F.log2(F.col("rank") + 1)
-    return ranked.groupBy("userId").agg(F.max("is_good_item").alias("has_hit"), F.sum(gain).alias("dcg"))
+    """Per user of :func:`ranked_groups`: whether a good item is in the list, and its DCG."""
+    gain = F.col("good") / F.log2(F.col("rank") + 1)
+    hit = F.max(F.when(F.col("good") > 0, 1).otherwise(0))
+    return ranked.groupBy("userId").agg(hit.alias("has_hit"), F.sum(gain).alias("dcg"))
 
 
 def good_items(test: DataFrame, threshold: float = fixed.GOOD_RATING) -> DataFrame:
@@ -93,4 +122,5 @@ def rmse(predictions: DataFrame) -> DataFrame:
 def item_mean_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
     """Test ratings with the train mean of their movie; unknown movies drop out."""
     means = train.groupBy("movieId").agg(F.avg("rating").alias("prediction"))
-    return test.join(means, "movieId").select(*test.columns, "prediction")
+    hot = hot_keys(counts(test, "movieId"), "movieId")
+    return salted_join(test, means, "movieId", hot, ["userId"])

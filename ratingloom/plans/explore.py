@@ -35,30 +35,21 @@ def movies_per_release_year(movies: DataFrame) -> DataFrame:
     return counts(dated, "ReleaseYear").orderBy("ReleaseYear")
 
 
-def _distinct_total(ratings: DataFrame, key: str, name: str) -> DataFrame:
-    return ratings.select(key).distinct().agg(F.count(key).alias(name))
-
-
 def dataset_totals(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """One row: ratings, movies in the catalogue, users who rated."""
-    return ratings.agg(F.count("*").alias("ratings")).select(
-        "ratings",
-        movies.agg(F.count("*")).scalar().alias("movies"),
-        _distinct_total(ratings, "userId", "users").scalar().alias("users"),
-    )
+    """One row: ratings, movies in the catalogue, users who rated. One pass over the ratings."""
+    per_user = counts(ratings, "userId").agg(F.sum("count").alias("ratings"), F.count("*").alias("users"))
+    return per_user.select("ratings", movies.agg(F.count("*")).scalar().alias("movies"), "users")
 
 
 def matrix_sparsity(ratings: DataFrame) -> DataFrame:
     """One row: share of the user-movie matrix without a rating, in percent.
 
-    The two distinct counts are separate aggregates; ``count_distinct`` of both
+    Users and movies are counted in separate aggregates; ``count_distinct`` of both
     in one would expand every rating into two rows.
     """
-    sizes = ratings.agg(F.count("*").alias("ratings")).select(
-        "ratings",
-        _distinct_total(ratings, "userId", "users").scalar().alias("users"),
-        _distinct_total(ratings, "movieId", "movies").scalar().alias("movies"),
-    )
+    per_user = counts(ratings, "userId").agg(F.sum("count").alias("ratings"), F.count("*").alias("users"))
+    movies = counts(ratings, "movieId").agg(F.count("*")).scalar()
+    sizes = per_user.select("ratings", "users", movies.alias("movies"))
     filled = F.try_divide(F.col("ratings").cast("double"), F.col("users") * F.col("movies"))
     return sizes.withColumn("sparsity_percent", (1.0 - filled) * 100)
 

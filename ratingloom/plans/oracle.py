@@ -562,11 +562,10 @@ ORACLES: dict[str, str] = {
         "titled",
     ),
     "recs_last_n": _sql(
-        """SELECT userId, string_agg(CAST(movieId AS VARCHAR), '|' ORDER BY movieId) AS movies FROM (
-               SELECT userId, movieId, row_number() OVER (PARTITION BY userId ORDER BY movieId DESC) AS place
-               FROM (SELECT DISTINCT userId, movieId FROM ratings))
-           WHERE place <= 10 GROUP BY userId""",
-        "ratings",
+        """SELECT userId, string_agg(CAST(movieId AS VARCHAR), '|' ORDER BY place) AS movies
+           FROM (SELECT *, max(place) OVER (PARTITION BY userId) AS last FROM favourites)
+           WHERE place > last - 5 GROUP BY userId""",
+        "favourites",
     ),
     "movie_catalogue": _sql("SELECT movieId, title, genres, tmdbId FROM catalogue", "catalogue"),
     "movie_lookup": _sql(

@@ -22,6 +22,7 @@ from ratingloom.operators.ranking import (
     hit_rate,
     item_mean_predictions,
     ndcg,
+    ranked_groups,
     ranked_labels,
     rmse,
     top_k_per_user,
@@ -327,11 +328,11 @@ def approximate_split(spark, folder):
     """Whether the sketched split point lies within the error it promises."""
     ratings = _active(spark, folder)
     point = split_point(ratings).scalar()
-    below = F.avg((F.col("timestamp") < point).cast("double"))
-    up_to = F.avg((F.col("timestamp") <= point).cast("double"))
-    error = 1.0 / fixed.SPLIT_ACCURACY
-    wanted = fixed.SPLIT_QUANTILE
-    return ratings.agg(((below - error <= wanted) & (up_to + error >= wanted)).alias("within_error"))
+    placed = ratings.select((F.col("timestamp") < point).alias("below"), (F.col("timestamp") <= point).alias("up_to"))
+    shares = placed.agg(*[F.avg(F.col(name).cast("double")).alias(name) for name in placed.columns])
+    error, wanted = 1.0 / fixed.SPLIT_ACCURACY, fixed.SPLIT_QUANTILE
+    within = (F.col("below") - error <= wanted) & (F.col("up_to") + error >= wanted)
+    return shares.select(within.alias("within_error"))
 
 
 # --- evaluation --------------------------------------------------------------
@@ -359,7 +360,7 @@ def topk_without_ties(spark, folder):
 @query
 def user_hits_and_dcg(spark, folder):
     predictions, _ = _predictions(spark, folder)
-    return user_hits(ranked_labels(predictions)).withColumn("dcg", F.round("dcg", 6))
+    return user_hits(ranked_groups(predictions)).withColumn("dcg", F.round("dcg", 6))
 
 
 @query
@@ -393,20 +394,20 @@ def baseline_rmse(spark, folder):
 @query
 def hit_rate_at_10(spark, folder):
     predictions, test = _predictions(spark, folder)
-    rates = hit_rate(ranked_labels(predictions), test)
+    rates = hit_rate(ranked_groups(predictions), test)
     return rates.withColumns({name: F.round(name, 6) for name in ("hit_rate", "hit_rate_all_users")})
 
 
 @query
 def ndcg_at_10(spark, folder):
     predictions, test = _predictions(spark, folder)
-    return ndcg(ranked_labels(predictions), test).withColumn("ndcg", F.round("ndcg", 6))
+    return ndcg(ranked_groups(predictions), test).withColumn("ndcg", F.round("ndcg", 6))
 
 
 @query
 def ndcg_per_user(spark, folder):
     predictions, test = _predictions(spark, folder)
-    scores = user_ndcg(ranked_labels(predictions), test)
+    scores = user_ndcg(ranked_groups(predictions), test)
     return scores.select("userId", *[F.round(name, 6).alias(name) for name in ("dcg", "ideal_dcg", "ndcg")])
 
 
@@ -710,10 +711,9 @@ def recs_last_page(spark, folder):
 
 @query
 def recs_last_n(spark, folder):
-    """The last ten of every user's movies in id order; shorter lists stay whole."""
-    rated = tables.ratings(spark, folder).groupBy("userId")
-    lists = rated.agg(F.array_sort(F.collect_set("movieId")).alias("movies"))
-    return lists.select("userId", F.array_join(last_n(F.col("movies")), "|").alias("movies"))
+    """The last five of every user's favourites; shorter lists stay whole."""
+    lists = _favourites(tables.ratings(spark, folder))
+    return _joined(lists.select("userId", last_n(F.col("movies"), 5).alias("movies")), "movies")
 
 
 @query

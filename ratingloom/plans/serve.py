@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
 from ratingloom.functions import last_n
+from ratingloom.operators.joins import hot_keys, salted_join
+from ratingloom.operators.preparation import counts
 
 
 def movie_map(movies: DataFrame, links: DataFrame, order: Column | None = None) -> DataFrame:
@@ -43,7 +45,9 @@ def with_titles(lists: DataFrame, catalogue: DataFrame) -> DataFrame:
     shown = F.transform(
         "ordered", lambda e: F.struct(e["movieId"].alias("movieId"), e["title"].alias("title"))
     )
-    found = entries.join(titled, "movieId").groupBy("user_id").agg(ordered.alias("ordered"))
+    hot = hot_keys(counts(entries, "movieId"), "movieId")  # some movies are in most lists
+    joined = salted_join(entries, titled, "movieId", hot, ["user_id"])
+    found = joined.groupBy("user_id").agg(ordered.alias("ordered"))
     nothing = F.array().cast("array<struct<movieId:int,title:string>>")
     return lists.select("user_id").join(found, "user_id", "left").select(
         "user_id", F.coalesce(shown, nothing).alias("recs")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ratingloom import fixed_values as fixed
 from ratingloom.operators import als
 from ratingloom.operators.preparation import IdMappings, active_only, time_split
-from ratingloom.operators.ranking import hit_rate, ndcg, ranked_labels, rmse
+from ratingloom.operators.ranking import hit_rate, ndcg, ranked_groups, rmse
 from ratingloom.session import scratch_path
 from ratingloom.sources.files import write_mapping
 
@@ -55,7 +55,7 @@ def prepare(
 
 def evaluate(predictions: DataFrame, test: DataFrame, k: int = fixed.METRIC_K) -> DataFrame:
     """One row: RMSE, hit rate and NDCG of test predictions."""
-    ranked = ranked_labels(predictions, k)
+    ranked = ranked_groups(predictions, k)
     return rmse(predictions).select(
         "rmse",
         "scored",
