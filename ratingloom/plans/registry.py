@@ -34,7 +34,13 @@ from ratingloom.operators.vectors import ItemFactors
 from ratingloom.plans import explore
 from ratingloom.plans.publish import publish
 from ratingloom.plans.serve import movie_details, movie_map, shown_page, with_titles
-from ratingloom.plans.train import Prepared, evaluate, predictions_in_original_ids, prepare
+from ratingloom.plans.train import (
+    Prepared,
+    evaluate,
+    predictions_in_original_ids,
+    prepare,
+    stored_predictions,
+)
 from ratingloom.session import scratch_path
 from ratingloom.sources import files, schemas, tables
 from ratingloom.sources import messages as msg
@@ -68,13 +74,13 @@ def _active(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return time_split(_active(spark, folder), exact=True)
+    return time_split(files.staged(_active(spark, folder)), exact=True)
 
 
 def _predictions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(item-mean predictions of the test ratings, test ratings)."""
     train, test = _split(spark, folder)
-    return item_mean_predictions(train, test), test
+    return files.staged(item_mean_predictions(train, test)), test
 
 
 def _parsed(spark: SparkSession, folder: str) -> DataFrame:
@@ -294,13 +300,15 @@ def dense_movie_ids(spark, folder):
 
 @query
 def rekeyed_ratings(spark, folder):
-    return IdMappings.of(_active(spark, folder)).rekey(tables.ratings(spark, folder))
+    active = files.staged(_active(spark, folder))
+    return IdMappings.of(active).rekey(active)
 
 
 @query
 def restored_ids(spark, folder):
-    mappings = IdMappings.of(_active(spark, folder))
-    return mappings.restore(mappings.rekey(tables.ratings(spark, folder)))
+    active = files.staged(_active(spark, folder))
+    mappings = IdMappings.of(active)
+    return mappings.restore(mappings.rekey(active))
 
 
 @query
@@ -614,7 +622,7 @@ def als_rmse(spark, folder):
 @query
 def als_evaluation(spark, folder):
     model, prepared = _fitted(spark, folder)
-    return evaluate(als.predict(model, prepared.test), prepared.test)
+    return evaluate(stored_predictions(model, prepared), prepared.test)
 
 
 @query

@@ -13,7 +13,7 @@ from ratingloom.operators import als
 from ratingloom.operators.preparation import IdMappings, active_only, time_split
 from ratingloom.operators.ranking import hit_rate, ndcg, ranked_groups, rmse
 from ratingloom.session import scratch_path
-from ratingloom.sources.files import write_mapping
+from ratingloom.sources.files import staged
 
 
 @dataclass(frozen=True)
@@ -35,26 +35,26 @@ def prepare(
 ) -> Prepared:
     """Activity filter, dense ids, re-keying and the time-ordered split.
 
-    Mappings and re-keyed ratings are written to ``workspace`` and read back: they
-    feed several later jobs, the filters on time reach the parquet scan, and a
-    lost executor costs a read, not the joins. A rating has both its ids in the
-    mappings exactly when it passes the activity filter, so re-keying reads the
-    unfiltered ratings and the filter is not joined a second time.
+    Each step is written to ``workspace`` because several later jobs read it: the
+    active ratings give both mappings and are re-keyed; the re-keyed ratings give
+    the split point and both parts, with the filter on time in the parquet scan.
     """
-    spark = ratings.sparkSession
-    workspace = workspace or scratch_path(spark, "train")
-    paths = {name: f"{workspace}/{name}.parquet" for name in ("users", "movies", "ratings")}
-    found = IdMappings.of(active_only(ratings, min_user, min_movie))
-    write_mapping(found.users, paths["users"])
-    write_mapping(found.movies, paths["movies"])
-    mappings = IdMappings(spark.read.parquet(paths["users"]), spark.read.parquet(paths["movies"]))
-    mappings.rekey(ratings).write.mode("overwrite").parquet(paths["ratings"])
-    train, test = time_split(spark.read.parquet(paths["ratings"]), split, exact_split)
+    workspace = workspace or scratch_path(ratings.sparkSession, "train")
+    active = staged(active_only(ratings, min_user, min_movie), f"{workspace}/active")
+    found = IdMappings.of(active)
+    mappings = IdMappings(
+        staged(found.users, f"{workspace}/users"), staged(found.movies, f"{workspace}/movies")
+    )
+    rekeyed = staged(mappings.rekey(active), f"{workspace}/ratings")
+    train, test = time_split(rekeyed, split, exact_split)
     return Prepared(mappings, train, test)
 
 
 def evaluate(predictions: DataFrame, test: DataFrame, k: int = fixed.METRIC_K) -> DataFrame:
-    """One row: RMSE, hit rate and NDCG of test predictions."""
+    """One row: RMSE, hit rate and NDCG of test predictions.
+
+    The predictions are read three times; pass a stored or persisted table.
+    """
     ranked = ranked_groups(predictions, k)
     return rmse(predictions).select(
         "rmse",
@@ -64,14 +64,23 @@ def evaluate(predictions: DataFrame, test: DataFrame, k: int = fixed.METRIC_K) -
     )
 
 
-def train_and_evaluate(ratings: DataFrame, workspace: str | None = None, **als_options) -> tuple[ALSModel, Prepared, DataFrame]:
+def train_and_evaluate(
+    ratings: DataFrame, workspace: str | None = None, **als_options
+) -> tuple[ALSModel, Prepared, DataFrame]:
     """(model over dense ids, prepared data, one row of metrics)."""
+    workspace = workspace or scratch_path(ratings.sparkSession, "train")
     prepared = prepare(ratings, workspace)
     model = als.fit(prepared.train, **als_options)
-    predictions = als.predict(model, prepared.test.select("userId", "movieId", "rating"))
+    predictions = stored_predictions(model, prepared, workspace)
     return model, prepared, evaluate(predictions, prepared.test)
 
 
+def stored_predictions(model: ALSModel, prepared: Prepared, workspace: str | None = None) -> DataFrame:
+    """``(userId, movieId, rating, prediction)`` of the test ratings, dense ids, stored."""
+    scored = als.predict(model, prepared.test.select("userId", "movieId", "rating"))
+    return staged(scored, workspace and f"{workspace}/predictions")
+
+
 def predictions_in_original_ids(model: ALSModel, prepared: Prepared) -> DataFrame:
     """``(userId, movieId, rating, prediction)`` of the test ratings."""
     scored = als.predict(model, prepared.test.select("userId", "movieId", "rating"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ratingloom.session import scratch_path
 from ratingloom.sources import schemas
 
 
@@ -50,9 +51,16 @@ def write_factors(factors: DataFrame, path: str) -> None:
     ).write.mode("overwrite").parquet(path)
 
 
-def write_mapping(mapping: DataFrame, path: str) -> None:
-    """Replace a stored id mapping."""
-    mapping.write.mode("overwrite").parquet(path)
+def staged(table: DataFrame, path: str | None = None) -> DataFrame:
+    """``table`` written to ``path`` (or a fresh scratch path) and read back.
+
+    Cuts the lineage of a result that several jobs read: they share one
+    computation, prune columns and push filters into the scan, and a lost executor
+    costs a read.
+    """
+    path = path or scratch_path(table.sparkSession, "stage")
+    table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def land_raw(
