@@ -50,7 +50,7 @@ def fit(
         numItemBlocks=item_blocks,
         checkpointInterval=5,
         intermediateStorageLevel="MEMORY_AND_DISK",
-        finalStorageLevel="MEMORY_AND_DISK",
+        finalStorageLevel="MEMORY_AND_DISK_SER",
         seed=seed,
     )
     return als.fit(train.select("userId", "movieId", "rating"))

@@ -33,7 +33,9 @@ def dense_ids(df: DataFrame, key: str, new_key: str) -> DataFrame:
     """
     _require_int(df, key)
     bucket = F.shiftright(F.col(key), _BUCKET_BITS).alias("bucket")
-    keys = df.select(key).distinct().select(key, bucket)
+    # Stated for both uses of the keys, so that Spark computes them once: the join
+    # below would infer it for one of them only.
+    keys = df.select(key).distinct().select(key, bucket).filter("bucket IS NOT NULL")
     offsets = (
         keys.groupBy("bucket")
         .agg(F.count("*").alias("n"))
@@ -56,7 +58,7 @@ def popularity_positions(
     distinct counts only; counts that differ and sum to N number below sqrt(2N).
     """
     _require_int(counts, key)
-    bucketed = counts.withColumn("bucket", F.shiftright(F.col(key), _BUCKET_BITS))
+    bucketed = counts.withColumn("bucket", F.shiftright(F.col(key), _BUCKET_BITS)).filter("bucket IS NOT NULL")
     buckets = bucketed.groupBy(count, "bucket").agg(F.count("*").alias("n"))
     above = (
         buckets.groupBy(count)

@@ -36,9 +36,10 @@ def active_only(
     """Ratings of users and movies with enough ratings, both counted on the input.
 
     The counts that decide who stays also name the hot users and movies, whose
-    ratings are spread over several tasks.
+    ratings are spread over several tasks. Ids are required up front: stated once,
+    it lets both uses of the counts share one computation.
     """
-    kept = ratings
+    ratings = kept = ratings.dropna(subset=["userId", "movieId"])
     for key, other, enough in (("userId", "movieId", min_user), ("movieId", "userId", min_movie)):
         sizes = counts(ratings, key)
         active = sizes.filter(F.col("count") >= enough).select(key)

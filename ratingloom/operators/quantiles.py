@@ -25,9 +25,7 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
     levels have at most 65,536 rows.
     """
     values = df.groupBy(F.col(column).cast("bigint").alias("value")).agg(F.count("*").alias("n"))
-    values = values.filter("value IS NOT NULL").withColumn(
-        "block", F.shiftright("value", _BUCKET_BITS)
-    )
+    values = values.withColumn("block", F.shiftright("value", _BUCKET_BITS)).filter("block IS NOT NULL")
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     blocks = values.groupBy("block").agg(F.sum("n").alias("n")).select(

@@ -48,7 +48,7 @@ def top_items(
     if k <= 0 or not items.count:
         return users.sparkSession.createDataFrame([], _SCHEMA + ", rank INT")
     if exclude is not None:
-        exclude = exclude.select("userId", "movieId").distinct()
+        exclude = exclude.select("userId", "movieId").dropna().distinct()
     if items.packed is not None:
         candidates = _score_broadcast(users, items, k, exclude)
     else:

@@ -606,6 +606,16 @@ ORACLES: dict[str, str] = {
         extra=[*_solved("history"), _best("solved", 30, "fresh"), *_stored("best")],
         recursive=True,
     ),
+    "stream_refresh_state": _sql(
+        _BEST_SERVED,
+        "history",
+        "item_factors",
+        extra=[*_solved("history"), _best("solved", 30, "fresh"), *_stored("best")],
+        recursive=True,
+    ),
+    "stream_histories": _sql(
+        "SELECT userId, movieId, max(rating) AS rating FROM fresh GROUP BY userId, movieId", "fresh"
+    ),
     "stream_dead_letters": _sql(
         "SELECT value FROM parsed WHERE rating IS NULL OR userId IS NULL OR movieId IS NULL", "parsed"
     ),

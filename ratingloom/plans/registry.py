@@ -46,6 +46,7 @@ from ratingloom.sources import files, schemas, tables
 from ratingloom.sources import messages as msg
 from ratingloom.sources.serving import lookup_many, serving_rows, serving_table
 from ratingloom.sources.versioned import version_of
+from ratingloom.streaming.histories import histories
 from ratingloom.streaming.refresh import (
     LiveRefresh,
     fallback_causes,
@@ -805,6 +806,24 @@ def stream_refresh_history(spark, folder):
     return _joined(latest.select("user_id", "top_10", "source"), "top_10")
 
 
+@query
+def stream_refresh_state(spark, folder):
+    """The same with the histories in the state store."""
+    latest = _run_stream(spark, folder, "state").serving.latest()
+    return _joined(latest.select("user_id", "top_10", "source"), "top_10")
+
+
+@query
+def stream_histories(spark, folder):
+    """Histories as the state store emits them for the users of a micro-batch."""
+    sink, checkpoint = scratch_path(spark, "histories"), scratch_path(spark, "checkpoint")
+    stream = histories(msg.well_formed(msg.parse(tables.message_stream(spark, folder))))
+    writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{sink}/batch_id={n}"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(sink).select("userId", "movieId", "rating")
+
+
 @query
 def stream_dead_letters(spark, folder):
     return spark.read.parquet(_run_stream(spark, folder, "batch").dead_letters).select("value")

@@ -87,7 +87,23 @@ def land_raw(
     raw.filter(~fits).write.mode("overwrite").parquet(rejects)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, on whichever file system the path names."""
+def _file_system(spark: SparkSession, path: str):
+    """The path and its file system as Hadoop objects, whichever system the path names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path, system = _file_system(spark, path)
+    return system.exists(jvm_path)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    jvm_path, system = _file_system(spark, path)
+    return system.getFileStatus(jvm_path).isFile()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with what is in it."""
+    jvm_path, system = _file_system(spark, path)
+    system.delete(jvm_path, True)

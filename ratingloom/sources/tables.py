@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.functions import epoch_seconds
+from ratingloom.sources.files import is_file
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,11 +77,6 @@ def message_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     reader = spark.readStream.schema(events.schema)
     path = f"{folder}/events.parquet"
-    if _is_file(spark, path):  # a file stream watches folders
+    if is_file(spark, path):  # a file stream watches folders
         reader, path = reader.option("pathGlobFilter", "events.parquet"), folder
     return messages_of(reader.parquet(path))
-
-
-def _is_file(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jvm_path).isFile()

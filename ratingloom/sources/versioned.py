@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ratingloom.sources.files import path_exists
+from ratingloom.sources.files import delete_path, path_exists
 
 # Versions of one model generation are consecutive below this number.
 GENERATION = 1 << 32
@@ -98,6 +98,17 @@ class VersionedTable:
         folded.write.mode("overwrite").parquet(f"{self.root}/snapshot/as_of={version}")
         self._point_to(version)
 
+    def expire(self) -> None:
+        """Delete the log versions that the current snapshot contains.
+
+        Readers that opened the table before its last compaction still use them;
+        call this when none is running.
+        """
+        as_of = self.as_of()
+        stored = self.spark.read.schema(self._stored).parquet(f"{self.root}/log").select("version").distinct()
+        for row in stored.filter((F.col("version") >= 0) & (F.col("version") <= as_of)).collect():
+            delete_path(self.spark, f"{self.root}/log/version={row.version}")
+
     def as_of(self) -> int:
         """Version of the current snapshot, -1 before the first."""
         pointer = self.spark.read.schema("as_of BIGINT").parquet(f"{self.root}/pointer")

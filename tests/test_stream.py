@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ratingloom.operators.vectors import ItemFactors
 from ratingloom.sources import messages as msg
 from ratingloom.sources.serving import lookup, serving_table
-from ratingloom.streaming.refresh import LiveRefresh, fallback_causes, online_lists, rating_log, start
+from ratingloom.streaming.refresh import LiveRefresh, fallback_causes, online_lists, rating_log, start, start_dead_letters
 from tests.conftest import rows
 
 RATED = "userId INT, movieId INT, rating FLOAT"
@@ -84,10 +84,11 @@ def served(refresh):
     return {r.user_id: (list(r.top_10), r.source) for r in refresh.serving.latest().collect()}
 
 
-def test_stream_in_batches_equals_the_batch_operator_over_all_ratings(spark, topic, job, items, scratch):
+@pytest.mark.parametrize("scope", ["history", "state"])
+def test_stream_in_batches_equals_the_batch_operator_over_all_ratings(spark, topic, job, items, scratch, scope):
     rng = np.random.default_rng(3)
     sent = [(int(u), int(m), float(r)) for u, m, r in zip(rng.integers(0, 9, 60), rng.integers(0, 45, 60), rng.integers(1, 11, 60) / 2)]
-    latest, refresh, checkpoint = {}, job(), scratch("cp")
+    latest, refresh, checkpoint = {}, job(scope=scope), scratch("cp")
     for part in range(3):
         chunk = sent[part * 20 : part * 20 + 20]
         seen = {}
@@ -99,7 +100,8 @@ def test_stream_in_batches_equals_the_batch_operator_over_all_ratings(spark, top
     everything = spark.createDataFrame([(u, m, r) for (u, m), r in latest.items()], RATED)
     expected = {str(r.userId): [str(m) for m in r.movies] for r in online_lists(everything, items, 6).collect()}
     assert {user: movies for user, (movies, source) in served(refresh).items() if source == "online"} == expected
-    assert rows(refresh.log.latest(), *["userId", "movieId", "rating"]) == sorted((u, m, r) for (u, m), r in latest.items())
+    if scope == "history":
+        assert rows(refresh.log.latest(), *["userId", "movieId", "rating"]) == sorted((u, m, r) for (u, m), r in latest.items())
 
 
 def test_batch_scope_forgets_earlier_batches(spark, topic, job, items, scratch):
@@ -147,6 +149,18 @@ def test_restart_and_replay_leave_one_result(spark, topic, job, scratch):
     assert {r.version & 0xFFFFFFFF for r in refresh.serving.versions().collect()} == {1, 2}
 
 
+def test_state_survives_restarts_and_dead_letters_have_their_own_query(spark, topic, job, items, scratch):
+    refresh, checkpoint, letters = job(scope="state", log=None), scratch("cp"), scratch("cp")
+    for messages in (["1,2,5.0", "1,2,4.0", "bad"], ["1,3,1.0", "9,999,1.0"], ["1,2,0.5"]):
+        topic.send(*messages)
+        topic.run(refresh, checkpoint)
+        stream = msg.subscribe(spark, "text", path=topic.folder)
+        start_dead_letters(stream, refresh.dead_letters, letters, available_now=True).awaitTermination()
+    (expected,) = online_lists(spark.createDataFrame([(1, 2, 0.5), (1, 3, 1.0)], RATED), items, 6).collect()
+    assert served(refresh) == {"1": ([str(m) for m in expected.movies], "online"), "9": (["3", "1"], "popular")}
+    assert rows(spark.read.parquet(refresh.dead_letters)) == [("bad",)]
+
+
 def test_empty_batches_write_nothing(spark, job):
     refresh = job()
     refresh(msg.parse(texts(spark)), 5)
