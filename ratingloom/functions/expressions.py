@@ -38,7 +38,7 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def ideal_dcg(good_items: Column, k: int = fixed.METRIC_K) -> Column:
-    """Best reachable DCG with ``good_items`` relevant items in a list of ``k``.
+    """Best reachable DCG with ``good_items`` relevant items in a list of ``k``; null for null.
 
     The k + 1 possible values are folded into one literal array, so the lookup
     stays inside generated code (a lambda over ``sequence`` would not).
@@ -47,7 +47,8 @@ def ideal_dcg(good_items: Column, k: int = fixed.METRIC_K) -> Column:
     for position in range(1, k + 1):
         ladder.append(ladder[-1] + 1.0 / math.log2(position + 1))
     slot = F.greatest(F.lit(0), F.least(good_items, F.lit(k))).cast("int")
-    return F.get(F.array(*[F.lit(value) for value in ladder]), slot)
+    value = F.get(F.array(*[F.lit(value) for value in ladder]), slot)
+    return F.when(good_items.isNotNull(), value)
 
 
 def dot(left: Column, right: Column) -> Column:

@@ -95,8 +95,12 @@ def time_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): ratings up to the split point, and later ones.
 
-    The split point stays in the plan as a scalar subquery; nothing is collected.
+    The split point stays in the plan as a scalar subquery. Where both parts are
+    read again and again, take it once and use :func:`split_at`.
     """
-    point: Column = split_point(ratings, q, exact).scalar()
+    return split_at(ratings, split_point(ratings, q, exact).scalar())
+
+
+def split_at(ratings: DataFrame, point: Column) -> tuple[DataFrame, DataFrame]:
     moment = F.col("timestamp")
     return ratings.filter(moment <= point), ratings.filter(moment > point)

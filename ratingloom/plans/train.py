@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
+from ratingloom.functions import ideal_dcg
 from ratingloom.operators import als
-from ratingloom.operators.preparation import IdMappings, active_only, time_split
-from ratingloom.operators.ranking import hit_rate, ndcg, ranked_groups, rmse
+from ratingloom.operators.preparation import IdMappings, active_only, split_at, split_point
+from ratingloom.operators.ranking import good_items, ranked_groups, rmse, user_hits
 from ratingloom.session import scratch_path
 from ratingloom.sources.files import staged
 
@@ -37,7 +38,8 @@ def prepare(
 
     Each step is written to ``workspace`` because several later jobs read it: the
     active ratings give both mappings and are re-keyed; the re-keyed ratings give
-    the split point and both parts, with the filter on time in the parquet scan.
+    both parts. The split point is one number, taken once, so the filter on time
+    reaches the parquet scan as a constant and skips row groups.
     """
     workspace = workspace or scratch_path(ratings.sparkSession, "train")
     active = staged(active_only(ratings, min_user, min_movie), f"{workspace}/active")
@@ -46,21 +48,28 @@ def prepare(
         staged(found.users, f"{workspace}/users"), staged(found.movies, f"{workspace}/movies")
     )
     rekeyed = staged(mappings.rekey(active), f"{workspace}/ratings")
-    train, test = time_split(rekeyed, split, exact_split)
+    point = split_point(rekeyed, split, exact_split).first().quantile
+    train, test = split_at(rekeyed, F.lit(point))
     return Prepared(mappings, train, test)
 
 
 def evaluate(predictions: DataFrame, test: DataFrame, k: int = fixed.METRIC_K) -> DataFrame:
     """One row: RMSE, hit rate and NDCG of test predictions.
 
-    The predictions are read three times; pass a stored or persisted table.
+    Hit rate and NDCG come from one pass over the users; a user without a good
+    item has no NDCG and counts in the hit rate only. The predictions are read
+    twice; pass a stored or persisted table.
     """
-    ranked = ranked_groups(predictions, k)
-    return rmse(predictions).select(
-        "rmse",
-        "scored",
-        hit_rate(ranked, test).select("hit_rate").scalar().alias("hit_rate"),
-        ndcg(ranked, test, k).select("ndcg").scalar().alias("ndcg"),
+    per_user = user_hits(ranked_groups(predictions, k)).join(good_items(test), "userId", "left")
+    error = rmse(predictions)
+    return per_user.agg(
+        F.avg("has_hit").alias("hit_rate"),
+        F.avg(F.col("dcg") / ideal_dcg(F.col("num_good_items"), k)).alias("ndcg"),
+    ).select(
+        error.select("rmse").scalar().alias("rmse"),
+        error.select("scored").scalar().alias("scored"),
+        "hit_rate",
+        "ndcg",
     )
 
 

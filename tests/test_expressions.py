@@ -44,6 +44,7 @@ def test_ideal_dcg(spark):
 
     for n in (0, 1, 2, 9, 10, 11, 1000):
         assert one(spark, ideal_dcg(F.col("n")), n=n) == pytest.approx(expected(n, 10), abs=1e-12)
+    assert one(spark, ideal_dcg(F.lit(None).cast("bigint")), x=1) is None
 
 
 @pytest.mark.parametrize("length", [0, 1, 3, 10, 12])

@@ -39,6 +39,8 @@ def test_ndcg_by_hand(spark):
     assert rows(good_items(df)) == [(1, 2)]
     assert hit_rate(ranked, df).first().hit_rate == 0.5
     assert ndcg(ranked, df).first().users == 1
+    summary = evaluate(df, df).first()
+    assert (summary.hit_rate, summary.ndcg) == (0.5, pytest.approx(row.ndcg))
 
 
 def test_groups_say_the_same_as_rows(spark):
