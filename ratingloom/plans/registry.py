@@ -16,7 +16,7 @@ from ratingloom.functions import dot, guarded_ratio, ideal_dcg, is_good, last_n,
 from ratingloom.operators import als
 from ratingloom.operators.fold_in import fold_in, fold_in_two, gram_sums, probe
 from ratingloom.operators.positions import dense_ids
-from ratingloom.operators.preparation import IdMappings, active_only, clean, counts, split_point, time_split
+from ratingloom.operators.preparation import IdMappings, active_only, clean, counts, split_at, split_point, time_split
 from ratingloom.operators.ranking import (
     good_items,
     hit_rate,
@@ -75,7 +75,8 @@ def _active(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return time_split(files.staged(_active(spark, folder)), exact=True)
+    active = files.staged(_active(spark, folder))
+    return split_at(active, F.lit(split_point(active, exact=True).first().quantile))
 
 
 def _predictions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -326,7 +327,7 @@ def stored_mappings(spark, folder):
 
 @query
 def time_split_counts(spark, folder):
-    train, test = _split(spark, folder)
+    train, test = time_split(files.staged(_active(spark, folder)), exact=True)
     return train.agg(F.max("timestamp").alias("split_point"), F.count("*").alias("train_rows")).select(
         "split_point", "train_rows", test.agg(F.count("*")).scalar().alias("test_rows")
     )
