@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
 from ratingloom.operators.preparation import IdMappings
+from ratingloom.operators.scoring import as_lists, top_items
+from ratingloom.operators.vectors import ItemFactors
 from ratingloom.session import ensure_checkpointing
 
 # Where a model is looked for, in order, by the name of the strategy.
@@ -68,13 +70,20 @@ def evaluate_rmse(predictions: DataFrame) -> float:
 
 
 def recommend_all(model: ALSModel, n: int = fixed.LIST_LENGTH) -> DataFrame:
-    """``(userId, recommendations)`` for every user of the model, seen items included."""
-    return model.recommendForAllUsers(n)
+    """``(userId, recommendations)`` for every user of the model, seen items included.
+
+    The lists of ``model.recommendForAllUsers``, scored by :func:`top_items` in
+    double precision and without MLlib's cross join of factor blocks.
+    """
+    users, items = factor_tables(model)
+    return as_lists(top_items(users, ItemFactors.of(items), n))
 
 
 def recommend_for(model: ALSModel, users: DataFrame, n: int = fixed.LIST_LENGTH) -> DataFrame:
     """The same for the distinct ``userId`` of ``users``; strangers to the model get no row."""
-    return model.recommendForUserSubset(users.select("userId").distinct(), n)
+    known, items = factor_tables(model)
+    asked = known.join(users.select("userId").distinct(), "userId", "left_semi")
+    return as_lists(top_items(asked, ItemFactors.of(items), n))
 
 
 def movie_ids(recommendations: DataFrame) -> DataFrame:

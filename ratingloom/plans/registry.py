@@ -544,12 +544,12 @@ def score_topk_in_blocks(spark, folder):
 @query
 def fold_in_recommend(spark, folder):
     """Online lists of all users who sent messages."""
-    return _joined(online_lists(_fresh(spark, folder), _items(spark, folder)), "movies")
+    return _joined(online_lists(files.staged(_fresh(spark, folder)), _items(spark, folder)), "movies")
 
 
 @query
 def fallback_users(spark, folder):
-    fresh, items = _fresh(spark, folder), _items(spark, folder)
+    fresh, items = files.staged(_fresh(spark, folder)), _items(spark, folder)
     return fallback_causes(fresh, items, online_lists(fresh, items))
 
 
