@@ -519,6 +519,19 @@ ORACLES: dict[str, str] = {
            FROM (SELECT DISTINCT userId FROM train), (SELECT least(30, count(DISTINCT movieId)) AS n FROM train)""",
         "train",
     ),
+    "als_subset_lengths": _sql(
+        """SELECT userId, CAST(n AS INTEGER) AS length
+           FROM (SELECT DISTINCT userId FROM fresh WHERE userId IN (SELECT userId FROM train)),
+                (SELECT least(30, count(DISTINCT movieId)) AS n FROM train)""",
+        "train",
+        "fresh",
+    ),
+    "als_rmse_agreement": _sql(
+        """SELECT TRUE AS agree, count(*) AS scored FROM test
+           WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)""",
+        "test",
+        "train",
+    ),
     "als_prediction_pairs": _sql(
         """SELECT userId, movieId, rating FROM test
            WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)""",

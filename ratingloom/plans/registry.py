@@ -593,6 +593,15 @@ def als_recommend_subset(spark, folder):
     return _joined(als.movie_ids(lists), "movies")
 
 
+@query
+def als_subset_lengths(spark, folder):
+    """Who of the message senders gets a list from the model, and its length."""
+    model, prepared = _fitted(spark, folder)
+    users, items = als.factor_tables(model, prepared.mappings)
+    lists = fallback_lists(_fresh(spark, folder), users, ItemFactors.of(items))
+    return lists.select("userId", F.size("movies").alias("length"))
+
+
 @query
 def als_list_lengths(spark, folder):
     """Length of every user's list, and how many different movies it names."""
@@ -621,6 +630,15 @@ def als_rmse(spark, folder):
     return rmse(als.predict(model, prepared.test))
 
 
+@query
+def als_rmse_agreement(spark, folder):
+    """Whether MLlib's evaluator and the RMSE operator agree on the test predictions."""
+    model, prepared = _fitted(spark, folder)
+    predictions = stored_predictions(model, prepared)
+    theirs = als.evaluate_rmse(predictions)
+    return rmse(predictions).select((F.abs(F.col("rmse") - F.lit(theirs)) < 1e-9).alias("agree"), "scored")
+
+
 @query
 def als_evaluation(spark, folder):
     model, prepared = _fitted(spark, folder)
@@ -658,7 +676,7 @@ def _served(spark: SparkSession, folder: str):
     """A table with every user's favourites and, newer, those of message senders, one write repeated."""
     table = serving_table(spark, scratch_path(spark, "serving"))
     table.append(serving_rows(_favourites(tables.ratings(spark, folder)), "batch"), version_of(1))
-    online = serving_rows(_favourites(_fresh(spark, folder)), "online")
+    online = files.staged(serving_rows(_favourites(_fresh(spark, folder)), "online"))
     for _ in range(2):
         table.append(online, version_of(1, 0))
     return table
