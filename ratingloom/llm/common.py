@@ -47,3 +47,19 @@ def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z, and nothing else, in lower case."""
     plain = F.octet_length(text) == F.char_length(text)
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def held_out(modulus: int, remainder: int) -> Column:
+    """Whether crc32 of doc_id, as text, leaves ``remainder``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == remainder
+
+
+def pieces(text: str, longest: int = 1_000_000):
+    """``text`` in pieces of bounded length, cut at spaces where there are any."""
+    start = 0
+    while len(text) - start > longest:
+        end = text.rfind(" ", start + 1, start + longest)
+        end = start + longest if end < 0 else end
+        yield text[start:end]
+        start = end
+    yield text[start:] if start else text

@@ -10,6 +10,77 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM normalised WINDOW same AS (PARTITION BY text)
 """
 
+MIXING = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+  FROM documents
+),
+named AS (
+  SELECT *, [5, 2, 1][1 + ordinal % 3] AS weight
+  FROM (SELECT source, count(*) AS docs, sum(size)::BIGINT AS words,
+               row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS ordinal FROM sized GROUP BY source)
+),
+shared AS (
+  SELECT *, sum(words) OVER ()::BIGINT AS all_words,
+         coalesce(sum(words) OVER earlier, 0)::BIGINT AS before,
+         sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS still_open
+  FROM named
+  WINDOW earlier AS (ORDER BY words::DOUBLE / weight, ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+stopping AS (
+  SELECT *, 4 * words * still_open < weight * (3 * all_words - 4 * before) AS stops FROM shared
+),
+targets AS (
+  SELECT source, ordinal, docs, words,
+         CASE WHEN stops THEN 2.0::DOUBLE * words
+              ELSE weight * (1.5::DOUBLE * all_words
+                             - 2.0::DOUBLE * (sum(CASE WHEN stops THEN words ELSE 0 END) OVER ())::BIGINT)
+                   / (sum(CASE WHEN stops THEN 0 ELSE weight END) OVER ())::BIGINT END AS target
+  FROM stopping
+),
+passes AS (
+  SELECT *, CASE WHEN words > 0 THEN least(floor(target / words), 2)::BIGINT ELSE 0 END AS full_passes,
+         len(bin(docs >> 8)) - 1 AS bits
+  FROM targets
+),
+rests AS (SELECT *, greatest(0, target - full_passes * words) AS rest FROM passes),
+placed AS (
+  SELECT doc_id, size, key, r.*, key >> (60 - bits) AS block
+  FROM sized s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source
+),
+running AS (
+  SELECT ordinal, block, any_value(rest) AS rest, sum(size)::BIGINT AS in_block,
+         (sum(sum(size)) OVER (PARTITION BY ordinal ORDER BY block))::BIGINT AS until
+  FROM placed GROUP BY ordinal, block
+),
+cuts AS (
+  SELECT ordinal, block AS cut, rest - until + in_block AS gap FROM running
+  WHERE until > rest AND until - in_block <= rest
+),
+inside AS (
+  SELECT p.ordinal, p.size, p.key, c.gap,
+         row_number() OVER (PARTITION BY p.ordinal ORDER BY p.size DESC, p.key) AS n
+  FROM placed p JOIN cuts c ON p.ordinal = c.ordinal AND p.block = c.cut
+  WHERE p.size > 0
+),
+picking AS (
+  SELECT ordinal, n, key, size <= gap AS pick, CASE WHEN size <= gap THEN gap - size ELSE gap END AS gap
+  FROM inside WHERE n = 1
+  UNION ALL
+  SELECT i.ordinal, i.n, i.key, i.size <= p.gap, CASE WHEN i.size <= p.gap THEN p.gap - i.size ELSE p.gap END
+  FROM picking p JOIN inside i ON i.ordinal = p.ordinal AND i.n = p.n + 1
+)
+SELECT doc_id, size, words AS source_size, target,
+       size * (full_passes + CASE
+         WHEN rest <= 0 THEN 0
+         WHEN c.cut IS NULL OR block < c.cut THEN 1
+         WHEN block = c.cut AND (p.ordinal, key) IN (SELECT (ordinal, key) FROM picking WHERE pick) THEN 1
+         ELSE 0 END) AS taken
+FROM placed p LEFT JOIN cuts c ON p.ordinal = c.ordinal
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
+    "op5_mixing": MIXING,
 }

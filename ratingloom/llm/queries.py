@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import exact_dedup
+from ratingloom.llm import exact_dedup, language, mixing, toxicity
 from ratingloom.llm.common import table
 
 
@@ -14,6 +14,22 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_counts(table(spark, folder, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_language_id": op4_language_id,
+    "op5_mixing": op5_mixing,
+    "op6_toxicity": op6_toxicity,
 }
