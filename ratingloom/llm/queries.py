@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import exact_dedup, language, mixing, toxicity
+from ratingloom.llm import exact_dedup, language, mixing, ngram_join, toxicity
 from ratingloom.llm.common import table
 
 
@@ -27,9 +27,14 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.joined(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
+    "op10_ngram_join": op10_ngram_join,
 }
