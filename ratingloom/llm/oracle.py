@@ -1,5 +1,7 @@
 """DuckDB SQL for the text queries that SQL can express."""
 
+from ratingloom.llm.spotsigs import ANCHORS
+
 EXACT_DEDUP = """
 WITH normalised AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
@@ -80,7 +82,54 @@ SELECT doc_id, size, words AS source_size, target,
 FROM placed p LEFT JOIN cuts c ON p.ordinal = c.ordinal
 """
 
+_ANCHORS = ", ".join(f"'{word}'" for word in ANCHORS)
+
+
+def _signatures(text: str) -> str:
+    """The sorted distinct signatures of a text, as a list expression."""
+    return f"""(
+  SELECT list_sort(list_distinct(list_transform(
+    CASE WHEN len(words) > 0 THEN ['^ ' || array_to_string(content[1:2], ' ')] ELSE []::VARCHAR[] END
+      || list_transform(anchors, lambda i, k: words[i] || ' ' || array_to_string(content[i - k + 1 : i - k + 2], ' ')),
+    lambda s: substr(to_base64(unhex(substr(md5(s), 1, 18))), 1, 6))))
+  FROM (SELECT words, list_filter(words, lambda w: NOT list_contains([{_ANCHORS}], w)) AS content,
+               list_filter(range(1, len(words) + 1), lambda i: list_contains([{_ANCHORS}], words[i])) AS anchors
+        FROM (SELECT list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words)))"""
+
+
+def _likeness(one: str, other: str) -> str:
+    shared = f"len(list_intersect({one}, {other}))::DOUBLE"
+    return (
+        f"CASE WHEN {one} = {other} THEN 1.0::DOUBLE WHEN len({one}) = 0 OR len({other}) = 0 THEN 0.0::DOUBLE"
+        f" ELSE {shared} / (len({one}) + len({other}) - {shared}) END"
+    )
+
+
+FINGERPRINTS = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM documents),
+followed AS (
+  SELECT doc_id, text, n_chars,
+         coalesce(lead(text) OVER down, first_value(text) OVER (ORDER BY doc_id DESC)) AS following
+  FROM texts WINDOW down AS (ORDER BY doc_id DESC)
+),
+edited AS (
+  SELECT doc_id, text, n_chars, following,
+         substring(text, 1, n_chars - n_chars // 3) || substring(following, 1, n_chars // 3) AS edited
+  FROM followed
+),
+signed AS (
+  SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
+         {_signatures("e.text")} AS own, {_signatures("e.edited")} AS changed, {_signatures("e.following")} AS after
+  FROM edited e
+)
+SELECT doc_id, n_chars, edited_sha256, array_to_string(own, ' ') AS fingerprint,
+       array_to_string(changed, ' ') AS edited_fingerprint,
+       {_likeness("own", "changed")} AS near_edited, {_likeness("own", "after")} AS near_next
+FROM signed
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op5_mixing": MIXING,
+    "op8_fingerprints": FINGERPRINTS,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import exact_dedup, language, mixing, ngram_join, toxicity
+from ratingloom.llm import exact_dedup, language, mixing, ngram_join, spotsigs, substrings, toxicity
 from ratingloom.llm.common import table
 
 
@@ -27,6 +27,14 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.edited_fingerprints(table(spark, folder, "documents"))
+
+
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, folder, "documents"))
+
+
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.joined(table(spark, folder, "documents"))
 
@@ -36,5 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
