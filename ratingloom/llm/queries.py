@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import exact_dedup, language, mixing, ngram_join, spotsigs, substrings, toxicity
+from ratingloom.llm import exact_dedup, language, mixing, ngram_join, spotsigs, substrings, toxicity, urls
 from ratingloom.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(table(spark, folder, "pages"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
@@ -41,6 +45,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_url_filter": op2_url_filter,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
