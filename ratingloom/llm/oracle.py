@@ -1,5 +1,6 @@
 """DuckDB SQL for the text queries that SQL can express."""
 
+from ratingloom.llm.quotations import ATTRIBUTION, MARKS
 from ratingloom.llm.spotsigs import ANCHORS
 
 EXACT_DEDUP = """
@@ -128,8 +129,52 @@ SELECT doc_id, n_chars, edited_sha256, array_to_string(own, ' ') AS fingerprint,
 FROM signed
 """
 
+QUOTATION_LINKS = rf"""
+WITH messages AS (
+  SELECT row_number() OVER () AS id, conv_id, turn, role,
+         regexp_split_to_array(coalesce(text, ''), '\r\n|\r|\n') AS raw
+  FROM conversations
+),
+split AS (SELECT id, conv_id, turn, unnest(raw) AS raw, generate_subscripts(raw, 1) AS n FROM messages),
+marked AS (
+  SELECT id, conv_id, turn, n, regexp_replace(raw, '{MARKS}', '') AS body,
+         length(regexp_replace(regexp_extract(raw, '{MARKS}', 1), '[ \t]', '', 'g')) AS depth
+  FROM split
+),
+below AS (SELECT *, lead(depth) OVER (PARTITION BY id ORDER BY n) AS below FROM marked),
+headed AS (SELECT *, coalesce(below > depth AND regexp_matches(body, '{ATTRIBUTION}'), FALSE) AS head FROM below),
+lines AS (
+  SELECT id, conv_id, turn, n, body, head, CASE WHEN head THEN below ELSE depth END AS level,
+         trim(regexp_replace(lower(body), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS said
+  FROM headed
+),
+origins AS (
+  SELECT conv_id, said, min(turn) AS origin FROM lines WHERE level = 0 AND NOT head AND said <> '' GROUP BY ALL
+),
+found AS (
+  SELECT l.conv_id, l.turn, origin, count(*) AS times, count(*) FILTER (level = 1) AS direct
+  FROM lines l JOIN origins o ON l.conv_id = o.conv_id AND l.said = o.said
+  WHERE level > 0 AND NOT head AND origin < turn GROUP BY ALL
+),
+links AS (
+  SELECT conv_id, turn, sum(times)::BIGINT AS linked_lines, list_sort(list(origin)) AS quoted_turns,
+         arg_max(origin, (direct, origin)) FILTER (direct > 0) AS parent_turn
+  FROM found GROUP BY ALL
+),
+own AS (
+  SELECT id, coalesce(string_agg(body, chr(10) ORDER BY n) FILTER (level = 0), '') AS text,
+         max(level)::INTEGER AS quote_levels,
+         count(*) FILTER (level > 0 AND NOT head AND said <> '') AS quoted_lines
+  FROM lines GROUP BY id
+)
+SELECT m.conv_id, m.turn, role, regexp_replace(text, '^\s*\n|\s+$', '', 'g') AS text, quote_levels, quoted_lines,
+       coalesce(linked_lines, 0) AS linked_lines, parent_turn, coalesce(quoted_turns, []::BIGINT[]) AS quoted_turns
+FROM messages m JOIN own USING (id) LEFT JOIN links l ON m.conv_id = l.conv_id AND m.turn = l.turn
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
+    "op3_quotation_links": QUOTATION_LINKS,
     "op5_mixing": MIXING,
     "op8_fingerprints": FINGERPRINTS,
 }

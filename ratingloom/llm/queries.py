@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import exact_dedup, language, mixing, ngram_join, spotsigs, substrings, toxicity, urls
+from ratingloom.llm import exact_dedup, language, mixing, ngram_join, quotations, spotsigs, substrings, toxicity, urls
 from ratingloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(table(spark, folder, "pages"))
 
 
+def op3_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.linked(table(spark, folder, "conversations"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
@@ -46,6 +50,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
+    "op3_quotation_links": op3_quotation_links,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
