@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed and spelled out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def held_out(modulus: int, remainder: int) -> Column:
     """Whether crc32 of doc_id, as text, leaves ``remainder``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == remainder
@@ -63,3 +70,15 @@ def pieces(text: str, longest: int = 1_000_000):
         yield text[start:end]
         start = end
     yield text[start:] if start else text
+
+
+def most_frequent(counts: DataFrame, bound: int) -> DataFrame:
+    """The rows of ``counts`` with the largest n: whole powers of two, as many as keep to ``bound`` rows."""
+    level = F.floor(F.log2("n")).cast("int").alias("level")
+    least, total = 62, 0
+    for row in sorted(counts.groupBy(level).agg(F.count("*").alias("rows")).collect(), reverse=True):
+        total += row["rows"]
+        if total > bound:
+            break
+        least = row["level"]
+    return counts.filter(F.col("n") >= 2**least)

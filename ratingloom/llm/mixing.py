@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import WORD, small, staged, text_of
+from ratingloom.llm.common import WORD, let, small, staged, text_of
 
 #: Weights of the sources in order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -132,12 +132,14 @@ def _cuts(sized: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _log_factorial(n: Column) -> Column:
     """ln n!, by Stirling's series at n + 8."""
-    x = n + 8
-    product = n + 1
-    for i in range(2, 9):
-        product = product * (n + i)
-    series = x * F.ln(x) - x + F.ln(x * (2 * math.pi)) / 2 + 1 / (x * 12) - 1 / (x * x * x * 360)
-    return series - F.ln(product)
+
+    def series(x: Column) -> Column:
+        product = x
+        for i in range(1, 8):
+            product = product * (x - i)
+        return x * F.ln(x) - x + F.ln(x * (2 * math.pi)) / 2 + 1 / (x * 12) - 1 / (x * x * x * 360) - F.ln(product)
+
+    return let(n + 8, series)
 
 
 def _log_choices(n: Column, k: Column) -> Column:
@@ -150,40 +152,60 @@ def hypergeometric(u: Column, total: Column, marked: Column, drawn: Column) -> C
     Inversion from the mode outwards: the values next to it are tried in turn, and what
     lies twenty standard deviations away is left out.
     """
-    total, marked, drawn = (x.cast("double") for x in (total, marked, drawn))
-    least = F.greatest(F.lit(0.0), drawn - (total - marked))
-    most = F.least(drawn, marked)
-    mode = F.least(most, F.greatest(least, F.floor((drawn + 1) * (marked + 1) / (total + 2)).cast("double")))
-    chance = F.exp(
-        _log_choices(marked, mode) + _log_choices(total - marked, drawn - mode) - _log_choices(total, drawn)
-    )
-    share = marked / F.greatest(total, F.lit(1.0))
-    spread = F.sqrt(drawn * share * (1 - share))
-    reach = F.least(F.greatest(mode - least, most - mode), F.ceil(spread * 20) + 20).cast("int")
-
-    def step(state: Column, i: Column) -> Column:
-        k, j = mode + i - 1, mode - i + 1
-        up = state["up"] * (marked - k) * (drawn - k) / ((k + 1) * (total - marked - drawn + k + 1))
-        down = state["down"] * j * (total - marked - drawn + j) / ((marked - j + 1) * (drawn - j + 1))
-        found = (
-            F.when(state["found"].isNotNull(), state["found"])
-            .when(state["left"] < up, mode + i)
-            .when(state["left"] < up + down, mode - i)
+
+    def limits(x: Column) -> Column:
+        least = F.greatest(F.lit(0.0), x["drawn"] - (x["total"] - x["marked"]))
+        most = F.least(x["drawn"], x["marked"])
+        likely = F.floor((x["drawn"] + 1) * (x["marked"] + 1) / (x["total"] + 2)).cast("double")
+        share = x["marked"] / F.greatest(x["total"], F.lit(1.0))
+        return F.struct(
+            *(x[c].alias(c) for c in ("u", "total", "marked", "drawn")),
+            F.least(most, F.greatest(least, likely)).alias("mode"),
+            F.greatest(likely - least, most - likely).alias("reach"),
+            F.sqrt(x["drawn"] * share * (1 - share)).alias("spread"),
+        )
+
+    def inverted(x: Column) -> Column:
+        marked, drawn, mode = x["marked"], x["drawn"], x["mode"]
+        others = x["total"] - marked
+
+        def step(state: Column, i: Column) -> Column:
+            k, j = mode + i - 1, mode - i + 1
+            up = state["up"] * (marked - k) * (drawn - k) / ((k + 1) * (others - drawn + k + 1))
+            down = state["down"] * j * (others - drawn + j) / ((marked - j + 1) * (drawn - j + 1))
+            tried = let(
+                F.struct(up.alias("up"), down.alias("down")),
+                lambda p: F.struct(
+                    (state["left"] - p["up"] - p["down"]).alias("left"),
+                    p["up"].alias("up"),
+                    p["down"].alias("down"),
+                    F.when(state["left"] < p["up"], mode + i)
+                    .when(state["left"] < p["up"] + p["down"], mode - i)
+                    .alias("found"),
+                ),
+            )
+            return F.when((i == 0) | state["found"].isNotNull(), state).otherwise(tried)
+
+        chance = F.exp(
+            _log_choices(marked, mode) + _log_choices(others, drawn - mode) - _log_choices(x["total"], drawn)
+        )
+        start = let(
+            chance,
+            lambda p: F.struct(
+                (x["u"] - p).alias("left"), p.alias("up"), p.alias("down"), F.when(x["u"] < p, mode).alias("found")
+            ),
         )
-        after = F.struct(
-            (state["left"] - up - down).alias("left"), up.alias("up"), down.alias("down"), found.alias("found")
+        reach = F.least(x["reach"], F.ceil(x["spread"] * 20) + 20).cast("int")
+        return F.aggregate(
+            F.sequence(F.lit(0), F.greatest(reach, F.lit(0))),
+            start,
+            step,
+            lambda state: F.coalesce(state["found"], mode).cast("long"),
         )
-        return F.when(i == 0, state).otherwise(after)
 
-    start = F.struct(
-        (u - chance).alias("left"),
-        chance.alias("up"),
-        chance.alias("down"),
-        F.when(u < chance, mode).alias("found"),
-    )
-    return F.aggregate(
-        F.sequence(F.lit(0), reach), start, step, lambda state: F.coalesce(state["found"], mode).cast("long")
-    )
+    numbers = (("u", u), ("total", total), ("marked", marked), ("drawn", drawn))
+    given = F.struct(*(x.cast("double").alias(name) for name, x in numbers))
+    return let(let(given, limits), inverted)
 
 
 def splitting_tree(quotas: DataFrame, shards: int) -> DataFrame:
@@ -204,11 +226,13 @@ def splitting_tree(quotas: DataFrame, shards: int) -> DataFrame:
         def draw(state: Column, i: Column) -> Column:
             marked = F.get("quotas", i)
             u = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "lo", "hi", i), 11) * F.lit(2.0**-53)
-            taken = hypergeometric(u, state["total"], marked, state["left"])
-            return F.struct(
-                (state["total"] - marked).alias("total"),
-                (state["left"] - taken).alias("left"),
-                F.array_append(state["out"], taken).alias("out"),
+            return let(
+                hypergeometric(u, state["total"], marked, state["left"]),
+                lambda taken: F.struct(
+                    (state["total"] - marked).alias("total"),
+                    (state["left"] - taken).alias("left"),
+                    F.array_append(state["out"], taken).alias("out"),
+                ),
             )
 
         left = F.aggregate(
@@ -227,7 +251,7 @@ def splitting_tree(quotas: DataFrame, shards: int) -> DataFrame:
     return nodes.select(F.col("lo").alias("shard"), "quotas")
 
 
-def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _plan(docs: DataFrame, words_per_shard: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sized documents, the sources with their cuts, and the blocks with the shards that draw them."""
     sized = staged(docs.select("doc_id", "source", _size().alias("size"), _key().alias("key")), "mix-sizes")
     full = F.when(F.col("words") > 0, F.least(F.floor(F.col("target") / F.col("words")), F.lit(REPEAT))).otherwise(0)
@@ -250,7 +274,7 @@ def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
     # The mix holds SHARE of all words; without any there is one shard.
     words = sources.agg(F.sum("target")).first()[0] or 0.0
-    shards = max(1, math.ceil(words / WORDS_PER_SHARD))
+    shards = max(1, math.ceil(words / words_per_shard))
     quotas = sources.agg(F.array_sort(F.collect_list(F.struct("ordinal", "quota"))).alias("pairs")).select(
         F.col("pairs.quota").alias("quotas")
     )
@@ -285,9 +309,9 @@ def _drawn(rows: DataFrame, sources: DataFrame, draws: DataFrame) -> DataFrame:
     return placed.join(small(draws), ["ordinal", "block"], "left").withColumn("copies", F.coalesce(taken, none))
 
 
-def mix_counts(docs: DataFrame) -> DataFrame:
+def mix_counts(docs: DataFrame, words_per_shard: int = WORDS_PER_SHARD) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    sized, sources, draws = _plan(docs)
+    sized, sources, draws = _plan(docs, words_per_shard)
     return _drawn(sized, sources, draws).select(
         "doc_id",
         "size",
@@ -297,9 +321,9 @@ def mix_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, shard_column: str = "shard") -> DataFrame:
+def mixed(docs: DataFrame, words_per_shard: int = WORDS_PER_SHARD, shard_column: str = "shard") -> DataFrame:
     """The mix itself: a row for each copy of a document, with its shard, in the shard's order."""
-    _, sources, draws = _plan(docs)
+    _, sources, draws = _plan(docs, words_per_shard)
     rows = docs.select(
         F.struct("*").alias("row"), "source", _size().alias("size"), _key().alias("key")
     )
