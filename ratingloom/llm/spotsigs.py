@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import staged, text_of
+from ratingloom.llm.common import let, staged, text_of
 
 #: Common words of English, German, French and Spanish that open a signature. (Fixed values.)
 ANCHORS = (
@@ -57,8 +57,7 @@ def signatures(text: Column) -> Column:
         spots = F.transform(part["anchors"], lambda i, k: signature(F.get(part["words"], i), i - k))
         return F.concat(F.coalesce(opening, F.array().cast("array<string>")), spots)
 
-    # A one-element array carries the parts, so that each is computed once.
-    every = F.flatten(F.transform(F.array(parts), all_of))
+    every = let(parts, all_of)
     digest = lambda s: F.substring(F.base64(F.unhex(F.substring(F.md5(s), 1, 18))), 1, 6)
     return F.array_sort(F.array_distinct(F.transform(every, digest)))
 
@@ -69,17 +68,12 @@ def fingerprint(text: Column) -> Column:
 
 def likeness(one: Column, other: Column) -> Column:
     """Jaccard coefficient of two fingerprints; sets without a common element skip the union."""
-    sets = [F.filter(F.split(x, " "), lambda s: s != "") for x in (one, other)]
-    shared = F.size(F.array_intersect(*sets)).cast("double")
-    return (
-        F.when(one == other, 1.0)
-        .when((one == "") | (other == ""), 0.0)
-        .otherwise(
-            F.aggregate(
-                F.array(shared), F.lit(0.0), lambda _, n: n / (F.size(sets[0]) + F.size(sets[1]) - n)
-            )
-        )
+    sets = F.struct(*(F.filter(F.split(x, " "), lambda s: s != "").alias(n) for x, n in ((one, "a"), (other, "b"))))
+    sizes = let(
+        sets, lambda s: F.struct(F.size(F.array_intersect(s["a"], s["b"])), F.size(s["a"]) + F.size(s["b"]))
     )
+    share = let(sizes, lambda n: n["col1"].cast("double") / (n["col2"] - n["col1"]))
+    return F.when(one == other, 1.0).when((one == "") | (other == ""), 0.0).otherwise(share)
 
 
 def _in_order(keys: DataFrame) -> DataFrame:
