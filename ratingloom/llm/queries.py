@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import exact_dedup, language, mixing, ngram_join, quotations, spotsigs, substrings, toxicity, urls
+from ratingloom.llm import exact_dedup, language, mixing, ngram_join, quotations, sentence_pieces, spotsigs, substrings, toxicity, urls
 from ratingloom.llm.common import table
 
 
@@ -35,6 +36,16 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def piece_model() -> str:
+    """The model file of the public tokenizers; SENTENCEPIECE_MODEL names another."""
+    return os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = sentence_pieces.Pieces.load(piece_model())
+    return sentence_pieces.encoded(table(spark, folder, "documents"), pieces)
+
+
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.edited_fingerprints(table(spark, folder, "documents"))
 
@@ -54,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op8_fingerprints": op8_fingerprints,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_join": op10_ngram_join,
