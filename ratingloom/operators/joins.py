@@ -14,16 +14,20 @@ from pyspark.sql import functions as F
 
 # A key with more facts than this is split into parts of about this many.
 ROWS_PER_SALT = 4_000_000
-# The list of hot keys is broadcast; this bounds it. A key that does not make it
-# onto a full list holds at most one in a hundred thousand facts.
-MAX_HOT_KEYS = 100_000
+# The list of hot keys is broadcast. Parts hold at least one in so many of all facts,
+# and fewer keys than that can have more facts than a part.
+MOST_PARTS = 1_000_000
 
 
 def hot_keys(counts: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """``(key, salts)`` of the keys to split, the most frequent first, from ``(key, count)``."""
-    parts = F.ceil(F.col("count") / rows_per_salt).cast("int")
-    hot = counts.filter(F.col("count") > rows_per_salt).orderBy(F.col("count").desc(), key).limit(MAX_HOT_KEYS)
-    return hot.select(key, parts.alias("salts"))
+    """``(key, salts)`` of every key to split, from ``(key, count)``.
+
+    A part has ``rows_per_salt`` facts or, if that is more, one in ``MOST_PARTS`` of all.
+    """
+    share = F.ceil(F.coalesce(counts.agg(F.sum("count")).scalar(), F.lit(0)) / MOST_PARTS)
+    sized = counts.withColumn("part", F.greatest(F.lit(rows_per_salt).cast("bigint"), share))
+    parts = F.ceil(F.col("count") / F.col("part")).cast("int")
+    return sized.filter(F.col("count") > F.col("part")).select(key, parts.alias("salts"))
 
 
 def salted_join(

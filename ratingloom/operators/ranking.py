@@ -14,17 +14,27 @@ from ratingloom.operators.preparation import counts
 def top_k_per_user(predictions: DataFrame, k: int = fixed.METRIC_K, ties: bool = True) -> DataFrame:
     """The ``k`` best predictions of every user with their ``rank``.
 
-    With ``ties`` equal predictions share a rank and more than ``k`` rows may pass;
-    without, the smaller movieId goes first and exactly ``k`` stay. Spark limits
-    every user inside each map task before the shuffle (WindowGroupLimit), so a
-    user who holds a third of the rows sends at most their best rows per task.
+    With ``ties`` equal predictions share a rank and more than ``k`` rows may pass:
+    ranks are taken over *groups* of equal predictions, and rows find theirs by a join
+    that splits hot groups, so copies of one row never meet in one task. Without ties
+    the smaller movieId goes first and exactly ``k`` stay; Spark limits every user
+    inside each map task before the shuffle (WindowGroupLimit).
     """
-    best_first = [F.col("prediction").desc()]
     if not ties:
-        best_first.append(F.col("movieId").asc())
-    window = Window.partitionBy("userId").orderBy(*best_first)
-    number = F.rank() if ties else F.row_number()
-    return predictions.withColumn("rank", number.over(window)).filter(F.col("rank") <= k)
+        window = Window.partitionBy("userId").orderBy(F.col("prediction").desc(), F.col("movieId").asc())
+        return predictions.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+    rows = predictions.withColumn("pair", F.struct("userId", "prediction"))
+    groups = rows.groupBy("pair").agg(F.count("*").alias("count"))
+    best_first = Window.partitionBy("pair.userId").orderBy(F.col("pair.prediction").desc())
+    before = F.sum("count").over(best_first.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (
+        groups.withColumn("place", F.row_number().over(best_first))
+        .filter(F.col("place") <= k)
+        .withColumn("rank", (F.coalesce(before, F.lit(0)) + 1).cast("int"))
+        .filter(F.col("rank") <= k)
+    )
+    hot = hot_keys(groups, "pair")
+    return salted_join(rows, ranked.select("pair", "rank"), "pair", hot, ["movieId"]).drop("pair")
 
 
 def ranked_labels(

@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
 from ratingloom.operators.vectors import ItemFactors, matrix
+from ratingloom.sources.files import staged
 
 _SCHEMA = "userId INT, movieId INT, score DOUBLE"
 _CELL_BUDGET = 8_000_000  # scores held at once in a task (64 MB)
+_ARROW = pa.schema([("userId", pa.int32()), ("movieId", pa.int32()), ("score", pa.float64())])
 USER_BLOCK = 1024
-ITEM_BLOCK = 4096
+ITEM_BLOCK_BYTES = 64 << 20  # vectors of one block of items
 
 
 def top_items(
@@ -35,14 +37,14 @@ def top_items(
     k: int = fixed.LIST_LENGTH,
     exclude: DataFrame | None = None,
     user_block: int = USER_BLOCK,
-    item_block: int = ITEM_BLOCK,
+    item_block: int | None = None,
 ) -> DataFrame:
     """``(userId, movieId, score, rank)``: the ``k`` best items of every user vector.
 
     ``users`` holds one row ``(userId, features)`` per user; ``exclude`` holds
     ``(userId, movieId)`` pairs. With a broadcast catalogue the users are scored
-    where they are; a larger catalogue is cut into blocks that meet the user
-    blocks on a salted grid of equi-join keys.
+    where they are; a larger catalogue is cut into blocks (of ``item_block`` items, or
+    of bounded bytes) that meet the user blocks on a grid of equi-join keys.
     """
     users = users.select("userId", "features")
     if k <= 0 or not items.count:
@@ -95,71 +97,107 @@ def _block(column: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
 
 
+def grid_shape(tasks: int, users: int, user_blocks: int, items: int, item_blocks: int) -> tuple[int, int]:
+    """(groups of items, salts of users): with g * s tasks users are copied g times and items s times."""
+    groups = max(1, min(item_blocks, round((tasks * items / max(1, users)) ** 0.5)))
+    return groups, max(1, min(user_blocks, -(-tasks // groups)))
+
+
 def _score_grid(
     users: DataFrame,
     items: ItemFactors,
     k: int,
     exclude: DataFrame | None,
     user_block: int,
-    item_block: int,
+    item_block: int | None,
 ) -> DataFrame:
-    """Score block by block. Ids are unique, so hashing fills the blocks evenly."""
+    """Score block by block. Ids are unique, so hashing fills the blocks evenly.
+
+    A task joins some blocks of users to one group of item blocks and carries a
+    running top-k of a user block from one item block to the next, so at most k rows
+    (and as many as a user has excluded items) leave it per user. The copies that are
+    shuffled grow with the square root of the number of tasks, not with the items.
+    """
     spark = users.sparkSession
+    if exclude is None:
+        users = users.withColumn("spare", F.lit(0))
+    else:
+        excluded = exclude.groupBy("userId").agg(F.count("*").cast("int").alias("spare"))
+        users = users.join(excluded, "userId", "left").withColumn("spare", F.coalesce("spare", F.lit(0)))
+    users = staged(users)  # counted and read: the vectors are solved once
+    n_users = users.count()
+    item_block = item_block or max(1, ITEM_BLOCK_BYTES // (8 * max(1, items.rank)))
     item_blocks = -(-items.count // item_block)
-    user_blocks = max(1, -(-users.count() // user_block))
+    user_blocks = max(1, -(-n_users // user_block))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(1, min(user_blocks, -(-tasks // item_blocks)))
+    groups, salts = grid_shape(tasks, n_users, user_blocks, items.count, item_blocks)
 
-    def packed(table: DataFrame, key: str, blocks: int, name: str) -> DataFrame:
+    def packed(table: DataFrame, key: str, blocks: int, name: str, *more: str) -> DataFrame:
         rows = table.groupBy(_block(key, blocks).alias(f"{name}_block")).agg(
-            F.collect_list(F.struct(key, "features")).alias("rows")
+            F.collect_list(F.struct(key, "features", *more)).alias("rows")
         )
         return rows.select(
             f"{name}_block",
             F.col(f"rows.{key}").alias(f"{name}_ids"),
             F.flatten("rows.features").alias(f"{name}_vectors"),
+            *(F.col(f"rows.{column}").alias(column) for column in more),
         )
 
-    left = packed(users, "userId", user_blocks, "user").select(
+    left = packed(users, "userId", user_blocks, "user", "spare").select(
         "*",
-        F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("item_block"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
         (F.col("user_block") % salts).alias("salt"),
     )
     right = packed(items.table, "movieId", item_blocks, "item").select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+        "*",
+        (F.col("item_block") % groups).alias("group"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
     )
-    cells = left.join(right, ["item_block", "salt"])
-    if exclude is None:
-        cells = cells.withColumn("spare", F.array().cast("array<struct<userId:int,n:int>>"))
-    else:
-        spare = (
-            exclude.groupBy("userId", _block("movieId", item_blocks).alias("item_block"))
-            .agg(F.count("*").cast("int").alias("n"))
-            .groupBy(_block("userId", user_blocks).alias("user_block"), "item_block")
-            .agg(F.collect_list(F.struct("userId", "n")).alias("spare"))
-        )
-        cells = cells.join(spare, ["user_block", "item_block"], "left")
+    cells = left.join(right, ["group", "salt"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The join gives all item blocks of a user block one after the other.
+        open_block, best = None, None
         for batch in batches:
             for row in range(batch.num_rows):
                 cell = {name: batch.column(name)[row] for name in batch.schema.names}
                 user_ids = cell["user_ids"].values.to_numpy()
                 ids = cell["item_ids"].values.to_numpy()
-                spares = {s["userId"]: s["n"] for s in cell["spare"].as_py() or []}
-                takes = np.array([k + spares.get(user, 0) for user in user_ids.tolist()])
-                yield from _best(
-                    user_ids,
-                    _unpack(cell["user_vectors"], len(user_ids)),
-                    takes,
-                    ids,
-                    _unpack(cell["item_vectors"], len(ids)),
+                takes = k + cell["spare"].values.to_numpy()
+                fresh = pa.Table.from_batches(
+                    _best(
+                        user_ids,
+                        _unpack(cell["user_vectors"], len(user_ids)),
+                        takes,
+                        ids,
+                        _unpack(cell["item_vectors"], len(ids)),
+                    ),
+                    _ARROW,
                 )
-
-    columns = ["user_ids", "user_vectors", "item_ids", "item_vectors", "spare"]
+                if cell["user_block"].as_py() != open_block:
+                    if best is not None:
+                        yield from best.to_batches()
+                    open_block, best = cell["user_block"].as_py(), fresh
+                else:
+                    best = _cut(pa.concat_tables([best, fresh]), user_ids, takes)
+        if best is not None:
+            yield from best.to_batches()
+
+    columns = ["user_block", "user_ids", "user_vectors", "spare", "item_ids", "item_vectors"]
     return cells.select(*columns).mapInArrow(score, _SCHEMA)
 
 
+def _cut(table: pa.Table, user_ids: np.ndarray, takes: np.ndarray) -> pa.Table:
+    """The ``takes[i]`` best rows of every user of a table of candidates."""
+    users, ids, scores = (table.column(name).to_numpy() for name in ("userId", "movieId", "score"))
+    order = np.lexsort((-ids.astype(np.int64), -scores, users))
+    starts = np.flatnonzero(np.r_[True, users[order][1:] != users[order][:-1]]) if len(order) else order
+    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+    by_id = np.argsort(user_ids)
+    take = takes[by_id][np.searchsorted(user_ids[by_id], users[order])]
+    return table.take(pa.array(order[place < take]))
+
+
 def _unpack(flat: pa.ListScalar, rows: int) -> np.ndarray:
     return flat.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(rows, -1)
 
@@ -177,9 +215,14 @@ def _best(
         block = users[start : start + step]
         rough = block @ items.T
         out_users, out_items, out_scores = [], [], []
+        own = np.minimum(takes[start : start + step], len(ids)).astype(np.int64)
+        cuts = np.empty(len(block))
+        for take in np.unique(own):  # users of equal takes are cut together
+            rows = np.flatnonzero(own == take)
+            at = len(ids) - int(take)
+            cuts[rows] = np.partition(rough[rows], at, axis=1)[:, at]
         for row, vector in enumerate(block):
-            take = min(int(takes[start + row]), len(ids))
-            cut = np.partition(rough[row], len(ids) - take)[len(ids) - take]
+            take, cut = int(own[row]), cuts[row]
             near = np.flatnonzero(rough[row] >= cut - slack * float(np.sqrt(vector @ vector)))
             exact = (items[near] * vector).sum(axis=1)
             order = np.lexsort((-ids[near].astype(np.int64), -exact))[:take]

@@ -33,8 +33,9 @@ def vector_lists(rows: np.ndarray) -> pa.ListArray:
 class ItemFactors:
     """Item vectors, with a broadcast copy when their measured size allows one.
 
-    ``table`` holds ``(movieId, features)``, one row per movie. ``packed`` is a
-    broadcast ``(ids, matrix)`` ordered by id, or None beyond the limit.
+    ``table`` holds ``(movieId, features)``, one row per movie, which :meth:`of` makes
+    or checks. ``packed`` is a broadcast ``(ids, matrix)`` ordered by id, or None beyond
+    the limit; both give the same answers.
     """
 
     table: DataFrame
@@ -43,14 +44,27 @@ class ItemFactors:
     packed: Broadcast | None
 
     @classmethod
-    def of(cls, factors: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> ItemFactors:
+    def of(
+        cls, factors: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES, order: str | None = None
+    ) -> ItemFactors:
+        """Of several rows of a movie the last by the column ``order`` stays; without an order they are an error."""
         spark: SparkSession = factors.sparkSession
-        table = factors.select(F.col("movieId").cast("int").alias("movieId"), "features").filter(
+        table = factors.withColumn("movieId", F.col("movieId").cast("int")).filter(
             "movieId IS NOT NULL AND features IS NOT NULL"
         )
+        if order is None:
+            table = table.select("movieId", "features")
+        else:
+            last = F.max(F.struct(F.col(order).alias("at"), "features"))
+            table = table.groupBy("movieId").agg(last.alias("last")).select("movieId", "last.features")
         sizes = table.agg(
-            F.count("*").alias("n"), F.min(F.size("features")).alias("low"), F.max(F.size("features")).alias("high")
+            F.count("*").alias("n"),
+            F.count_distinct("movieId").alias("movies"),
+            F.min(F.size("features")).alias("low"),
+            F.max(F.size("features")).alias("high"),
         ).first()
+        if sizes.n != sizes.movies:
+            raise ValueError(f"{sizes.n} item vectors for {sizes.movies} movies: name the column that orders them")
         if sizes.n and sizes.low != sizes.high:
             raise ValueError(f"item vectors differ in length: {sizes.low} to {sizes.high}")
         rank = sizes.high or 0
