@@ -1,0 +1,83 @@
+import base64
+import hashlib
+import re
+
+import duckdb
+from pyspark.sql import functions as F
+
+from ratingloom.llm import spotsigs
+from ratingloom.llm.oracle import ORACLES
+from tools.check_oracles import compare
+
+SCHEMA = "doc_id bigint, text string"
+TEXTS = [
+    "The cat sat on the mat, and a dog ran to the old barn in the rain.",
+    "Der Hund und die Katze im Haus.",
+    "xyz", "", None, "!!! ...", "the the the", "Êté à la mer " * 40, "a b c " * 3000, "The cat sat on the mat today.",
+    "Der Hund und die Katze im Haus.",
+]
+
+
+def signatures(text):
+    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    anchors = set(spotsigs.ANCHORS)
+    content = [w for w in words if w not in anchors]
+    found = {f"^ {' '.join(content[:2])}"} if words else set()
+    seen = 0
+    for word in words:
+        if word in anchors:
+            found.add(f"{word} {' '.join(content[seen : seen + 2])}")
+        else:
+            seen += 1
+    short = lambda s: base64.b64encode(hashlib.md5(s.encode()).digest()[:9]).decode()[:6]
+    return sorted(map(short, found))
+
+
+def like(one, other):
+    one, other = set(one), set(other)
+    return 1.0 if one == other else len(one & other) / len(one | other)
+
+
+def brute(data):
+    ordered = sorted(((i, t or "") for i, t in data), key=lambda r: (r[0] is None, -(r[0] or 0)))
+    found = {}
+    for at, (doc_id, text) in enumerate(ordered):
+        after = ordered[(at + 1) % len(ordered)][1]
+        third = len(text) // 3
+        edited = text[: len(text) - third] + after[:third]
+        own, changed = signatures(text), signatures(edited)
+        found[doc_id] = (
+            len(text), hashlib.sha256(edited.encode()).hexdigest(), " ".join(own), " ".join(changed),
+            like(own, changed), like(own, signatures(after)),
+        )
+    return found
+
+
+def test_equals_brute_force(spark):
+    data = [(i * 37 % 101 - 20, t) for i, t in enumerate(TEXTS)] + [(None, "last of all the rest")]
+    docs = spark.createDataFrame(data, SCHEMA).withColumn("range", F.lit("mine")).withColumn("next", F.lit(1))
+    result = {r.doc_id: tuple(r)[1:] for r in spotsigs.edited_fingerprints(docs.repartition(5)).collect()}
+    assert result == brute(data)
+
+
+def test_equals_its_sql(spark):
+    docs = spark.createDataFrame([(i, TEXTS[i % len(TEXTS)]) for i in range(50)], SCHEMA)
+    base = duckdb.connect()
+    base.register("documents", docs.toArrow())
+    theirs = base.sql(ORACLES["op8_fingerprints"]).to_arrow_table()
+    assert compare(spotsigs.edited_fingerprints(docs).toArrow(), theirs) == "equal, 50 rows"
+
+
+def test_repeated_rows_single_row_and_no_row(spark):
+    docs = spark.createDataFrame([(1, "the sun"), (1, "the sun"), (1, "the moon"), (2, "a star")], SCHEMA)
+    result = spotsigs.edited_fingerprints(docs).collect()
+    assert sorted(r.doc_id for r in result) == [1, 1, 2]
+    one = spotsigs.edited_fingerprints(docs.filter("doc_id = 2")).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0
+    assert spotsigs.edited_fingerprints(docs.limit(0)).count() == 0
+
+
+def test_plan_has_no_python_and_no_cross_join(spark):
+    docs = spark.createDataFrame([(1, "the sun"), (2, "a star")], SCHEMA)
+    plan = spotsigs.edited_fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
