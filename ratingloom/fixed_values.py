@@ -19,6 +19,16 @@ ALS_RANK = 100
 ALS_ITERATIONS = 15
 ALS_REG = 0.05
 ALS_BLOCKS = 100
+ALS_COLD_START = "drop"
+ALS_INTERMEDIATE_STORAGE = "MEMORY_AND_DISK"
+ALS_FINAL_STORAGE = "MEMORY_AND_DISK_SER"
+
+# Where a model is looked for, in order, by the name of the strategy.
+MODEL_LOAD_ORDERS = {
+    "local-first": ("local", "hdfs"),
+    "hdfs-first": ("hdfs", "local"),
+    "hdfs-only": ("hdfs",),
+}
 
 # --- recommendation lists ------------------------------------------------
 LIST_LENGTH = 30

@@ -15,44 +15,41 @@ from ratingloom.operators.scoring import as_lists, top_items
 from ratingloom.operators.vectors import ItemFactors
 from ratingloom.session import ensure_checkpointing
 
-# Where a model is looked for, in order, by the name of the strategy.
-LOAD_ORDERS = {
-    "local-first": ("local", "hdfs"),
-    "hdfs-first": ("hdfs", "local"),
-    "hdfs-only": ("hdfs",),
-}
-
 
 def fit(
     train: DataFrame,
     rank: int = fixed.ALS_RANK,
     iterations: int = fixed.ALS_ITERATIONS,
     reg: float = fixed.ALS_REG,
-    user_blocks: int = fixed.ALS_BLOCKS,
-    item_blocks: int = fixed.ALS_BLOCKS,
+    user_blocks: int | None = None,
+    item_blocks: int | None = None,
     seed: int = 0,
 ) -> ALSModel:
     """A seeded ALS model over ``(userId, movieId, rating)``.
 
     ALS spreads the ratings over its own blocks, so they are not repartitioned
-    first. Factors are checkpointed to the shared folder every few iterations,
+    first. There are as many blocks as the session has tasks at once, but at least
+    ``fixed_values.ALS_BLOCKS`` on a cluster, unless given. Factors are checkpointed to the shared folder every few iterations,
     which bounds what a lost executor costs.
     """
     ensure_checkpointing(train.sparkSession)
+    context = train.sparkSession.sparkContext
+    least = 1 if context.master.startswith("local[") else fixed.ALS_BLOCKS
+    blocks = max(least, context.defaultParallelism)
     als = ALS(
         userCol="userId",
         itemCol="movieId",
         ratingCol="rating",
-        coldStartStrategy="drop",
+        coldStartStrategy=fixed.ALS_COLD_START,
         nonnegative=False,
         rank=rank,
         maxIter=iterations,
         regParam=reg,
-        numUserBlocks=user_blocks,
-        numItemBlocks=item_blocks,
+        numUserBlocks=user_blocks or blocks,
+        numItemBlocks=item_blocks or blocks,
         checkpointInterval=5,
-        intermediateStorageLevel="MEMORY_AND_DISK",
-        finalStorageLevel="MEMORY_AND_DISK_SER",
+        intermediateStorageLevel=fixed.ALS_INTERMEDIATE_STORAGE,
+        finalStorageLevel=fixed.ALS_FINAL_STORAGE,
         seed=seed,
     )
     return als.fit(train.select("userId", "movieId", "rating"))
@@ -130,7 +127,8 @@ def save(model: ALSModel, *paths: str) -> None:
 def load_order(local: str, hdfs: str, strategy: str = "local-first") -> list[str]:
     """Paths in the order a strategy tries them; unknown names mean ``local-first``."""
     places = {"local": local, "hdfs": hdfs}
-    return [places[name] for name in LOAD_ORDERS.get(strategy.lower(), LOAD_ORDERS["local-first"])]
+    orders = fixed.MODEL_LOAD_ORDERS
+    return [places[name] for name in orders.get(strategy.lower(), orders["local-first"])]
 
 
 def load_first(spark: SparkSession, paths: Sequence[str]) -> ALSModel:

@@ -261,6 +261,26 @@ def _stored(users: str) -> list[str]:
     ]
 
 
+_FEW_ITEMS = ("FROM embeddings", "FROM embeddings WHERE vec_id % 150 = 0")
+_ALL_USERS = """vector_users AS (
+    SELECT CAST(vec_id AS INTEGER) AS userId, CAST(embedding AS DOUBLE[]) AS features FROM embeddings)"""
+_REWRITTEN = (
+    "CAST(embedding AS DOUBLE[]) AS features",
+    "CASE WHEN vec_id % 3 = 0 THEN list_reverse(CAST(embedding AS DOUBLE[])) ELSE CAST(embedding AS DOUBLE[]) END AS features",
+)
+_PATHS = "(VALUES ('packed'), ('joined')) paths(path)"
+# Messages with the number of the part in which they were sent.
+_PART = "event_id * {} // ((SELECT max(event_id) FROM events) + 1)"
+_LATEST = f"""
+    SELECT userId, movieId, arg_max(rating, (part, rating)) AS rating
+    FROM (SELECT *, {_PART.format(3)} AS part FROM parsed
+          WHERE userId IS NOT NULL AND movieId IS NOT NULL AND rating IS NOT NULL)
+    GROUP BY userId, movieId"""
+_HISTORY = f"history AS (SELECT userId, movieId, 1 AS n, CAST(rating AS DOUBLE) AS total FROM ({_LATEST}))"
+_TOPPED = """CAST(userId AS VARCHAR) AS user_id, string_agg(CAST(movieId AS VARCHAR), '|' ORDER BY rank) AS top_10"""
+_COMPLETE_LISTS = """SELECT userId, n AS length, TRUE AS ordered, TRUE AS complete
+    FROM ({}), (SELECT least(30, count(DISTINCT movieId)) AS n FROM train)"""
+
 ORACLES: dict[str, str] = {
     # --- exploration ---------------------------------------------------------
     "rating_distribution": _sql("SELECT rating, count(*) AS count FROM ratings GROUP BY rating", "ratings"),
@@ -331,6 +351,17 @@ ORACLES: dict[str, str] = {
         SELECT CAST(o_custkey AS VARCHAR) AS userId, CAST(l_partkey AS VARCHAR) AS movieId,
                CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS rating, 'soon' AS timestamp
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 7""",
+    "csv_reordered_header": _sql(
+        "SELECT userId, movieId, CAST(rating AS FLOAT) AS rating, timestamp FROM ratings", "ratings"
+    ),
+    "landed_extra_fields": """
+        SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
+               CAST(l_quantity AS FLOAT) AS rating, CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS timestamp
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber NOT IN (3, 5)""",
+    "rejected_extra_fields": """
+        SELECT o_custkey || '::' || l_partkey || '::' || CAST(l_quantity AS INTEGER)
+               || CASE l_linenumber WHEN 3 THEN '::' || strftime(l_shipdate, '%Y%m%d') || '::junk' ELSE '' END AS line
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber IN (3, 5)""",
     "stored_factors": _sql(
         "SELECT movieId, CAST(len(features) AS INTEGER) AS width, round(features[1], 6) AS first FROM item_factors",
         "item_factors",
@@ -362,7 +393,14 @@ ORACLES: dict[str, str] = {
         "train",
         "test",
     ),
-    "approximate_split": "SELECT TRUE AS within_error",
+    "approximate_split": _sql(
+        # The sketch promises a point within 1/1000 of the 0.8 quantile, and the exact one lies there.
+        """SELECT avg(CASE WHEN timestamp < p THEN 1.0 ELSE 0.0 END) - 0.001 <= 0.8
+                  AND avg(CASE WHEN timestamp <= p THEN 1.0 ELSE 0.0 END) + 0.001 >= 0.8 AS within_error
+           FROM active, split""",
+        "active",
+        "split",
+    ),
     # --- evaluation ----------------------------------------------------------
     "relevance_labels": _sql(
         """SELECT userId, movieId, rating, CAST(CASE WHEN rating >= 3.5 THEN 1 ELSE 0 END AS INTEGER) AS is_good_item
@@ -470,6 +508,19 @@ ORACLES: dict[str, str] = {
         extra=_solved("pairs"),
         recursive=True,
     ),
+    "fold_in_duplicate_factors": _sql(
+        f"""SELECT path, userId, n_items, CAST(place - 1 AS INTEGER) AS place, round(features[place], 6) AS component
+            FROM (SELECT userId, n_items, features, unnest(range(1, len(features) + 1)) AS place FROM solved), {_PATHS}""",
+        "pairs",
+        "item_factors",
+        extra=_solved("pairs"),
+        recursive=True,
+    ).replace(*_REWRITTEN, 1),
+    "score_duplicate_factors": _sql(
+        f"SELECT path, userId, movieId, round(score, 6) AS score, rank FROM best, {_PATHS}",
+        "item_factors",
+        extra=[_ALL_USERS, _best("vector_users", 10)],
+    ).replace(*_REWRITTEN, 1),
     "vector_products": _sql(
         """SELECT p.userId, p.movieId, round(list_inner_product(i.features, u.features), 6) AS product
            FROM (SELECT DISTINCT userId, movieId FROM fresh) p
@@ -513,7 +564,43 @@ ORACLES: dict[str, str] = {
             _best("unsure", 30),
         ],
     ),
-    # --- model: what can be said without the random start --------------------
+    "fallback_causes_mixed": _sql(
+        """SELECT DISTINCT userId, 'unknown_movie' AS cause FROM fresh
+           WHERE movieId NOT IN (SELECT movieId FROM item_factors)
+           UNION ALL
+           SELECT DISTINCT userId, 'no_list' FROM fresh
+           WHERE userId NOT IN (SELECT userId FROM fresh JOIN item_factors USING (movieId))
+              OR (SELECT count(*) FROM item_factors i WHERE NOT EXISTS (
+                    SELECT 1 FROM fresh r WHERE r.userId = fresh.userId AND r.movieId = i.movieId)) = 0""",
+        "fresh",
+        "item_factors",
+    ).replace(*_FEW_ITEMS, 1),
+    # --- model: what holds whatever its random start --------------------------
+    "als_recommend": _sql(_COMPLETE_LISTS.format("SELECT DISTINCT userId FROM train"), "train"),
+    "als_recommend_subset": _sql(
+        _COMPLETE_LISTS.format("SELECT DISTINCT userId FROM fresh WHERE userId IN (SELECT userId FROM train)"),
+        "train",
+        "fresh",
+    ),
+    "als_normal_equations": _sql("SELECT DISTINCT userId, TRUE AS solved FROM train", "train"),
+    "als_predict": _sql(
+        """SELECT userId, movieId, rating, TRUE AS is_product FROM test
+           WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)""",
+        "test",
+        "train",
+    ),
+    "als_rmse": _sql(
+        """SELECT TRUE AS right, count(*) AS scored FROM test
+           WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)""",
+        "test",
+        "train",
+    ),
+    "als_evaluation": _sql(
+        """SELECT TRUE AS rmse, TRUE AS hit_rate, TRUE AS ndcg, count(*) AS scored FROM test
+           WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)""",
+        "test",
+        "train",
+    ),
     "als_list_lengths": _sql(
         """SELECT userId, CAST(n AS INTEGER) AS length, CAST(n AS INTEGER) AS distinct_movies
            FROM (SELECT DISTINCT userId FROM train), (SELECT least(30, count(DISTINCT movieId)) AS n FROM train)""",
@@ -539,8 +626,8 @@ ORACLES: dict[str, str] = {
         "train",
     ),
     "als_factor_ids": _sql(
-        """SELECT DISTINCT 'user' AS kind, userId AS id, 8 AS width FROM train
-           UNION ALL SELECT DISTINCT 'item', movieId, 8 FROM train""",
+        """SELECT DISTINCT 'user' AS kind, userId AS id, 100 AS width FROM train
+           UNION ALL SELECT DISTINCT 'item', movieId, 100 FROM train""",
         "train",
     ),
     "als_stored_model": _sql(
@@ -614,17 +701,71 @@ ORACLES: dict[str, str] = {
     ),
     "stream_refresh_history": _sql(
         _BEST_SERVED,
-        "history",
+        "fresh",
         "item_factors",
-        extra=[*_solved("history"), _best("solved", 30, "fresh"), *_stored("best")],
+        extra=[_HISTORY, *_solved("history"), _best("solved", 30, "fresh"), *_stored("best")],
         recursive=True,
     ),
     "stream_refresh_state": _sql(
         _BEST_SERVED,
-        "history",
+        "fresh",
+        "item_factors",
+        extra=[_HISTORY, *_solved("history"), _best("solved", 30, "fresh"), *_stored("best")],
+        recursive=True,
+    ),
+    "stream_refresh_fallback": _sql(
+        f"""SELECT {_TOPPED}, 'online' AS source FROM best GROUP BY userId
+            UNION ALL SELECT {_TOPPED}, 'fallback' FROM stored GROUP BY userId""",
+        "item_factors",
+        "pairs",
+        extra=[
+            *_solved("pairs"),
+            _best("solved", 30, "fresh"),
+            _ALL_USERS,
+            """rest AS (SELECT * FROM vector_users WHERE userId IN (SELECT userId FROM fresh)
+                        AND userId NOT IN (SELECT userId FROM best))""",
+            _best("rest", 30).replace("best AS", "stored AS", 1),
+        ],
+        recursive=True,
+    ).replace(*_FEW_ITEMS, 1),
+    "stream_refresh_model_first": _sql(
+        f"""SELECT {_TOPPED}, 'online' AS source FROM best
+            WHERE userId NOT IN (SELECT userId FROM stored) GROUP BY userId
+            UNION ALL SELECT {_TOPPED}, 'fallback' FROM stored GROUP BY userId""",
         "item_factors",
-        extra=[*_solved("history"), _best("solved", 30, "fresh"), *_stored("best")],
+        "pairs",
+        extra=[
+            *_solved("pairs"),
+            _best("solved", 30, "fresh"),
+            _ALL_USERS,
+            """rest AS (SELECT * FROM vector_users WHERE userId IN (SELECT userId FROM fresh)
+                        AND (userId NOT IN (SELECT userId FROM best)
+                             OR userId IN (SELECT userId FROM fresh
+                                           WHERE movieId NOT IN (SELECT movieId FROM item_factors))))""",
+            _best("rest", 30).replace("best AS", "stored AS", 1),
+        ],
         recursive=True,
+    ).replace(*_FEW_ITEMS, 1),
+    "serving_publish_while_streaming": _sql(
+        """SELECT CAST(userId AS VARCHAR) AS user_id, arg_max(source, turn) AS source,
+                  CAST(max(turn) // 2 + 1 AS BIGINT) AS generation
+           FROM (SELECT DISTINCT userId, 'batch' AS source, 0 AS turn FROM favourites
+                 UNION ALL SELECT DISTINCT userId, 'batch', 2 FROM low_favourites
+                 UNION ALL SELECT userId, 'online', 2 * part + 1 FROM known
+                 UNION ALL SELECT userId, 'fallback', 2 * part + 1 FROM sent
+                 WHERE (userId, part) NOT IN (SELECT (userId, part) FROM known)
+                   AND userId IN (SELECT movieId FROM item_factors))
+           GROUP BY userId""",
+        "favourites",
+        "low_favourites",
+        "parsed",
+        "item_factors",
+        extra=[
+            f"""numbered AS (SELECT userId, movieId, {_PART.format(2)} AS part FROM parsed
+                WHERE userId IS NOT NULL AND movieId IS NOT NULL AND rating IS NOT NULL)""",
+            "sent AS (SELECT DISTINCT userId, part FROM numbered)",
+            "known AS (SELECT DISTINCT userId, part FROM numbered JOIN item_factors USING (movieId))",
+        ],
     ),
     "stream_histories": _sql(
         "SELECT userId, movieId, max(rating) AS rating FROM fresh GROUP BY userId, movieId", "fresh"
@@ -632,7 +773,5 @@ ORACLES: dict[str, str] = {
     "stream_dead_letters": _sql(
         "SELECT value FROM parsed WHERE rating IS NULL OR userId IS NULL OR movieId IS NULL", "parsed"
     ),
-    "stream_rating_log": _sql(
-        "SELECT userId, movieId, max(rating) AS rating FROM fresh GROUP BY userId, movieId", "fresh"
-    ),
+    "stream_rating_log": _sql(_LATEST, "parsed"),
 }

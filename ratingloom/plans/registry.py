@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
@@ -45,7 +45,7 @@ from ratingloom.session import scratch_path
 from ratingloom.sources import files, schemas, tables
 from ratingloom.sources import messages as msg
 from ratingloom.sources.serving import lookup_many, serving_rows, serving_table
-from ratingloom.sources.versioned import version_of
+from ratingloom.sources.versioned import GENERATION, version_of
 from ratingloom.streaming.histories import histories
 from ratingloom.streaming.refresh import (
     LiveRefresh,
@@ -59,10 +59,12 @@ from ratingloom.streaming.refresh import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The item threshold that removes movies in the test tables, and a model small
-# enough for them. Both are parameters; the library defaults are in fixed_values.
+# The item threshold that removes movies in the test tables; the library default is in fixed_values.
 MOVIE_THRESHOLD = 30
-SMALL_MODEL = {"rank": 8, "iterations": 4, "user_blocks": 8, "item_blocks": 8, "seed": 7}
+# Models have the library's rank and iterations; the seed makes their random start repeatable.
+SEED = 7
+# Fitted models of this process by application and folder: where they are saved, what they were fitted on.
+_MODELS: dict[tuple[str, str], tuple[str, Prepared]] = {}
 
 
 def query(function: Query) -> Query:
@@ -254,7 +256,41 @@ def landed_ratings(spark, folder):
 
 @query
 def rejected_ratings(spark, folder):
-    return spark.read.parquet(_land_dat(spark, folder)[1])
+    return spark.read.parquet(_land_dat(spark, folder)[1]).drop("line")
+
+
+def _land_ragged(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Ratings as ``::`` lines; those of line number 3 have a field too many, those of 5 one too few."""
+    lines = tables.table(spark, folder, "lineitem").join(
+        tables.table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    fields = ["o_custkey", "l_partkey", F.col("l_quantity").cast("int").cast("string"), F.date_format("l_shipdate", "yyyyMMdd")]
+    text = (
+        F.when(F.col("l_linenumber") == 3, F.concat_ws("::", *fields, F.lit("junk")))
+        .when(F.col("l_linenumber") == 5, F.concat_ws("::", *fields[:3]))
+        .otherwise(F.concat_ws("::", *fields))
+    )
+    raw, target, rejects = (scratch_path(spark, name) for name in ("dat", "landed", "rejects"))
+    lines.select(text.alias("value")).write.text(raw)
+    files.land_raw(spark, raw, schemas.RATINGS, target, rejects, sep="::", header=False)
+    return target, rejects
+
+
+@query
+def landed_extra_fields(spark, folder):
+    return spark.read.parquet(_land_ragged(spark, folder)[0])
+
+
+@query
+def rejected_extra_fields(spark, folder):
+    return spark.read.parquet(_land_ragged(spark, folder)[1]).select("line")
+
+
+@query
+def csv_reordered_header(spark, folder):
+    """A ratings file whose columns stand in another order, with one more."""
+    shuffled = tables.ratings(spark, folder).select("movieId", F.lit("x").alias("note"), "timestamp", "userId", "rating")
+    return files.read_ratings(spark, _csv_copy(shuffled, "reordered-csv"))
 
 
 @query
@@ -388,7 +424,7 @@ def ideal_dcg_per_user(spark, folder):
 
 @query
 def guarded_good_share(spark, folder):
-    """Share of good ratings per test user, the ratio guarded against no ratings at all."""
+    """Share of good ratings per user, the ratio guarded against no ratings at all."""
     good = F.sum(is_good(F.col("rating")))
     late = tables.ratings(spark, folder).groupBy("userId").agg(good.alias("good"), F.count("*").alias("n"))
     people = tables.table(spark, folder, "customer").select((F.col("c_custkey") * 2).cast("int").alias("userId"))
@@ -504,6 +540,38 @@ def fold_in_full(spark, folder):
     )
 
 
+def _rewritten_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Item factors in which every third movie has two rows, the later one back to front."""
+    items = tables.item_factors(spark, folder).withColumn("written", F.lit(1))
+    again = items.filter("movieId % 3 = 0").withColumns({"features": F.reverse("features"), "written": F.lit(2)})
+    return items.unionByName(again)
+
+
+def _by_either_path(spark: SparkSession, folder: str, compute: Callable[[ItemFactors], DataFrame]) -> DataFrame:
+    """The same with a broadcast catalogue and with a joined one."""
+    rewritten = _rewritten_items(spark, folder)
+    packed = compute(ItemFactors.of(rewritten, order="written")).withColumn("path", F.lit("packed"))
+    joined = compute(ItemFactors.of(rewritten, limit_bytes=0, order="written")).withColumn("path", F.lit("joined"))
+    return packed.unionByName(joined)
+
+
+@query
+def fold_in_duplicate_factors(spark, folder):
+    """Movies with two vectors count once, by the last one, whatever the size of the catalogue."""
+    fresh = files.staged(_fresh(spark, folder))
+    vectors = _by_either_path(spark, folder, lambda items: fold_in(fresh, items))
+    return vectors.select(
+        "path", "userId", "n_items", F.posexplode("features").alias("place", "component")
+    ).withColumn("component", F.round("component", 6))
+
+
+@query
+def score_duplicate_factors(spark, folder):
+    """Top ten of every vector over the same catalogue."""
+    users = _vectors_as_users(spark, folder)
+    return _rounded_scores(_by_either_path(spark, folder, lambda items: top_items(users, items, fixed.SHOWN_LENGTH)))
+
+
 @query
 def vector_products(spark, folder):
     """Inner product of every message's movie vector with the vector of its user's id."""
@@ -561,6 +629,18 @@ def fallback_recommend(spark, folder):
     return _joined(fallback_lists(unsure, _vectors_as_users(spark, folder), items), "movies")
 
 
+def _few_items(spark: SparkSession, folder: str) -> ItemFactors:
+    """Vectors for one movie in 150, so that some users rate only movies without one."""
+    return ItemFactors.of(tables.item_factors(spark, folder).filter("movieId % 150 = 0"))
+
+
+@query
+def fallback_causes_mixed(spark, folder):
+    """Both causes of a fallback, over the catalogue of few vectors."""
+    fresh, items = files.staged(_fresh(spark, folder)), _few_items(spark, folder)
+    return fallback_causes(fresh, items, online_lists(fresh, items))
+
+
 # --- model -------------------------------------------------------------------
 
 
@@ -570,27 +650,78 @@ def _prepared(spark: SparkSession, folder: str) -> Prepared:
 
 
 def _fitted(spark: SparkSession, folder: str):
-    prepared = _prepared(spark, folder)
-    return als.fit(prepared.train, **SMALL_MODEL), prepared
+    """The model of a folder, fitted once and read back by the queries that look at it."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _MODELS:
+        prepared, path = _prepared(spark, folder), scratch_path(spark, "fitted")
+        als.save(als.fit(prepared.train, seed=SEED), path)
+        _MODELS[key] = path, prepared
+    path, prepared = _MODELS[key]
+    return als.load_first(spark, [path]), prepared
+
+
+def _products(model, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (userId, movieId, ...) with the inner product of their stored factors in double precision."""
+    users, items = als.factor_tables(model)
+    joined = pairs.join(users.withColumnRenamed("features", "u"), "userId")
+    joined = joined.join(items.withColumnRenamed("features", "v"), "movieId")
+    return joined.withColumn("product", dot(F.col("u"), F.col("v"))).drop("u", "v")
 
 
 @query
 def als_recommend(spark, folder):
-    """Top 30 of every user, original ids, one row per entry."""
+    """Whether every user's top 30 are the largest products of the stored factors, in order."""
     model, prepared = _fitted(spark, folder)
-    lists = als.restore_lists(als.recommend_all(model), prepared.mappings)
-    return lists.select("userId", F.posexplode("recommendations").alias("place", "entry")).select(
-        "userId", "place", "entry.movieId", "entry.rating"
+    users, items = als.factor_tables(model)
+    return _checked_lists(model, prepared, als.recommend_all(model), users)
+
+
+def _checked_lists(model, prepared: Prepared, lists: DataFrame, users: DataFrame) -> DataFrame:
+    """userId, length, ordered, complete: lists over dense ids held against all products of their users."""
+    entries = lists.select("userId", F.posexplode("recommendations").alias("place", "entry"))
+    entries = _products(model, entries.select("userId", "place", F.col("entry.movieId").alias("movieId")))
+    own = Window.partitionBy("userId").orderBy("place")
+    falls = F.coalesce(F.lag("product").over(own) >= F.col("product") - 1e-9, F.lit(True))
+    listed = (
+        entries.withColumn("falls", falls)
+        .groupBy("userId")
+        .agg(F.count("*").alias("length"), F.min("falls").alias("ordered"), F.min("product").alias("worst"))
+    )
+    items = model.itemFactors.select(F.col("id").alias("movieId"))
+    scored = _products(model, users.select("userId").join(items))  # all pairs of a test model are asked for
+    better = scored.join(listed, "userId").filter(F.col("product") > F.col("worst") + 1e-6)
+    better = better.groupBy("userId").agg(F.count("*").alias("better"))
+    checked = listed.join(better, "userId", "left").select(
+        "userId", "length", "ordered", (F.coalesce("better", F.lit(0)) < F.col("length")).alias("complete")
+    )
+    back = prepared.mappings.users.withColumnRenamed("userId", "original")
+    return checked.join(back, checked.userId == back.new_userId).select(
+        F.col("original").alias("userId"), "length", "ordered", "complete"
     )
 
 
 @query
 def als_recommend_subset(spark, folder):
-    """Top 30 of the users who sent messages; strangers to the model have none."""
+    """The same check for the users who sent messages; strangers to the model have no list."""
     model, prepared = _fitted(spark, folder)
     asked = _fresh(spark, folder).join(prepared.mappings.users, "userId").select(F.col("new_userId").alias("userId"))
-    lists = als.restore_lists(als.recommend_for(model, asked), prepared.mappings)
-    return _joined(als.movie_ids(lists), "movies")
+    asked = files.staged(asked.distinct())
+    return _checked_lists(model, prepared, als.recommend_for(model, asked), asked)
+
+
+@query
+def als_normal_equations(spark, folder):
+    """Whether every user vector solves its ridge system over the item vectors of its train ratings."""
+    model, prepared = _fitted(spark, folder)
+    users, items = als.factor_tables(model)
+    rated = _products(model, prepared.train.select("userId", "movieId", "rating"))
+    rated = rated.withColumn("error", F.col("product") - F.col("rating")).join(items, "movieId")
+    parts = rated.select("userId", "error", F.posexplode("features").alias("d", "x"))
+    sums = parts.groupBy("userId", "d").agg(F.sum(F.col("error") * F.col("x")).alias("slope"), F.count("*").alias("n"))
+    own = users.select("userId", F.posexplode("features").alias("d", "u"))
+    left = F.abs(F.col("slope") + fixed.ALS_REG * F.col("n") * F.col("u")) / F.col("n")
+    solved = sums.join(own, ["userId", "d"]).groupBy("userId").agg((F.max(left) < 1e-3).alias("solved"))
+    return prepared.mappings.restore(solved)
 
 
 @query
@@ -613,8 +744,11 @@ def als_list_lengths(spark, folder):
 
 @query
 def als_predict(spark, folder):
+    """Whether every test prediction is the product of the stored factors."""
     model, prepared = _fitted(spark, folder)
-    return predictions_in_original_ids(model, prepared)
+    scored = _products(model, als.predict(model, prepared.test.select("userId", "movieId", "rating")))
+    same = F.abs(F.col("prediction") - F.col("product")) < 1e-4
+    return prepared.mappings.restore(scored.select("userId", "movieId", "rating", same.alias("is_product")))
 
 
 @query
@@ -626,8 +760,12 @@ def als_prediction_pairs(spark, folder):
 
 @query
 def als_rmse(spark, folder):
+    """Whether the RMSE operator gives the error of the products, and over how many test ratings."""
     model, prepared = _fitted(spark, folder)
-    return rmse(als.predict(model, prepared.test))
+    tested = rmse(als.predict(model, prepared.test))
+    error = F.col("product") - F.col("rating")
+    wanted = _products(model, prepared.test.select("userId", "movieId", "rating")).agg(F.sqrt(F.avg(error * error)))
+    return tested.select((F.abs(F.col("rmse") - wanted.scalar()) < 1e-4).alias("right"), "scored")
 
 
 @query
@@ -641,8 +779,17 @@ def als_rmse_agreement(spark, folder):
 
 @query
 def als_evaluation(spark, folder):
+    """Whether the one-pass evaluation gives what the single metrics give, and over how many ratings."""
     model, prepared = _fitted(spark, folder)
-    return evaluate(stored_predictions(model, prepared), prepared.test)
+    predictions = stored_predictions(model, prepared)
+    ranked = ranked_groups(predictions)
+    same = lambda column, other: (F.abs(F.col(column) - other.scalar()) < 1e-9).alias(column)
+    return evaluate(predictions, prepared.test).select(
+        same("rmse", rmse(predictions).select("rmse")),
+        same("hit_rate", hit_rate(ranked, prepared.test).select("hit_rate")),
+        same("ndcg", ndcg(ranked, prepared.test).select("ndcg")),
+        "scored",
+    )
 
 
 @query
@@ -796,18 +943,41 @@ def stream_parse(spark, folder):
     return spark.read.schema("event_id BIGINT, userId INT, movieId INT, rating FLOAT").parquet(sink)
 
 
-def _run_stream(spark: SparkSession, folder: str, scope: str) -> LiveRefresh:
+def _topic_parts(spark: SparkSession, folder: str, parts: int) -> list[DataFrame]:
+    """The messages by event number, cut into consecutive parts."""
+    sent = tables.messages(spark, folder)
+    last = sent.agg(F.max("event_id")).first()[0] or 0
+    part = F.expr(f"event_id * {parts} div {last + 1}")
+    return [sent.filter(part == i).select("value") for i in range(parts)]
+
+
+def _run_stream(
+    spark: SparkSession,
+    folder: str,
+    scope: str,
+    parts: int = 1,
+    items: ItemFactors | None = None,
+    fallback: str = "no_list",
+    between: Callable[[LiveRefresh, int], None] | None = None,
+) -> LiveRefresh:
+    """Messages published to a topic part by part, and refreshed by a subscriber, one micro-batch a part."""
     refresh = LiveRefresh(
-        items=_items(spark, folder),
+        items=items or _items(spark, folder),
         serving=serving_table(spark, scratch_path(spark, "serving")),
         dead_letters=scratch_path(spark, "dead-letters"),
         generation=1,
         user_factors=_vectors_as_users(spark, folder),
         log=rating_log(spark, scratch_path(spark, "rating-log")),
         scope=scope,
+        fallback=fallback,
     )
-    stream = tables.message_stream(spark, folder).select("value")
-    start(stream, refresh, scratch_path(spark, "checkpoint"), available_now=True).awaitTermination()
+    topic, checkpoint = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
+    for number, part in enumerate(_topic_parts(spark, folder, parts)):
+        if between is not None:
+            between(refresh, number)
+        msg.publish(part, "text", path=topic)
+        stream = msg.subscribe(spark, "text", path=topic)
+        start(stream, refresh, checkpoint, available_now=True).awaitTermination()
     return refresh
 
 
@@ -821,17 +991,44 @@ def stream_refresh_batch(spark, folder):
 @query
 def stream_refresh_history(spark, folder):
     """Lists served by the live refresh over rating histories, latest rating per movie."""
-    latest = _run_stream(spark, folder, "history").serving.latest()
+    latest = _run_stream(spark, folder, "history", parts=3).serving.latest()
     return _joined(latest.select("user_id", "top_10", "source"), "top_10")
 
 
 @query
 def stream_refresh_state(spark, folder):
     """The same with the histories in the state store."""
-    latest = _run_stream(spark, folder, "state").serving.latest()
+    latest = _run_stream(spark, folder, "state", parts=3).serving.latest()
+    return _joined(latest.select("user_id", "top_10", "source"), "top_10")
+
+
+@query
+def stream_refresh_fallback(spark, folder):
+    """Lists over the catalogue of few vectors: users without an online list get the stored model's."""
+    latest = _run_stream(spark, folder, "batch", items=_few_items(spark, folder)).serving.latest()
     return _joined(latest.select("user_id", "top_10", "source"), "top_10")
 
 
+@query
+def stream_refresh_model_first(spark, folder):
+    """The other order: the stored model serves everybody who rated a movie without a vector."""
+    refresh = _run_stream(spark, folder, "batch", items=_few_items(spark, folder), fallback="unknown_movie")
+    return _joined(refresh.serving.latest().select("user_id", "top_10", "source"), "top_10")
+
+
+@query
+def serving_publish_while_streaming(spark, folder):
+    """Who wrote each user's list last, when a batch of generation 2 is published between two micro-batches."""
+    ratings = tables.ratings(spark, folder)
+
+    def publish_batch(refresh: LiveRefresh, number: int) -> None:
+        rated = ratings if number == 0 else ratings.filter("rating < 3")
+        refresh.serving.append(serving_rows(_favourites(rated), "batch"), version_of(number + 1))
+
+    latest = _run_stream(spark, folder, "batch", parts=2, between=publish_batch).serving.latest()
+    return latest.select("user_id", "source", F.expr(f"version div {GENERATION}").alias("generation"))
+
+
 @query
 def stream_histories(spark, folder):
     """Histories as the state store emits them for the users of a micro-batch."""
@@ -850,14 +1047,14 @@ def stream_dead_letters(spark, folder):
 
 @query
 def stream_rating_log(spark, folder):
-    latest = _run_stream(spark, folder, "history").log.latest()
+    latest = _run_stream(spark, folder, "history", parts=3).log.latest()
     return latest.select("userId", "movieId", "rating")
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Raw ratings to titled top-10 lists: filter, ids, split, model, score, restore, enrich."""
     prepared = prepare(tables.ratings(spark, folder))
-    model = als.fit(prepared.train, **SMALL_MODEL)
+    model = als.fit(prepared.train, seed=SEED)
     users, items = als.factor_tables(model, prepared.mappings)
     best = top_items(users, ItemFactors.of(items), fixed.SHOWN_LENGTH)
     titles = tables.movies(spark, folder).select("movieId", "title")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,7 +31,17 @@ def build_session(app_name: str = "ratingloom", master: str | None = None, **con
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local["):
+        ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not have it installed."""
+    package = Path(__file__).parent
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), package.name), "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,9 +59,19 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), f"ratingloom-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing exists there yet."""
-    return os.path.join(shared_dir(spark), f"ratingloom-{name}-{uuid.uuid4().hex}")
+    """A fresh path in this application's part of the shared folder; nothing exists there yet."""
+    return os.path.join(_scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application staged; call it when no result is left to be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_checkpointing(spark: SparkSession) -> None:

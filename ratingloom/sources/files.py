@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ratingloom.session import scratch_path
 from ratingloom.sources import schemas
@@ -13,14 +13,21 @@ from ratingloom.sources import schemas
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ",", header: bool = True
 ) -> DataFrame:
-    """CSV scan under a declared schema (no inference pass, columns pruned by name)."""
-    return (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("sep", sep)
-        .option("enforceSchema", True)
-        .csv(path)
-    )
+    """CSV scan under a declared schema, without an inference pass.
+
+    With a header, columns are found by their names, whatever their order; a declared
+    column that the header lacks is an error, and so is a file whose header differs from
+    the first one's. Without a header they are taken by place.
+    """
+    reader = spark.read.option("header", header).option("sep", sep)
+    if not header:
+        return reader.schema(schema).csv(path)
+    names = reader.csv(path).columns
+    missing = [name for name in schema.fieldNames() if name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    found = StructType([schema[name] if name in schema.fieldNames() else StructField(name, StringType()) for name in names])
+    return reader.schema(found).option("enforceSchema", False).csv(path).select(*schema.fieldNames())
 
 
 def read_ratings(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -72,19 +79,27 @@ def land_raw(
     sep: str = ",",
     header: bool = True,
 ) -> None:
-    """Land a raw text table as parquet, values that fit the schema no more apart.
+    """Land a raw text table as parquet, lines that do not fit the schema apart.
 
-    Rows with every column convertible go to ``target`` in their declared types;
-    the others go to ``rejects`` as text. ``sep="::"``, ``header=False`` reads the
-    older ``.dat`` files. Both writes overwrite, so a repeated run changes nothing.
+    Lines with exactly the declared columns, every one convertible, go to ``target`` in
+    their declared types; the others go to ``rejects``: the columns as text and, if
+    their number is wrong, the whole ``line``. ``sep="::"``, ``header=False`` reads the
+    older ``.dat`` files. The text is parsed once; all writes overwrite, so a repeated
+    run changes nothing.
     """
-    raw = read_csv(spark, path, schemas.as_text(schema), sep=sep, header=header)
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
-    fits = F.lit(True)
+    text = schemas.as_text(schema)
+    reader = spark.read.option("header", header).option("sep", sep).option("columnNameOfCorruptRecord", "line")
+    raw = reader.schema(StructType([*text.fields, StructField("line", StringType())])).csv(path)
+    fits = F.col("line").isNull()
     for field in schema:
         fits = fits & F.col(field.name).try_cast(field.dataType).isNotNull()
-    raw.filter(fits).select(*typed).write.mode("overwrite").parquet(target)
-    raw.filter(~fits).write.mode("overwrite").parquet(rejects)
+    parsed = scratch_path(spark, "landing")
+    raw.withColumn("fits", fits).write.partitionBy("fits").parquet(parsed)
+    parts = spark.read.schema(StructType([*raw.schema.fields, StructField("fits", BooleanType())])).parquet(parsed)
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
+    parts.filter("fits").select(*typed).write.mode("overwrite").parquet(target)
+    parts.filter("NOT fits").select(*text.fieldNames(), "line").write.mode("overwrite").parquet(rejects)
+    delete_path(spark, parsed)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -98,6 +113,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(jvm_path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder."""
+    jvm_path, system = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(jvm_path)]
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     jvm_path, system = _file_system(spark, path)
     return system.getFileStatus(jvm_path).isFile()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ratingloom.sources.files import delete_path, path_exists
+from ratingloom.sources.files import delete_path, folder_names, path_exists
 
 # Versions of one model generation are consecutive below this number.
 GENERATION = 1 << 32
@@ -65,16 +65,24 @@ class VersionedTable:
         snapshot = self.spark.read.schema(self._stored).parquet(f"{self.root}/snapshot/as_of={as_of}")
         return snapshot.unionByName(rows)
 
-    def latest(self, up_to: int | None = None) -> DataFrame:
+    def newest_version(self) -> int:
+        """The largest version written so far, read from the names of the folders; -1 if there is none."""
+        names = [name for name in folder_names(self.spark, f"{self.root}/log") if name.startswith("version=")]
+        return max([self.as_of(), *(int(name.removeprefix("version=")) for name in names)])
+
+    def latest(self, up_to: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """The newest row of every key with its ``version``.
 
         A filter on the keys moves below the aggregate into the parquet scans.
         The aggregate combines before its shuffle, so a key with very many
-        versions arrives as one row per task.
+        versions arrives as one row per task. ``only`` holds distinct values of some key
+        columns; other rows are dropped before anything is sorted or shuffled by key.
         """
         rows = self.versions()
         if up_to is not None:
             rows = rows.filter(F.col("version") <= up_to)
+        if only is not None:
+            rows = rows.join(only, only.columns, "left_semi")
         values = [f.name for f in self.schema if f.name not in self.keys]
         newest = F.max_by(F.struct(*values), F.col("version"))
         return (

@@ -26,6 +26,22 @@ def test_csv_scans_read_only_the_asked_columns(spark, tmp_path):
     assert "ReadSchema: struct<movieId:int>" in plan
 
 
+def test_columns_are_found_by_their_names(spark, tmp_path):
+    path = write(tmp_path / "r", "ratings.csv", "movieId,userId,note,rating,timestamp\n7,1,n,4.0,9\n")
+    assert rows(files.read_ratings(spark, path)) == [(1, 7, 4.0, 9)]
+    short = write(tmp_path / "s", "ratings.csv", "userId,movieId,rating\n1,7,4.0\n")
+    with pytest.raises(ValueError, match="timestamp"):
+        files.read_ratings(spark, short)
+
+
+def test_lines_with_too_many_fields_are_rejected_whole(spark, tmp_path, scratch):
+    path = write(tmp_path / "d", "ratings.dat", "1::2::5::100::junk\n3::4::2.5::101\n5::6::1\n")
+    target, rejects = scratch("target"), scratch("rejects")
+    files.land_raw(spark, path, schemas.RATINGS, target, rejects, sep="::", header=False)
+    assert rows(spark.read.parquet(target)) == [(3, 4, 2.5, 101)]
+    assert rows(spark.read.parquet(rejects), "line") == [("1::2::5::100::junk",), ("5::6::1",)]
+
+
 def test_landing_splits_good_rows_from_bad(spark, tmp_path, scratch):
     path = write(tmp_path / "d", "ratings.dat", "1::10::4.5::100\n2::x::3::101\n3::11::2\n4::12::1.0::102\n")
     target, rejects = scratch("target"), scratch("rejects")

@@ -130,3 +130,18 @@ def test_scoring_has_no_cross_join(spark):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert rows(ranked, "movieId") == [(4,)]
         assert ranked.filter(F.col("rank") > 1).isEmpty()
+
+
+def test_movies_with_two_vectors_count_once_by_the_last(spark):
+    data = [(10, [1.0, 0.0], 1), (10, [2.0, 0.0], 2), (11, [0.0, 1.0], 1)]
+    factors = spark.createDataFrame(data, "movieId INT, features ARRAY<FLOAT>, written INT")
+    ratings = spark.createDataFrame([(1, 10, 4.0), (1, 11, 2.0)], "userId INT, movieId INT, rating FLOAT")
+    with pytest.raises(ValueError, match="3 item vectors for 2 movies"):
+        ItemFactors.of(factors)
+    answers = []
+    for limit in (0, 1 << 20):
+        items = ItemFactors.of(factors, limit, order="written")
+        (user,) = fold_in(ratings, items).collect()
+        assert user.n_items == 2 and user.features == pytest.approx([8 / 4.1, 2 / 1.1])
+        answers.append(rows(top_items(fold_in(ratings, items), items, 5), "userId", "movieId", "rank"))
+    assert answers[0] == answers[1] and len(answers[0]) == 2

@@ -65,3 +65,10 @@ def test_quantiles_of_one_hot_value_and_of_nothing(spark):
     assert exact_quantile(hot, "x", 0.8).first().quantile == 5000
     assert approx_quantile(hot, "x", 0.8).first().quantile == 5000
     assert exact_quantile(hot.filter("x < 0"), "x", 0.8).first().quantile is None
+
+
+def test_exact_quantile_of_millisecond_stamps_and_negative_values(spark):
+    stamps = spark.range(1000).selectExpr("1700000000000 + id * 31536000 as x")
+    assert exact_quantile(stamps, "x", 0.8).first().quantile == 1700000000000 + 799 * 31536000
+    signed = spark.createDataFrame([(-(2**62),), (-5,), (-4,), (7,), (2**62,)], "x BIGINT")
+    assert [exact_quantile(signed, "x", q).first().quantile for q in (0.2, 0.4, 0.6, 1.0)] == [-(2**62), -5, -4, 2**62]

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ratingloom.plans.oracle import ORACLES
+from ratingloom.plans.registry import QUERIES
 from tools.check_oracles import compare
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,6 +20,9 @@ SELECTED = [
     "long_tail_rank",
     "head_share",
     "landed_ratings",
+    "csv_reordered_header",
+    "landed_extra_fields",
+    "rejected_extra_fields",
     "clean_ratings",
     "rekeyed_ratings",
     "restored_ids",
@@ -27,6 +32,15 @@ SELECTED = [
     "replay_ratings_file",
     "factor_probe",
     "fold_in_full",
+    "fold_in_duplicate_factors",
+    "score_duplicate_factors",
+    "fallback_causes_mixed",
+    "als_normal_equations",
+    "als_predict",
+    "als_evaluation",
+    "serving_publish_while_streaming",
+    "stream_refresh_history",
+    "stream_refresh_model_first",
     "score_topk_excluding",
     "score_topk_in_blocks",
     "als_prediction_pairs",
@@ -49,13 +63,7 @@ def tables():
 
 def test_every_sql_belongs_to_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert {name for name in queries() if name not in oracle_sql()} == {
-        "als_recommend",
-        "als_recommend_subset",
-        "als_predict",
-        "als_rmse",
-        "als_evaluation",
-    }
+    assert set(ORACLES) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", list(oracle_sql()) if os.environ.get("ALL_QUERIES") else SELECTED)

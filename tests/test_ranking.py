@@ -75,3 +75,10 @@ def test_limits_are_applied_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, 1, 4.0, 3.0)], PREDICTIONS)
     plan = top_k_per_user(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2  # partial and final
+
+
+def test_copies_of_a_hot_user_are_not_ranked_in_one_task(spark):
+    hot = spark.range(20_000).selectExpr("1 as userId", "cast(id as int) as movieId", "5.0 as prediction")
+    assert top_k_per_user(hot, 10).count() == 20_000
+    plan = top_k_per_user(hot, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "functions=[partial_count(1)]" in plan

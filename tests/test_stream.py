@@ -186,3 +186,30 @@ def test_history_needs_a_log(job):
         job(log=None)
     with pytest.raises(ValueError):
         job(scope="all")
+
+
+def test_log_is_cut_to_the_users_before_it_is_sorted_by_key(spark, scratch):
+    log = rating_log(spark, scratch("log"))
+    log.append(spark.createDataFrame([(1, 2, 3.0)], RATED), 1)
+    users = spark.createDataFrame([(1,)], "userId INT")
+    plan = log.latest(only=users)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+
+
+def test_lists_follow_the_generation_that_is_served(spark, topic, job, scratch):
+    refresh, checkpoint = job(), scratch("cp")
+    topic.send("1,2,5.0")
+    topic.run(refresh, checkpoint)
+    published = spark.createDataFrame([("1", ["7"], "batch")], refresh.serving.schema)
+    refresh.serving.append(published, 2 << 32)
+    assert served(refresh)["1"] == (["7"], "batch")
+    topic.send("1,3,5.0")
+    topic.run(refresh, checkpoint)
+    assert served(refresh)["1"][1] == "online"
+
+
+def test_model_first_order(spark, topic, job, scratch):
+    refresh = job(fallback="unknown_movie")
+    topic.send("50,2,5.0", "50,999,5.0", "1,2,5.0", "1,999,1.0", "60,998,2.0")
+    topic.run(refresh, scratch("cp"))
+    assert {user: source for user, (_, source) in served(refresh).items()} == {"50": "fallback", "1": "online", "60": "popular"}
