@@ -670,14 +670,13 @@ def _products(model, pairs: DataFrame) -> DataFrame:
 
 @query
 def als_recommend(spark, folder):
-    """Whether every user's top 30 are the largest products of the stored factors, in order."""
+    """Whether every user's top 30 fall by the products of the stored factors and are those of the grid path."""
     model, prepared = _fitted(spark, folder)
-    users, items = als.factor_tables(model)
-    return _checked_lists(model, prepared, als.recommend_all(model), users)
+    return _checked_lists(model, prepared, als.recommend_all(model), model.userFactors.select(F.col("id").alias("userId")))
 
 
-def _checked_lists(model, prepared: Prepared, lists: DataFrame, users: DataFrame) -> DataFrame:
-    """userId, length, ordered, complete: lists over dense ids held against all products of their users."""
+def _checked_lists(model, prepared: Prepared, lists: DataFrame, asked: DataFrame) -> DataFrame:
+    """userId, length, ordered, complete: lists over dense ids against the products and the other scoring path."""
     entries = lists.select("userId", F.posexplode("recommendations").alias("place", "entry"))
     entries = _products(model, entries.select("userId", "place", F.col("entry.movieId").alias("movieId")))
     own = Window.partitionBy("userId").orderBy("place")
@@ -685,14 +684,14 @@ def _checked_lists(model, prepared: Prepared, lists: DataFrame, users: DataFrame
     listed = (
         entries.withColumn("falls", falls)
         .groupBy("userId")
-        .agg(F.count("*").alias("length"), F.min("falls").alias("ordered"), F.min("product").alias("worst"))
+        .agg(F.count("*").alias("length"), F.min("falls").alias("ordered"))
     )
-    items = model.itemFactors.select(F.col("id").alias("movieId"))
-    scored = _products(model, users.select("userId").join(items))  # all pairs of a test model are asked for
-    better = scored.join(listed, "userId").filter(F.col("product") > F.col("worst") + 1e-6)
-    better = better.groupBy("userId").agg(F.count("*").alias("better"))
-    checked = listed.join(better, "userId", "left").select(
-        "userId", "length", "ordered", (F.coalesce("better", F.lit(0)) < F.col("length")).alias("complete")
+    users, items = als.factor_tables(model)
+    users = users.join(asked, "userId", "left_semi")
+    gridded = top_items(users, ItemFactors.of(items, limit_bytes=0), fixed.LIST_LENGTH)
+    both = entries.join(gridded, ["userId", "movieId"]).groupBy("userId").agg(F.count("*").alias("same"))
+    checked = listed.join(both, "userId", "left").select(
+        "userId", "length", "ordered", F.col("same").eqNullSafe(F.col("length")).alias("complete")
     )
     back = prepared.mappings.users.withColumnRenamed("userId", "original")
     return checked.join(back, checked.userId == back.new_userId).select(
