@@ -1,0 +1,89 @@
+import random
+
+import pytest
+import sentencepiece
+
+import corpus_pipeline
+from ratingloom.llm import language, mixing
+from ratingloom.llm.queries import QUERIES, piece_model
+from ratingloom.session import scratch_path
+from tests.llm.test_ngram_join import shingles
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+WORDS = "the of and that with this from have which their would there about under every".split()
+
+
+def corpus():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(8, 40))) for _ in range(60)]
+    texts += [texts[3], texts[3].upper(), texts[5] + " tail", "12345 !!", None, "", texts[7].title()]
+    return [(i, t, "en" if t else None, f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
+
+
+def fold(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+@pytest.fixture(scope="module")
+def folder(spark):
+    path = scratch_path(spark, "pipeline-tables")
+    spark.createDataFrame(corpus(), SCHEMA).write.parquet(f"{path}/documents.parquet")
+    return path
+
+
+def kept_by_brute_force():
+    """What language ID, exact dedup and the n-gram join leave: doc_id to text."""
+    docs = {i: t for i, t, *_ in corpus() if t and any(c.isalpha() for c in t)}
+    last = {}
+    for i, t in docs.items():
+        last[fold(t)] = max(i, last.get(fold(t), -1))
+    docs = {i: t for i, t in docs.items() if last[fold(t)] == i}
+    sets = {i: shingles(t) for i, t in docs.items()}
+    group = {i: i for i in docs}
+    for i in docs:
+        for j in docs:
+            both = len(sets[i] & sets[j])
+            if j < i and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                low, high = sorted((group[i], group[j]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    return {i: t for i, t in docs.items() if group[i] == i}
+
+
+def test_stages_and_whole_run(spark, folder):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language ID", "exact dedup", "n-gram join", "mixing", "SentencePiece",
+    ]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        path = scratch_path(spark, "stage")
+        stage(spark, docs, folder).write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    expected = kept_by_brute_force()
+    assert {r.doc_id: r.text for r in docs.collect()} == expected
+    taken = {r.doc_id: r.taken // r.size for r in mixing.mix_counts(docs).collect() if r.taken}
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    result = corpus_pipeline.run(spark, folder).collect()
+    assert sorted((r.doc_id, r.ids) for r in result) == sorted(
+        (i, model.encode(expected[i])) for i, times in taken.items() for _ in range(times)
+    )
+    assert all(r.round_trip for r in result)
+
+
+def test_repeated_rows_leave_one_and_other_texts_of_an_id_stay(spark, folder):
+    data = [(1, "the same", "en", "s", 8), (1, "the same", "en", "s", 8), (1, "another text", "en", "s", 12), (2, "THE same", "en", "s", 8)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.exact(spark, docs, folder).collect()) == [
+        (1, "another text"), (2, "THE same"),
+    ]
+
+
+def test_empty_documents(spark):
+    path = scratch_path(spark, "empty-tables")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{path}/documents.parquet")
+    assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_every_operator_has_its_query():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert language.UNKNOWN == "und"
