@@ -25,6 +25,7 @@ ignored.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -39,8 +40,10 @@ from ratingloom.llm.common import let, most_frequent, small, staged, text_of
 SPACE = "▁"
 UNIT = rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
 #: Frequent units known to all tasks, at most, and the longest of them.
-DICTIONARY = 200_000
+DICTIONARY = 400_000
 LONGEST_UNIT = 48
+#: Rarer units that a task remembers at once.
+REMEMBERED = 100_000
 #: A unigram model charges this much more than its worst piece for a character without one.
 UNKNOWN_PENALTY = 10.0
 
@@ -58,6 +61,7 @@ class Pieces:
     def __post_init__(self):
         self.spelled = {i: piece.encode() for piece, (i, _) in self.scores.items()}
         self.spelled |= {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        self.cost = {piece: -score for piece, (_, score) in self.scores.items()}
         self.longest = max(map(len, self.scores), default=1)
         self.worst = min((s for _, s in self.scores.values()), default=0.0)
 
@@ -221,6 +225,26 @@ def frequent_units(docs: DataFrame, size: int = DICTIONARY) -> DataFrame:
 
 
 def _merged(unit: str, pieces: Pieces) -> list[str]:
+    return _merged_short(unit, pieces.cost) if len(unit) <= 64 else _merged_long(unit, pieces)
+
+
+def _merged_short(unit: str, cost: dict[str, float]) -> list[str]:
+    parts = list(unit)
+    never = float("inf")
+    joints = [cost.get(a + b, never) for a, b in itertools.pairwise(parts)]
+    while joints and (least := min(joints)) < never:
+        i = joints.index(least)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del joints[i]
+        if i < len(joints):
+            joints[i] = cost.get(parts[i] + parts[i + 1], never)
+        if i:
+            joints[i - 1] = cost.get(parts[i - 1] + parts[i], never)
+    return parts
+
+
+def _merged_long(unit: str, pieces: Pieces) -> list[str]:
+    """The same with a heap, for units in which looking at every joint again costs too much."""
     parts: list[str | None] = list(unit)
     n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -229,8 +253,8 @@ def _merged(unit: str, pieces: Pieces) -> list[str]:
     def offer(i: int) -> None:
         if 0 <= i and after[i] < n:
             joint = parts[i] + parts[after[i]]
-            if joint in pieces.scores:
-                heapq.heappush(heap, (-pieces.scores[joint][1], i, joint))
+            if joint in pieces.cost:
+                heapq.heappush(heap, (pieces.cost[joint], i, joint))
 
     for i in range(n - 1):
         offer(i)
@@ -275,10 +299,14 @@ def unit_ids(unit: str, pieces: Pieces) -> list[int]:
     return ids
 
 
-def decoded(ids: np.ndarray, pieces: Pieces) -> str:
-    """The text of ids: pieces put together, marks as spaces, without the space in front."""
+def spelled(ids: np.ndarray, pieces: Pieces) -> bytes:
+    """The bytes of ids, put together."""
     unknown = " ⁇ ".encode()
-    data = b"".join(pieces.spelled.get(i, unknown) for i in ids.tolist())
+    return b"".join(pieces.spelled.get(i, unknown) for i in ids.tolist())
+
+
+def decoded(data: bytes) -> str:
+    """The text of spelled ids: marks as spaces, without the space in front."""
     return data.decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
 
@@ -288,11 +316,20 @@ def _coder(pieces, dictionary):
     def code(batches):
         table, known = pieces.value, dictionary.value
         rare: dict[str, bytes] = {}
+        spelling: dict[bytes, bytes] = {}
+
+        def bytes_of(ids: bytes) -> bytes:
+            found = spelling.get(ids)
+            if found is None:
+                if len(spelling) >= REMEMBERED:
+                    spelling.clear()
+                found = spelling[ids] = spelled(np.frombuffer(ids, np.int32), table)
+            return found
 
         def of(name: str) -> bytes:
             ids = known.get(name) or rare.get(name)
             if ids is None:
-                if len(rare) >= DICTIONARY:
+                if len(rare) >= REMEMBERED:
                     rare.clear()
                 ids = rare[name] = np.array(unit_ids(name, table), np.int32).tobytes()
             return ids
@@ -301,9 +338,9 @@ def _coder(pieces, dictionary):
             coded, same = [], []
             for text in batch.column("text").to_pylist():
                 marked = SPACE + text.replace(" ", SPACE) if text else ""
-                ids = b"".join(map(of, unit.findall(marked)))
-                coded.append(ids)
-                same.append(decoded(np.frombuffer(ids, np.int32), table) == (text or ""))
+                parts = list(map(of, unit.findall(marked)))
+                coded.append(b"".join(parts))
+                same.append(decoded(b"".join(map(bytes_of, parts))) == (text or ""))
             offsets = np.cumsum([0, *(len(ids) // 4 for ids in coded)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(coded), np.int32))
             yield pa.RecordBatch.from_arrays(

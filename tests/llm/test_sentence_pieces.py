@@ -48,7 +48,7 @@ def test_lattice_gives_what_one_unit_gives(spark, pieces):
     assert len(rows) == len(units)
     for row in rows:
         parts = [row.unit[a:b] for a, b in itertools.pairwise(row.cuts)]
-        assert parts == sp._merged(row.unit, pieces)
+        assert parts == sp._merged(row.unit, pieces) == sp._merged_long(row.unit, pieces)
         assert row.ids == [pieces.scores.get(p, (None,))[0] for p in parts]
 
 
