@@ -8,10 +8,11 @@ linked sets share an indexed shingle.
 * Index-level skipping: entries of a list are ordered by set size and carry their place
   in the prefix. A list is cut into runs of comparable sizes, and an entry is skipped
   when the shingles behind the two places can no longer give the needed overlap.
-* Answer-level skipping: first each run is compared with its smallest set only. What
-  that links is one component, and lists within a component are done. Across components
-  a pair is compared only if it can link at all: |u & v| <= |u & p| + |v - p| for every
-  set p that both were compared with.
+* Answer-level skipping: first each run is compared with its smallest set only, then
+  turn by turn with a few sets of its largest component. What that links is one component,
+  and lists within a component are done. When a turn links nothing, all pairs across
+  components remain, and of these a pair is compared only if it can link at all:
+  |u & v| <= |u & p| + |v - p| for every set p that both were compared with.
 
 No pair of different components whose sets can link is left out, so the components are
 exact. Defined results: null or wordless texts have no shingles, are linked with nothing
@@ -22,10 +23,12 @@ null doc_id is ignored where a smallest doc_id is sought.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ratingloom.llm.common import BROADCAST_ROWS, small, staged
@@ -37,6 +40,8 @@ MOST_FREQUENT = 1_000_000
 #: Shingles counted at once by a task, and entries of one list of a frequent shingle.
 COUNTED_AT_ONCE, LIST_LENGTH = 4_000_000, 4096
 CLASS_BYTES = 8
+#: Turns before the absence of new links ends them; what they leave is compared in full.
+LEAST_TURNS = 2
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -260,19 +265,20 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, class_at: int) -> DataFrame:
             keep = [_class(_digest(s), class_at) == e for s, e in zip(sets, expected, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    wanted = staged(wanted, "wanted").withColumnRenamed("doc_id", "of")
-    if wanted.count() <= 10 * BROADCAST_ROWS:  # two numbers a row
-        wanted = F.broadcast(wanted)
+    wanted = _few(staged(wanted.withColumnRenamed("doc_id", "of"), "wanted"))  # two numbers a row
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of"))).select("class", "text")
     return texts.mapInArrow(checked, texts.schema)
 
 
-def _compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame, class_at: int) -> DataFrame:
-    """``pairs`` (a, b: classes) with n_a, n_b and the size of their intersection."""
+def _few(ids: DataFrame) -> DataFrame:
+    """Staged numbers with the broadcast hint if a million rows or fewer, else as they are."""
+    return F.broadcast(ids) if ids.count() <= 10 * BROADCAST_ROWS else ids
+
+
+def _compared(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b: classes) with n_a, n_b and the size of their intersection; ``texts`` has a text per class."""
     involved = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    texts = staged(
-        _texts_of(docs, classes.join(involved, "class"), class_at).dropDuplicates(["class"]), "texts"
-    )
+    texts = staged(texts.join(_few(staged(involved, "involved")), "class"), "involved-texts")
     side = lambda x: texts.select(F.col("class").alias(x), F.col("text").alias(f"text_{x}"))
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
     return staged(joined.mapInArrow(_overlaps, "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint"), "compared")
@@ -282,34 +288,56 @@ def _links(compared: DataFrame) -> DataFrame:
     return compared.filter("100 * shared >= 75 * (n_a + n_b - shared)").select("a", "b")
 
 
-def _crossing(lists: DataFrame, known: DataFrame, compared: DataFrame) -> DataFrame:
-    """Pairs of different components that share an indexed shingle and may still link, not yet compared."""
-    parts = small(known.select(F.col("node").alias("class"), "component"))
-    entries = lists.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    entries = staged(entries, "entries")
-    open_lists = staged(
+def _entries(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """The entries of lists that several components still share, with component and its size."""
+    sizes = staged(known.groupBy("component").agg(F.count("*").alias("size")), "sizes")
+    parts = staged(known.join(small(sizes), "component"), "parts")
+    parts = small(parts.select(F.col("node").alias("class"), "component", "size"))
+    entries = staged(
+        lists.join(parts, "class", "left").select(
+            *lists.columns, F.coalesce("component", "class").alias("component"), F.coalesce("size", F.lit(1)).alias("size")
+        ),
+        "entries",
+    )
+    several = (
         entries.groupBy("shingle")
         .agg(F.min("component").alias("least"), F.max("component").alias("most"))
         .filter("least < most")
-        .select("shingle"),
-        "open-lists",
+        .select("shingle")
     )
-    entries = staged(entries.join(open_lists, "shingle"), "open-entries")
+    return staged(entries.join(_few(staged(several, "open-lists")), "shingle"), "open-entries")
+
+
+#: Whether entries x and y, of one list and different components, leave room for a link.
+_ROOM = (
+    "x.component <> y.component AND 4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
+    " AND least(x.n - x.place, y.n - y.place) >= (3 * (x.n + y.n) + 6) div 7"
+)
+
+
+def _fresh(pairs: DataFrame, compared: DataFrame, name: str) -> DataFrame:
+    """Distinct pairs of classes in columns a < b that were not compared yet."""
+    pairs = pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
+    return staged(pairs.distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), name)
+
+
+def _starred(entries: DataFrame, compared: DataFrame, turn: int) -> DataFrame:
+    """Each list's entries against 2**turn sets of its largest component, others each turn."""
+    order = W.partitionBy("shingle").orderBy(F.col("size").desc(), F.xxhash64("class", F.lit(turn)), "class")
+    pivots = entries.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= 2**turn)
+    x, y = entries.alias("x"), staged(pivots.drop("number"), "pivots").alias("y")
+    return _fresh(x.join(y, F.expr(f"x.shingle = y.shingle AND {_ROOM}")), compared, "starred")
+
+
+def _crossing(entries: DataFrame, compared: DataFrame) -> DataFrame:
+    """All pairs of different components that share an indexed shingle and may still link."""
     x, y = entries.alias("x"), entries.alias("y")
-    may_link = F.expr(
-        "x.shingle = y.shingle AND x.component <> y.component AND (x.n > y.n OR x.n = y.n AND x.class > y.class)"
-        " AND 4 * y.n >= 3 * x.n AND least(x.n - x.place, y.n - y.place) >= (3 * (x.n + y.n) + 6) div 7"
-    )
-    pairs = x.join(y, may_link).select(
-        F.least("x.class", "y.class").alias("a"),
-        F.greatest("x.class", "y.class").alias("b"),
-    )
-    pairs = staged(pairs.distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "crossing")
+    order = "(x.n > y.n OR x.n = y.n AND x.class > y.class)"
+    pairs = _fresh(x.join(y, F.expr(f"x.shingle = y.shingle AND {order} AND {_ROOM}")), compared, "crossing")
     # |u & v| <= |u & p| + |v - p| for each p that both were compared with.
-    seen = compared.select("a", "b", "n_a", "n_b", "shared")
     seen = staged(
-        seen.select(F.col("a").alias("u"), F.col("n_a").alias("n"), F.col("b").alias("p"), "shared").union(
-            seen.select("b", "n_b", "a", "shared")
+        compared.select(F.col("a").alias("u"), F.col("n_a").alias("n"), F.col("b").alias("p"), "shared").union(
+            compared.select("b", "n_b", "a", "shared")
         ),
         "answers",
     )
@@ -319,15 +347,19 @@ def _crossing(lists: DataFrame, known: DataFrame, compared: DataFrame) -> DataFr
     bounded = (
         pairs.join(of("a", "p"), "a")
         .join(of("b", "p"), ["b", "p"])
-        .filter(
-            "least(shared_a + n_b - shared_b, shared_b + n_a - shared_a) < (3 * (n_a + n_b) + 6) div 7"
-        )
+        .filter("least(shared_a + n_b - shared_b, shared_b + n_a - shared_a) < (3 * (n_a + n_b) + 6) div 7")
         .select("a", "b")
         .distinct()
     )
     return staged(pairs.join(bounded, ["a", "b"], "left_anti"), "to-compare")
 
 
+def _joined_components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    if known is not None:
+        links = links.union(known.select("node", "component"))
+    return components(links)
+
+
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     spark = docs.sparkSession
@@ -360,10 +392,23 @@ def joined(docs: DataFrame) -> DataFrame:
     )
     lists = listed.filter("kind = 0").select("shingle", "class", "n", "place")
     pairs = listed.filter("kind = 1").select(F.col("shingle").alias("a"), F.col("class").alias("b"))
-    first = _compared(docs, classes, staged(pairs.distinct(), "pairs"), class_at)
-    known = components(_links(first))
-    second = _compared(docs, classes, _crossing(lists, known, first), class_at)
-    found = components(_links(second).union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    listed_classes = lists.select("class").distinct()
+    texts = staged(
+        _texts_of(docs, classes.join(listed_classes, "class"), class_at).dropDuplicates(["class"]), "texts"
+    )
+    compared = _compared(texts, staged(pairs.distinct(), "pairs"))
+    known = _joined_components(_links(compared))
+    # Components grow by comparing with few sets a list, twice as many each turn, until that links nothing.
+    for turn in itertools.count():
+        entries = _entries(lists, known)
+        lists = entries.select("shingle", "class", "n", "place")  # a list within one component stays done
+        more = _compared(texts, _starred(entries, compared, turn))
+        compared = staged(compared.union(more), "all-compared")
+        if not _links(more).isEmpty():
+            known = _joined_components(_links(more), known)
+        elif turn >= LEAST_TURNS:
+            break
+    found = _joined_components(_links(_compared(texts, _crossing(entries, compared))), known)
 
     of_class = staged(
         classes.join(small(found.select(F.col("node").alias("class"), "component")), "class", "left").select(
