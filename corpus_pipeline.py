@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import exact_dedup, language, mixing, ngram_join, sentence_pieces
-from ratingloom.llm.common import BROADCAST_ROWS, ascii_lower, staged, table, text_of
+from ratingloom.llm.common import BROADCAST_ROWS, ascii_lower, small, staged, table, text_of
 from ratingloom.llm.queries import piece_model
 
 #: Running text scores 0.45 and more, even a single word; unordered characters score below this.
@@ -47,8 +47,22 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    decisions = ngram_join.joined(docs)
-    return _without(docs, decisions.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """One document of each component: the smallest by doc_id, null ids last, then by the digest of its text."""
+    digest = F.md5(text_of())
+    # The join sees each doc_id with its text as one name, so equal and null ids stay apart.
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    decisions = staged(ngram_join.joined(docs.select(name.alias("doc_id"), "text")), "near-decisions")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", digest.alias("digest"))
+    if not decisions.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "digest"])
+    removed = staged(
+        decisions.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id.id").alias("removed_id"), F.col("doc_id.digest").alias("removed_digest"))
+        .distinct(),
+        "near-removed",
+    )
+    same = (F.col("digest") == F.col("removed_digest")) & F.col("doc_id").eqNullSafe(F.col("removed_id"))
+    return rows.join(small(removed), same, "left_anti").select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

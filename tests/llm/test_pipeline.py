@@ -78,6 +78,25 @@ def test_repeated_rows_leave_one_and_other_texts_of_an_id_stay(spark, folder):
     ]
 
 
+def test_near_copies_with_null_and_repeated_ids_leave_one_row(spark, folder):
+    rng = random.Random(9)
+    first, second, third, clean, other = (
+        " ".join(rng.choice(WORDS) + str(rng.randint(0, 99)) for _ in range(60)) for _ in range(5)
+    )
+    data = [
+        (3, first), (None, first + " tail"), (5, first + " end"),  # one group
+        (None, clean), (5, other),  # share an id with rows that go
+        (7, second), (7, second + " tail"), (None, third), (None, third + " tail"),  # groups of one id
+        (8, clean + " tail"), (9, ""), (None, None), (9, ""),
+    ]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in data]
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.near(spark, spark.createDataFrame(rows, SCHEMA), folder).collect()]
+    assert len(found) == len(set(found)) == 7
+    assert {(3, first), (5, other), (8, clean + " tail"), (9, ""), (None, None)} < set(found)
+    assert sum(i == 7 for i, _ in found) == 1
+    assert sum(i is None and t is not None and t.startswith(third) for i, t in found) == 1
+
+
 def test_empty_documents(spark):
     path = scratch_path(spark, "empty-tables")
     spark.createDataFrame([], SCHEMA).write.parquet(f"{path}/documents.parquet")
