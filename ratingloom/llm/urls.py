@@ -6,6 +6,12 @@ or no better than a shorter one are pruned, and what is left judges the URLs tha
 rule fits: an inverted index from each mined rule's rarest token finds the rules that may
 fit, and the most confident of those that do wins. Without one the default stands.
 
+Mining counts all tokens of all labelled URLs. Tokens that are too rare for a rule, or decide
+alone (every URL with them has one verdict), are in no longer rule that would stay, so
+FP-growth goes without them. Where a URL has more than ``MINED_TOKENS`` others, all
+combinations would be too many, and rules grow token by token instead, only from
+combinations that are rarer than each of their parts; this finds the same rules.
+
 Defined results: a null URL, and one without ``://``, has empty host and path, no rule and
 the default verdict. Equal URLs are judged once and get equal verdicts. An empty table
 gives an empty result. Other columns are ignored.
@@ -13,6 +19,8 @@ gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +37,7 @@ RULES = (
 )
 DEFAULT = "allow"
 SUPPORT, CONFIDENCE = 0.002, 0.8
-#: Tokens of one URL that mining looks at, hosts first; this bounds the combinations. Matching looks at all.
+#: Up to so many undecided tokens of one URL FP-growth may combine; above, rules grow token by token.
 MINED_TOKENS = 12
 
 
@@ -65,28 +73,110 @@ def tokens() -> Column:
     return F.array_distinct(F.concat(F.filter(labels, lambda t: ~t.endswith(":")), segments))
 
 
+def _counted(parts: DataFrame, labels: int, support: float) -> DataFrame:
+    """freq, verdicts (of support enough, with their n) and decides of every ``part`` (with verdict and n)."""
+    enough = F.filter("by", lambda x: x["n"] >= support * labels)
+    return (
+        parts.groupBy("part", "verdict")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("part")
+        .agg(F.sum("n").alias("freq"), F.collect_list(F.struct("verdict", "n")).alias("by"))
+        .select("part", "freq", enough.alias("verdicts"), (F.size("by") == 1).alias("decides"))
+        .filter(F.size("verdicts") > 0)
+    )
+
+
+def _rules(counted: DataFrame, labels: int, confidence: float) -> DataFrame:
+    return counted.select("part", "freq", F.explode("verdicts").alias("v")).select(
+        F.col("part").alias("antecedent"),
+        "v.verdict",
+        (F.col("v.n") / F.col("freq")).alias("confidence"),
+        (F.col("v.n") / F.lit(labels)).alias("support"),
+    ).filter(F.col("confidence") >= confidence)
+
+
+def _grown(baskets: DataFrame, singles: DataFrame, labels: int, support: float, confidence: float) -> DataFrame:
+    """Rules of two tokens and more from baskets (id, items, verdict, n), level by level.
+
+    A combination stays only if every part of it, one token shorter, stayed, does not decide
+    alone and is more frequent: else a shorter rule is as confident.
+    """
+    kept = singles.select("part", "freq")
+    held = baskets.select("id", "items", "verdict", "n", F.explode(F.transform("items", lambda t: F.array(t))).alias("part"))
+    rules = []
+    while True:
+        more = F.filter("items", lambda t: t > F.element_at("part", -1))
+        grown = held.withColumn("token", F.explode(more)).withColumn("part", F.array_append("part", F.col("token"))).drop("token")
+        counted = staged(_counted(grown.select("part", "verdict", "n"), labels, support), "url-level")
+        shorter = kept.select(F.col("part").alias("shorter"), F.col("freq").alias("most"))
+        counted = staged(
+            counted.withColumn("shorter", F.explode(F.transform("part", lambda t: F.array_remove("part", t))))
+            .join(small(shorter), "shorter")
+            .filter("freq < most")
+            .groupBy("part", "freq", "verdicts", "decides")
+            .count()
+            .filter(F.col("count") == F.size("part"))
+            .drop("count"),
+            "url-kept",
+        )
+        rules.append(_rules(counted, labels, confidence))
+        kept = staged(counted.filter("NOT decides").select("part", "freq"), "url-open")
+        if kept.isEmpty():
+            return reduce(DataFrame.union, rules)
+        held = staged(grown.join(small(kept.select("part")), "part", "left_semi").select(*held.columns), "url-held")
+
+
 def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """antecedent (tokens, sorted), verdict, confidence, support, rarest token, from tokens and verdict.
 
     A rule stays if every rule of its verdict over fewer of its tokens is less confident.
     """
-    verdict = F.concat(F.lit("verdict:"), "verdict")
-    baskets = labelled.select(
-        F.array_append(F.slice("tokens", 1, MINED_TOKENS), verdict).alias("items")
+    labels = labelled.count()
+    one = F.lit(1).cast("long").alias("n")
+    tokens_of = labelled.select(F.explode("tokens").alias("token"), "verdict").select(
+        F.array("token").alias("part"), "verdict", one
     )
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    rules = staged(
-        model.associationRules.filter(F.col("consequent")[0].startswith("verdict:"))
-        .filter(~F.exists("antecedent", lambda t: t.startswith("verdict:")))
-        .select(
-            F.array_sort("antecedent").alias("antecedent"),
-            F.substring(F.col("consequent")[0], len("verdict:") + 1, 1000).alias("verdict"),
-            "confidence",
-            "support",
-        ),
-        "rules",
+    singles = staged(_counted(tokens_of, labels, support), "url-tokens")
+    alone = _rules(singles, labels, confidence)
+    undecided = staged(singles.filter("NOT decides"), "url-undecided")
+    # Equal baskets are one with a count; a URL without undecided tokens needs none.
+    keyed = labelled.select(F.xxhash64("url").alias("at"), "url", "verdict", F.explode("tokens").alias("token"))
+    baskets = staged(
+        keyed.join(small(undecided.select(F.col("part")[0].alias("token"))), "token")
+        .groupBy("at", "url", "verdict")
+        .agg(F.array_sort(F.collect_list("token")).alias("items"))
+        .groupBy("items", "verdict")
+        .agg(F.count("*").alias("n"))
+        .withColumn("id", F.xxhash64("items", "verdict")),
+        "url-baskets",
     )
-    # A shorter rule shares a token with the longer; antecedents have MINED_TOKENS tokens at most.
+    longest = baskets.agg(F.max(F.size("items"))).first()[0] or 0
+    if longest > MINED_TOKENS:
+        longer = _grown(baskets, undecided, labels, support, confidence)
+    elif longest > 1:
+        verdict = F.concat(F.lit("verdict:"), "verdict")
+        # One basket for each label: supports are shares of all labels.
+        items = baskets.select(
+            F.explode(F.sequence(F.lit(1).cast("long"), "n")), F.array_append("items", verdict).alias("items")
+        ).select("items")
+        rest = labels - items.count()
+        empty = labelled.sparkSession.range(rest).select(F.array().cast("array<string>").alias("items"))
+        model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items.union(empty))
+        longer = (
+            model.associationRules.filter(F.col("consequent")[0].startswith("verdict:"))
+            .filter(~F.exists("antecedent", lambda t: t.startswith("verdict:")))
+            .filter(F.size("antecedent") > 1)
+            .select(
+                F.array_sort("antecedent").alias("antecedent"),
+                F.substring(F.col("consequent")[0], len("verdict:") + 1, 1000).alias("verdict"),
+                "confidence",
+                "support",
+            )
+        )
+    else:
+        longer = alone.limit(0)
+    rules = staged(alone.union(longer), "rules")
+    # A shorter rule shares a token with the longer.
     longer = rules.select(
         F.col("antecedent").alias("own"), "verdict", F.col("confidence").alias("own_confidence"),
         F.explode("antecedent").alias("token"),
@@ -100,11 +190,10 @@ def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
         .select(F.col("own").alias("antecedent"), "verdict")
         .distinct()
     )
-    singles = model.freqItemsets.filter("size(items) = 1").select(F.col("items")[0].alias("token"), "freq")
     best = rules.join(beaten, ["antecedent", "verdict"], "left_anti")
     rarest = (
         best.withColumn("token", F.explode("antecedent"))
-        .join(singles, "token")
+        .join(singles.select(F.col("part")[0].alias("token"), "freq"), "token")
         .groupBy("antecedent", "verdict", "confidence", "support")
         .agg(F.min(F.struct("freq", "token")).alias("rarest"))
     )

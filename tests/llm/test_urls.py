@@ -100,6 +100,41 @@ def test_mined_rules_decide_urls_without_a_fixed_rule(spark):
     assert (found[52].verdict, found[52].mined) == ("allow", None)
 
 
+def test_tokens_far_back_enter_rules_and_their_counts(spark):
+    host = ".".join(f"x{i}" for i in range(13))
+    deep = lambda mark, i: f"http://{host}.com/{'de' if mark == 'bad' else 'fr'}/{mark}/{i}"
+    pages = [(i, deep("bad" if i % 2 else "good", i)) for i in range(40)]
+    # Stands at the front of URLs that are allowed; counted there alone it would have the wrong verdict.
+    pages += [(100 + i, f"http://y.com/fr/bad/{i}") for i in range(4)]
+    pages += [(200, "http://z.net/q/bad/1"), (201, "http://z.net/q/good/1")]
+    found = {r.page_id: r for r in urls.judged(spark.createDataFrame(pages, "page_id bigint, url string")).collect()}
+    assert (found[200].verdict, found[200].mined) == ("block", ["p1:bad"])
+    assert (found[201].verdict, found[201].mined) == ("allow", ["p1:good"])
+
+
+def test_growing_token_by_token_gives_the_rules_of_fp_growth(spark, monkeypatch):
+    blocked = [((i % 2 == 0) == (i % 3 == 0)) != (i % 7 == 0) for i in range(240)]
+    pages = [
+        (i, f"http://a{i % 2}.b{i % 3}.com/{'de' if b else 'fr'}/c{i % 4}/d{i % 3}/e{i * 7 % 5}") for i, b in enumerate(blocked)
+    ]
+    host, path = urls.parsed(F.col("url"))
+    labelled = (
+        spark.createDataFrame(pages, "page_id bigint, url string")
+        .select("url", host.alias("host"), path.alias("path"))
+        .withColumn("tokens", F.filter(urls.tokens(), lambda t: ~t.startswith("p0:")))
+        .withColumn("verdict", F.when(F.col("path").startswith("/de"), "block").otherwise("allow"))
+    )
+
+    def mined():
+        found = urls.mined_rules(labelled, 0.01, 0.6).collect()
+        return sorted((r.antecedent, r.verdict, round(r.confidence, 9), round(r.support, 9)) for r in found)
+
+    by_growth = mined()
+    assert any(len(r[0]) > 1 for r in by_growth)
+    monkeypatch.setattr(urls, "MINED_TOKENS", 1)
+    assert mined() == by_growth
+
+
 def test_no_labels_and_no_rows(spark):
     none = spark.createDataFrame([(1, "http://a.net/x"), (2, None)], "page_id bigint, url string")
     assert {r.verdict for r in urls.judged(none).collect()} == {"allow"}
