@@ -10,7 +10,9 @@ A digest has 64 bits. A passage needs several neighbouring chunks (``PASSAGE`` b
 some 32 each), so two chunks that share a digest by chance do not make one.
 
 Defined results: null and empty texts have no chunks. What repeats only inside one
-document, or in rows of one doc_id, is not a repeat across documents. The smallest doc_id
+document, or in rows of one doc_id, is not a repeat across documents. Rows with a null doc_id, and different
+texts under one doc_id, are texts of their own (told apart by a hash of 64 bits); equal rows
+have their passages once. The smallest doc_id
 that holds a chunk keeps it; a null doc_id never does and makes nothing repeated. Texts
 of any length are read whole, in windows of eight megabytes; other columns are ignored.
 """
@@ -22,7 +24,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -77,17 +79,19 @@ def chunk_spans(data: bytes) -> list[tuple[int, int]]:
 
 def _chunks(batches):
     for batch in batches:
-        ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+        ids, hashes, texts = batch.column("doc_id"), batch.column("of_text"), batch.column("text").to_pylist()
         rows, digests, starts, lengths, held = [], [], [], [], 0
 
         def flushed():
+            repeated = pa.array(np.repeat(rows, [len(x) for x in starts]))
             columns = [
-                ids.take(pa.array(np.repeat(rows, [len(x) for x in starts]))),
+                ids.take(repeated),
+                hashes.take(repeated),
                 pa.array(np.concatenate(digests).view(np.int64)),
                 pa.array(np.concatenate(starts)),
                 pa.array(np.concatenate(lengths)),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "start", "length"])
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "of_text", "digest", "start", "length"])
 
         for i, text in enumerate(texts):
             data = (text or "").encode("utf-8", "surrogatepass")
@@ -107,12 +111,17 @@ def _chunks(batches):
             yield flushed()
 
 
+def _of_text() -> Column:
+    """What tells the texts of one doc_id apart."""
+    return F.xxhash64("text").alias("of_text")
+
+
 def _passages(docs: DataFrame, least: int) -> DataFrame:
     """Repeated passages with ``cuts``, the chunks in them that this document does not keep."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     chunks = staged(
-        docs.select("doc_id", "text").mapInArrow(
-            _chunks, f"doc_id {kind}, digest bigint, start bigint, length bigint"
+        docs.select("doc_id", _of_text(), "text").mapInArrow(
+            _chunks, f"doc_id {kind}, of_text bigint, digest bigint, start bigint, length bigint"
         ),
         "chunks",
     )
@@ -123,14 +132,15 @@ def _passages(docs: DataFrame, least: int) -> DataFrame:
         .drop("last"),
         "shared-chunks",
     )
-    found = chunks.join(shared, "digest")
-    own = W.partitionBy("doc_id").orderBy("start")
+    # Equal rows combine before the chunks of a text meet in one task.
+    found = chunks.join(shared, "digest").distinct()
+    own = W.partitionBy("doc_id", "of_text").orderBy("start")
     joins = F.lag(F.col("start") + F.col("length")).over(own) >= F.col("start")
     elsewhere = ~F.col("doc_id").eqNullSafe(F.col("first_doc_id"))
     return (
         found.withColumn("begins", F.when(joins, 0).otherwise(1))
         .withColumn("passage", F.sum("begins").over(own))
-        .groupBy("doc_id", "passage")
+        .groupBy("doc_id", "of_text", "passage")
         .agg(
             F.min("start").alias("start"),
             (F.max(F.col("start") + F.col("length")) - F.min("start")).alias("length"),
@@ -153,7 +163,7 @@ def repeated_passages(docs: DataFrame, least: int = PASSAGE) -> DataFrame:
     chunk of it), kept (whether this document keeps all of it). Documents without a
     repeated passage have no row.
     """
-    return _passages(docs, least).drop("cuts")
+    return _passages(docs, least).drop("of_text", "cuts")
 
 
 def without_repeats(docs: DataFrame, least: int = PASSAGE) -> DataFrame:
@@ -161,12 +171,11 @@ def without_repeats(docs: DataFrame, least: int = PASSAGE) -> DataFrame:
     spans = (
         _passages(docs, least)
         .filter("NOT kept")
-        .groupBy(F.col("doc_id").alias("of"))
+        .groupBy(F.col("doc_id").alias("of"), F.col("of_text").alias("cut_text"))
         .agg(F.array_distinct(F.sort_array(F.flatten(F.collect_list("cuts")))).alias("cuts"))
     )
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text").join(
-        staged(spans, "spans"), F.col("doc_id").eqNullSafe(F.col("of")), "left"
-    )
+    same = (F.col("of_text") == F.col("cut_text")) & F.col("doc_id").eqNullSafe(F.col("of"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", _of_text(), "text").join(staged(spans, "spans"), same, "left")
     rows = rows.select("row", "text", "cuts")
 
     def cut(batches):

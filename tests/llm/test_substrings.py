@@ -69,3 +69,16 @@ def test_odd_rows(spark):
     found = substrings.repeated_passages(spark.createDataFrame(data, SCHEMA)).collect()
     assert {(r.doc_id, r.first_doc_id, r.kept) for r in found} == {(1, 1, True), (5, 1, False), (None, 1, False)}
     assert substrings.repeated_passages(spark.createDataFrame(data, SCHEMA).limit(0)).count() == 0
+
+
+def test_texts_of_one_id_are_apart(spark):
+    one, two, clean = prose(21, 80), prose(22, 80), prose(23, 160)
+    data = [(1, one), (2, two), (None, "first " + one), (None, "other " + two), (None, clean), (5, "x " + one), (5, clean + " end")]
+    data += [(3, "y " + one), (4, "z " + two)] + [(None, "first " + one)] * 20
+    docs = spark.createDataFrame(data, SCHEMA)
+    result = substrings.repeated_passages(docs.filter("doc_id IS NULL OR doc_id < 5").filter(~F.col("text").contains(clean)))
+    found = [(r.first_doc_id, r.length > 400) for r in result.collect() if r.doc_id is None]
+    assert sorted(found) == [(1, True), (2, True)]
+    cut = [(r.doc_id, r.text) for r in substrings.without_repeats(docs.filter(F.coalesce("doc_id", F.lit(0)) > 0)).collect()]
+    assert (5, clean + " end") in cut and (1, one) in cut
+    assert len(cut) == 6 and all(len(t) < 200 for i, t in cut if i == 5 and t.startswith("x "))
