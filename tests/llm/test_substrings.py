@@ -1,3 +1,4 @@
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -44,9 +45,14 @@ def test_shared_passages_are_found_and_clean_documents_left_alone(spark):
     assert {r.doc_id for r in result} == set(range(120))
     texts = {i: t.encode() for i, t in data}
     for r in result:
-        found = texts[r.doc_id][r.start : r.start + r.length].decode()
-        # The space on either side is repeated as well.
-        assert found.strip() in passages[r.doc_id % 40]
+        own, passage = texts[r.doc_id], passages[r.doc_id % 40].encode()
+        at = own.index(passage)
+        before, after = own[:at], own[at + len(passage) :]
+        # What the documents have in common may go on beyond the passage, by the same letters on either side.
+        cut = [texts[d].partition(passage) for d in range(r.doc_id % 40, 120, 40) if d != r.doc_id]
+        left = max(len(os.path.commonprefix([before[::-1], other[0][::-1]])) for other in cut)
+        right = max(len(os.path.commonprefix([after, other[2]])) for other in cut)
+        assert at - left <= r.start < r.start + r.length <= at + len(passage) + right
         assert (r.first_doc_id, r.kept, r.copies) == (r.doc_id % 40, r.doc_id < 40, 3)
 
 
