@@ -172,9 +172,125 @@ SELECT m.conv_id, m.turn, role, regexp_replace(text, '^\s*\n|\s+$', '', 'g') AS
 FROM messages m JOIN own USING (id) LEFT JOIN links l ON m.conv_id = l.conv_id AND m.turn = l.turn
 """
 
+LEXICAL_SEARCH = r"""
+WITH found AS (
+  SELECT doc_id, row_number() OVER () AS id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+kept AS (SELECT id, doc_id, terms, len(terms)::HUGEINT AS n FROM found WHERE len(terms) > 0),
+totals AS (SELECT count(*)::HUGEINT AS docs, sum(n)::HUGEINT AS words FROM kept),
+sized AS (SELECT id, doc_id, (100 - 50 + (50 * n * docs) // words)::BIGINT AS m FROM kept, totals),
+postings AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(terms) AS term FROM kept) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, totals GROUP BY term
+),
+asked AS (
+  SELECT DISTINCT item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+scores AS (
+  SELECT item_id, id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN sized USING (id) GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT item_id, doc_id, score,
+             row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST, id)::INTEGER AS rank
+      FROM scores JOIN sized USING (id) WHERE score > 0)
+WHERE rank <= 50
+"""
+
+# The polynomial and start value of CRC-32 are fixed.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: unicode(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC32.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed, (SELECT unnest([1, 2]) AS copy) WHERE fault <> 0 AND (copy = 1 OR fault = 3)
+),
+numbered AS (
+  SELECT *, left(role, 1) AS initial, row_number() OVER turns AS n, lag(left(role, 1)) OVER turns AS before,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare
+  FROM damaged WINDOW turns AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+),
+flagged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS flaw
+  FROM numbered
+),
+counted AS (
+  SELECT conv_id, count(*) AS last, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (flaw = 'blank') AS blank, count(*) FILTER (flaw = 'duplicate') AS duplicate,
+         count(*) FILTER (flaw = 'truncated') AS truncated,
+         count(*) FILTER (n > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM flagged GROUP BY conv_id
+),
+inserts(state, after, letters, messages, price) AS (
+  VALUES (0, 0, '', [], 0), (0, 2, 'I', ['user:'], 5), (0, 3, 'II', ['user:', 'assistant:'], 10),
+         (1, 1, '', [], 0), (1, 2, 'I', ['user:'], 5), (1, 3, 'II', ['user:', 'assistant:'], 10),
+         (2, 2, '', [], 0), (2, 3, 'I', ['assistant:'], 5), (2, 2, 'II', ['assistant:', 'user:'], 10),
+         (3, 3, '', [], 0), (3, 2, 'I', ['user:'], 5), (3, 3, 'II', ['user:', 'assistant:'], 10)
+),
+steps(after, initial, target, full_role) AS (
+  VALUES (0, 's', 1, NULL), (0, 'u', 2, 'user'), (1, 'u', 2, 'user'), (3, 'u', 2, 'user'), (2, 'a', 3, 'assistant')
+),
+best AS (
+  SELECT conv_id, 0::BIGINT AS n, 0 AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS said FROM counted
+  UNION ALL
+  SELECT conv_id, n, target, least_of.cost, least_of.audit, least_of.said
+  FROM (
+    SELECT conv_id, n, target, min(struct_pack(cost := price, audit := path, said := words)) AS least_of
+    FROM (
+      SELECT b.conv_id, f.n, e.target, b.cost + i.price + e.price AS price,
+             b.audit || i.letters || e.letter AS path, b.said || i.messages::VARCHAR[] || e.words AS words
+      FROM best b
+      JOIN flagged f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.n = b.n + 1
+      JOIN inserts i ON i.state = b.state,
+      LATERAL (
+        SELECT i.after AS target, 2 AS price, 'D' AS letter, []::VARCHAR[] AS words
+        UNION ALL
+        SELECT s.target, CASE WHEN f.flaw = 'truncated' THEN 5 ELSE 0 END, 'K', [f.role || ':' || f.text]
+        FROM steps s WHERE s.after = i.after AND s.initial = f.initial AND f.flaw NOT IN ('blank', 'duplicate')
+        UNION ALL
+        SELECT s.target, CASE WHEN f.flaw = 'truncated' THEN 6 ELSE 1 END, 'R', [s.full_role || ':' || f.text]
+        FROM steps s WHERE s.after = i.after AND s.full_role IS NOT NULL AND f.flaw NOT IN ('blank', 'duplicate')
+      ) e
+    ) GROUP BY conv_id, n, target
+  )
+),
+ended AS (
+  SELECT b.conv_id, min(struct_pack(cost := b.cost + i.price, audit := b.audit || i.letters, said := b.said || i.messages::VARCHAR[])) AS least_of
+  FROM best b JOIN counted c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND c.last = b.n
+  JOIN inserts i ON i.state = b.state WHERE i.after IN (0, 3) GROUP BY b.conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.least_of.cost, 0)::BIGINT AS cost,
+       coalesce(e.least_of.audit, '') AS audit,
+       sha256(coalesce(array_to_string(e.least_of.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op3_quotation_links": QUOTATION_LINKS,
     "op5_mixing": MIXING,
     "op8_fingerprints": FINGERPRINTS,
+    "op12_lexical_search": LEXICAL_SEARCH,
+    "op13_conversation_repair": CONVERSATION_REPAIR,
 }

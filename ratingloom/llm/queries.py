@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import exact_dedup, language, mixing, ngram_join, quotations, sentence_pieces, spotsigs, substrings, toxicity, urls
+from ratingloom.llm import (
+    conversations,
+    exact_dedup,
+    language,
+    lexical,
+    mixing,
+    ngram_join,
+    quality,
+    quotations,
+    sentence_pieces,
+    spotsigs,
+    substrings,
+    toxicity,
+    urls,
+)
 from ratingloom.llm.common import table
 
 
@@ -58,6 +72,19 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.joined(table(spark, folder, "documents"))
 
 
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.scored(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_plans(conversations.damaged(table(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
@@ -69,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op11_quality": op11_quality,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_conversation_repair": op13_conversation_repair,
 }
