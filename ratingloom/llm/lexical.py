@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ from ratingloom.llm.common import BROADCAST_ROWS, UPPER, pieces, small, staged
 TOP = 50
 #: Documents that hold the rarest terms of an item are scored first, so many for each listed one.
 SEEDS = 16
+#: Items that are scored together against a run of a stratum, about.
+ITEM_BLOCK = 256
 #: Postings of one list, at most.
 LIST = 4096
 
@@ -95,7 +98,7 @@ def _counted(docs: DataFrame, wanted: frozenset[bytes] | None) -> DataFrame:
 
 
 def _inverted(batches):
-    """Lists ``(m, term, tf, rows)`` of runs of documents sorted by m; no document leaves its run."""
+    """Lists ``(run, m, term, tf, rows)`` of runs of documents sorted by m; a run goes by its first row."""
     for batch in batches:
         lists = batch.column("terms")
         spelled = lists.flatten().dictionary_encode()
@@ -110,14 +113,16 @@ def _inverted(batches):
         fresh = np.r_[True, (m[1:] != m[:-1]) | (code[1:] != code[:-1]) | (tf[1:] != tf[:-1])]
         place = np.arange(len(m)) - np.maximum.accumulate(np.where(fresh, np.arange(len(m)), 0))
         starts = np.flatnonzero(fresh | (place % LIST == 0))
+        run = batch.column("row")[0].as_py()
         yield pa.RecordBatch.from_arrays(
             [
+                pa.array(np.full(len(starts), run, np.int64)),
                 pa.array(m[starts]),
                 spelled.dictionary.take(pa.array(code[starts])),
                 pa.array(tf[starts]),
                 pa.ListArray.from_arrays(pa.array(np.r_[starts, len(m)], pa.int32()), pa.array(row)),
             ],
-            ["m", "term", "tf", "rows"],
+            ["run", "m", "term", "tf", "rows"],
         )
 
 
@@ -130,8 +135,8 @@ def impact(tf: Column, m: Column) -> Column:
 class Index:
     """Staged tables.
 
-    ``documents``: row, doc_id, m, terms, tfs, ranged by m; ``postings``: m, term, tf,
-    rows; ``strata``: m, term, max_tf, docs; ``words``: term, docs, weight.
+    ``documents``: row, doc_id, m, terms, tfs, ranged by m; ``postings``: run, m, term,
+    tf, rows; ``strata``: m, term, max_tf, docs; ``words``: term, docs, weight.
     """
 
     documents: DataFrame
@@ -159,7 +164,7 @@ def build(docs: DataFrame, terms: DataFrame | None = None) -> Index:
     ranged = ranged.repartitionByRange("m", "spread").sortWithinPartitions("m").drop("spread")
     documents = staged(ranged.withColumn("row", F.monotonically_increasing_id()), "strata")
     postings = documents.select("m", "row", "terms", "tfs").mapInArrow(
-        _inverted, "m bigint, term string, tf bigint, rows array<bigint>"
+        _inverted, "run bigint, m bigint, term string, tf bigint, rows array<bigint>"
     )
     if terms is not None and wanted is None:
         postings = postings.join(terms, "term", "left_semi")
@@ -202,18 +207,62 @@ def _seeds(index: Index, asked: DataFrame, wanted: int) -> DataFrame:
     rows = index.postings.select("term", "rows").join(small(staged(rarest, "rarest")), "term")
     rows = rows.select("item", F.explode("rows").alias("row")).distinct()
     rows = staged(rows.withColumn("score", F.lit(0).cast("bigint")), "seeds")
-    return _completed(index, rows, asked, ["item", "term"])
+    whole = asked.groupBy("item").agg(F.collect_list(F.struct("term", "weight")).alias("closed"))
+    return _completed(index, rows.join(whole, "item"))
 
 
-def _completed(index: Index, met: DataFrame, closed: DataFrame, on: list[str]) -> DataFrame:
-    """``(item, row, score)``: partial scores of ``met`` and what the terms in ``closed`` add in the document itself."""
-    found = met.select("item", "row").join(index.documents, "row")
-    each = found.select("item", "row", "m", F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"))))
+def _completed(index: Index, met: DataFrame) -> DataFrame:
+    """``(item, row, score)``: partial scores of ``met`` and what the terms in ``closed`` add in the document itself.
+
+    Files of repeated terms are small next to what they hold, so their size must not make a join broadcast them.
+    """
+    held = index.documents.select("row", "m", F.map_from_arrays("terms", "tfs").alias("held"))
+    both = met.join(held.hint("merge"), "row").select("item", "row", "m", "held", F.explode("closed").alias("one"))
+    tf = F.element_at("held", F.col("one.term"))
+    more = both.select("item", "row", "m", F.col("one.weight").alias("weight"), tf.alias("tf")).filter("tf IS NOT NULL")
     gain = F.col("weight") * impact(F.col("tf"), F.col("m"))
-    more = each.join(small(closed), on).select("item", "row", gain.alias("score"))
+    more = more.groupBy("item", "row").agg(F.sum(gain).alias("score"))
     return met.select("item", "row", "score").unionByName(more).groupBy("item", "row").agg(F.sum("score").alias("score"))
 
 
+_PARTIAL = pa.schema([("item", pa.int64()), ("m", pa.int64()), ("row", pa.int64()), ("score", pa.int64())])
+
+
+def _partial_scores(lists: pa.Table, asked: pa.Table) -> pa.Table:
+    """Partial scores of the documents of one stratum and run, where they and ``rest`` reach ``least``.
+
+    ``lists`` are their postings, ``asked`` the opened terms of a block of items.
+    """
+    if not len(lists) or not len(asked):
+        return _PARTIAL.empty_table()
+    m = lists.column("m")[0].as_py()
+    spelled = pc.unique(asked.column("term"))
+    code = pc.index_in(lists.column("term"), spelled)
+    lists = lists.append_column("code", code).filter(pc.is_valid(code)).sort_by("code")
+    rows = lists.column("rows").combine_chunks()
+    sizes = rows.value_lengths().to_numpy(zero_copy_only=False)
+    tf = lists.column("tf").to_numpy()
+    worth = np.repeat((1_000_000_000 * tf) // (1000 * tf + 20 * m), sizes)  # once a list
+    row, place = np.unique(rows.flatten().to_numpy(), return_inverse=True)
+    ends = np.searchsorted(np.repeat(lists.column("code").to_numpy(), sizes), np.arange(len(spelled) + 1))
+
+    item, column = np.unique(asked.column("item").to_numpy(), return_inverse=True)
+    wanted = pc.index_in(asked.column("term"), spelled).to_numpy()
+    order = np.argsort(wanted, kind="stable")
+    column_of, weight = column[order], asked.column("weight").to_numpy()[order]
+    opened = np.searchsorted(wanted[order], np.arange(len(spelled) + 1))
+    limit = np.zeros(len(item), np.int64)
+    limit[column] = asked.column("least").to_numpy() - asked.column("rest").to_numpy()
+
+    scores = np.zeros((len(row), len(item)), np.int64)
+    for term in range(len(spelled)):
+        by, to = slice(ends[term], ends[term + 1]), slice(opened[term], opened[term + 1])
+        scores[np.ix_(place[by], column_of[to])] += worth[by, None] * weight[None, to]
+    at, to = np.nonzero((scores > 0) & (scores >= limit))
+    columns = [item[to], np.full(len(at), m, np.int64), row[at], scores[at, to]]
+    return pa.table([pa.array(values) for values in columns], schema=_PARTIAL)
+
+
 def search(index: Index, terms: DataFrame, k: int = TOP) -> DataFrame:
     """item_id, rank, doc_id, score: the ``k`` best documents with a score above 0 of every item of ``terms``."""
     # Items go by a number of their own, so that a null id is an item like any other.
@@ -232,18 +281,23 @@ def search(index: Index, terms: DataFrame, k: int = TOP) -> DataFrame:
     bounds = bounds.join(small(least), "item", "left").withColumn("least", F.coalesce("least", F.lit(1)))
     visited = bounds.withColumn("up_to", F.sum("bound").over(rising)).withColumn("all", F.sum("bound").over(inside))
     visited = visited.filter(F.col("all") >= F.col("least"))
-    visited = staged(visited.withColumn("opened", 2 * F.col("up_to") >= F.col("least")), "visited")
-    opened = index.postings.join(visited.filter("opened").select("item", "m", "term", "weight"), ["m", "term"])
-    gain = (F.col("weight") * impact(F.col("tf"), F.col("m"))).alias("gain")  # once a list
-    each = opened.select("item", "m", gain, "rows").select("item", "m", "gain", F.explode("rows").alias("row"))
-    partial = each.groupBy("item", "m", "row").agg(F.sum("gain").alias("score"))
-
-    closed = staged(visited.filter("NOT opened").select("item", "m", "term", "weight", "up_to"), "closed")
-    rest = closed.groupBy("item", "m").agg(F.max("up_to").alias("rest"))
-    met = partial.join(small(least), "item", "left").join(rest, ["item", "m"], "left")
-    reach = F.col("score") + F.coalesce("rest", F.lit(0)) >= F.coalesce("least", F.lit(1))
-    met = staged(met.filter(reach).select("item", "row", "score"), "met")
-    scores = _completed(index, met, closed.drop("up_to"), ["item", "m", "term"])
+    visited = visited.withColumn("opened", 2 * F.col("up_to") >= F.col("least"))
+    rest = F.coalesce(F.max(F.when(~F.col("opened"), F.col("up_to"))).over(inside), F.lit(0))
+    visited = staged(visited.withColumn("rest", rest).drop("up_to", "all", "bound"), "visited")
+
+    # All postings of a document have one run and stratum, so partial scores are summed where these meet.
+    blocks = -(-items.count() // ITEM_BLOCK) or 1
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block")
+    runs = staged(index.postings.select("run", "m").distinct(), "runs")
+    opened = visited.filter("opened").select("item", "m", "term", "weight", "least", "rest", block)
+    opened = opened.join(small(runs), "m").groupBy("run", "m", "block")
+    lists = index.postings.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    partial = lists.groupBy("run", "m", "block").cogroup(opened)
+    met = staged(partial.applyInArrow(_partial_scores, "item bigint, m bigint, row bigint, score bigint"), "met")
+    closed = visited.filter("NOT opened").groupBy("item", "m")
+    closed = closed.agg(F.collect_list(F.struct("term", "weight")).alias("closed"))
+    met = met.join(closed.hint("merge"), ["item", "m"], "left").select("item", "row", "score", "closed")
+    scores = _completed(index, met)
     scores = scores.filter("score > 0").join(index.documents.select("row", "doc_id"), "row")
     best = Window.partitionBy("item").orderBy(F.col("score").desc(), "doc_id", "row")
     ranked = scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
