@@ -775,3 +775,6 @@ ORACLES: dict[str, str] = {
     ),
     "stream_rating_log": _sql(_LATEST, "parsed"),
 }
+
+for _name in ("stream_state_map", "stream_log_bucketed"):
+    ORACLES[_name] = ORACLES["stream_refresh_history"]

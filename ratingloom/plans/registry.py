@@ -958,6 +958,7 @@ def _run_stream(
     items: ItemFactors | None = None,
     fallback: str = "no_list",
     between: Callable[[LiveRefresh, int], None] | None = None,
+    buckets: int = 0,
 ) -> LiveRefresh:
     """Messages published to a topic part by part, and refreshed by a subscriber, one micro-batch a part."""
     refresh = LiveRefresh(
@@ -966,7 +967,7 @@ def _run_stream(
         dead_letters=scratch_path(spark, "dead-letters"),
         generation=1,
         user_factors=_vectors_as_users(spark, folder),
-        log=rating_log(spark, scratch_path(spark, "rating-log")),
+        log=rating_log(spark, scratch_path(spark, "rating-log"), buckets),
         scope=scope,
         fallback=fallback,
     )
@@ -1001,6 +1002,25 @@ def stream_refresh_state(spark, folder):
     return _joined(latest.select("user_id", "top_10", "source"), "top_10")
 
 
+@query
+def stream_state_map(spark, folder):
+    """The same with one state entry per movie: a micro-batch writes the entries it changes."""
+    latest = _run_stream(spark, folder, "map", parts=3).serving.latest()
+    return _joined(latest.select("user_id", "top_10", "source"), "top_10")
+
+
+@query
+def stream_log_bucketed(spark, folder):
+    """The log by buckets of users, after a compaction between the second and the third micro-batch."""
+
+    def compact(refresh: LiveRefresh, number: int) -> None:
+        if number == 2:
+            refresh.log.compact(refresh.log.newest_version())
+
+    refresh = _run_stream(spark, folder, "history", parts=3, between=compact, buckets=16)
+    return _joined(refresh.serving.latest().select("user_id", "top_10", "source"), "top_10")
+
+
 @query
 def stream_refresh_fallback(spark, folder):
     """Lists over the catalogue of few vectors: users without an online list get the stored model's."""

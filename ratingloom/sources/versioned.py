@@ -6,6 +6,9 @@ Layout below the root::
     snapshot/as_of=<v>/     newest row per key among all versions up to v
     pointer/                one row as_of per finished snapshot; the largest counts
 
+A table with ``buckets`` has folders ``key_bucket=<b>`` below each of these, by a hash of
+its first key. Reads for some keys then open the files of their buckets only.
+
 A version is written by overwriting its own folder, so a repeated write (a
 restarted batch) changes nothing. A compaction writes a new snapshot, then its
 pointer; what readers hold is never overwritten.
@@ -16,14 +19,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ratingloom.sources.files import delete_path, folder_names, path_exists
 
 # Versions of one model generation are consecutive below this number.
 GENERATION = 1 << 32
+BUCKET = "key_bucket"
 
 
 def version_of(generation: int, batch_id: int | None = None) -> int:
@@ -37,33 +41,61 @@ class VersionedTable:
     root: str
     schema: StructType
     keys: Sequence[str]
+    buckets: int = 0
 
     @property
     def _stored(self) -> StructType:
-        return StructType([*self.schema.fields, StructField("version", LongType())])
+        bucket = [StructField(BUCKET, IntegerType())] if self.buckets else []
+        return StructType([*self.schema.fields, StructField("version", LongType()), *bucket])
+
+    def bucket(self, key: Column) -> Column:
+        """The bucket of a value of the first key."""
+        return F.pmod(F.xxhash64(key.cast(self.schema[self.keys[0]].dataType)), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        """``rows`` to a folder of its own; buckets are split or joined to files of even size."""
+        if self.buckets:
+            bucket = self.bucket(F.col(self.keys[0])).alias(BUCKET)
+            rows.select("*", bucket).hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
 
     def create_if_absent(self) -> None:
         """Lay down an empty log and pointer; an existing table is left alone."""
         if path_exists(self.spark, f"{self.root}/pointer"):
             return
         empty = self.spark.createDataFrame([], self.schema)
-        empty.write.mode("overwrite").parquet(f"{self.root}/log/version=-1")
+        leaf = f"/{BUCKET}=0" if self.buckets else ""
+        empty.write.mode("overwrite").parquet(f"{self.root}/log/version=-1{leaf}")
         self._point_to(-1)
 
     def append(self, rows: DataFrame, version: int) -> None:
         """Upsert ``rows`` (one per key) as ``version``; a failed write fails the caller."""
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.root}/log/version={version}")
+        self._write(rows.select(*columns), f"{self.root}/log/version={version}")
 
-    def versions(self) -> DataFrame:
-        """Every row since the last snapshot, and the snapshot's, with their ``version``."""
+    def versions(self, only: DataFrame | None = None) -> DataFrame:
+        """Every row since the last snapshot, and the snapshot's, with their ``version``.
+
+        ``only`` holds distinct values of some key columns; other rows are left out, and in
+        a table with buckets the folders of other buckets are not opened.
+        """
         as_of = self.as_of()
         log = self.spark.read.schema(self._stored).parquet(f"{self.root}/log")
-        rows = log.filter(F.col("version") > as_of)
+        rows = self._only(log.filter(F.col("version") > as_of), only)
         if as_of < 0:
             return rows
         snapshot = self.spark.read.schema(self._stored).parquet(f"{self.root}/snapshot/as_of={as_of}")
-        return snapshot.unionByName(rows)
+        return self._only(snapshot, only).unionByName(rows)
+
+    def _only(self, rows: DataFrame, only: DataFrame | None) -> DataFrame:
+        if only is None:
+            return rows.drop(BUCKET)
+        if self.buckets and self.keys[0] in only.columns:
+            wanted = only.select(self.bucket(F.col(self.keys[0])).alias(BUCKET)).distinct()
+            # At most ``buckets`` rows, so broadcast; the filter, always true, has the optimizer prune by them at run time.
+            rows = rows.join(F.broadcast(wanted.filter(F.col(BUCKET) < self.buckets)), BUCKET, "left_semi")
+        return rows.drop(BUCKET).join(only, only.columns, "left_semi")
 
     def newest_version(self) -> int:
         """The largest version written so far, read from the names of the folders; -1 if there is none."""
@@ -78,11 +110,9 @@ class VersionedTable:
         versions arrives as one row per task. ``only`` holds distinct values of some key
         columns; other rows are dropped before anything is sorted or shuffled by key.
         """
-        rows = self.versions()
+        rows = self.versions(only)
         if up_to is not None:
             rows = rows.filter(F.col("version") <= up_to)
-        if only is not None:
-            rows = rows.join(only, only.columns, "left_semi")
         values = [f.name for f in self.schema if f.name not in self.keys]
         newest = F.max_by(F.struct(*values), F.col("version"))
         return (
@@ -102,8 +132,10 @@ class VersionedTable:
         """
         if version <= self.as_of():
             return
-        folded = self.latest(up_to=version).repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
-        folded.write.mode("overwrite").parquet(f"{self.root}/snapshot/as_of={version}")
+        folded = self.latest(up_to=version)
+        if not self.buckets:
+            folded = folded.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
+        self._write(folded, f"{self.root}/snapshot/as_of={version}")
         self._point_to(version)
 
     def expire(self) -> None:

@@ -1,11 +1,18 @@
-"""Rating histories of users as keyed streaming state."""
+"""Rating histories of users as keyed streaming state.
+
+:func:`histories` keeps a user's history as one value, :func:`map_histories` as one entry
+per movie, so that a micro-batch writes the entries it changes and nothing else.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import batched
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 _RATING = "userId INT, movieId INT, rating FLOAT"
@@ -48,3 +55,55 @@ def _remember(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) ->
     movies = [int(movie) for movie in history.index]
     state.update((movies, [float(rating) for rating in history]))
     yield pd.DataFrame({"userId": key[0], "movieId": movies, "rating": history.to_numpy(dtype="float32")})
+
+
+# State by entry needs a provider that reads and writes single keys.
+_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Rows of a history that are handed on at once.
+_EMITTED = 10_000
+
+
+@contextmanager
+def entry_state(spark: SparkSession):
+    """Streams started inside keep their state by entry; the session's own setting comes back afterwards."""
+    before = spark.conf.get(_PROVIDER_CONF, None)
+    spark.conf.set(_PROVIDER_CONF, _PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER_CONF) if before is None else spark.conf.set(_PROVIDER_CONF, before)
+
+
+def map_histories(ratings: DataFrame) -> DataFrame:
+    """What :func:`histories` gives, from a map state keyed by movie.
+
+    A micro-batch writes one entry per rating that is new or changed, however long the
+    history; the history itself is read entry by entry and handed on in bounded frames, so
+    no task holds it. Start the stream inside :func:`entry_state`.
+    """
+    combined = ratings.select("userId", "movieId", "rating").mapInPandas(_combine, _RATING)
+    return combined.groupBy("userId").transformWithStateInPandas(MovieRatings(), _RATING, "update", "none")
+
+
+class MovieRatings(StatefulProcessor):
+    """The latest rating of each movie a user rated."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ratings = handle.getMapState("ratings", "movieId INT", "rating FLOAT")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        fresh: dict[int, float] = {}
+        for frame in rows:
+            for movie, rating in zip(frame["movieId"].tolist(), frame["rating"].tolist(), strict=True):
+                fresh[movie] = max(rating, fresh.get(movie, rating))
+        for movie, rating in fresh.items():
+            if self.ratings.getValue((movie,)) != (rating,):
+                self.ratings.updateValue((movie,), (rating,))
+        for entries in batched(self.ratings.iterator(), _EMITTED):
+            movies, values = [movie for (movie,), _ in entries], [rating for _, (rating,) in entries]
+            frame = pd.DataFrame({"userId": key[0], "movieId": movies, "rating": values})
+            yield frame.astype({"userId": "int32", "movieId": "int32", "rating": "float32"})
+
+    def close(self) -> None:
+        pass
