@@ -778,3 +778,31 @@ ORACLES: dict[str, str] = {
 
 for _name in ("stream_state_map", "stream_log_bucketed"):
     ORACLES[_name] = ORACLES["stream_refresh_history"]
+
+_SKEWED = """skewed AS (
+    SELECT movieId, list_transform(features, lambda x: x * (1.0::DOUBLE / (1 + movieId % 50))) AS features FROM item_factors)"""
+_SPARED_ROWS = "SELECT userId, movieId, round(score, 6) AS score, rank, TRUE AS spared FROM best"
+ORACLES["score_topk_pruned"] = _sql(
+    _SPARED_ROWS,
+    "item_factors",
+    extra=[_VECTOR_USERS, _SKEWED, _best("vector_users", 10).replace("item_factors i", "skewed i")],
+)
+ORACLES["score_topk_pruned_excluding"] = _sql(
+    _SPARED_ROWS,
+    "item_factors",
+    "ratings",
+    extra=[_VECTOR_USERS, _SKEWED, _best("vector_users", 10, "ratings").replace("item_factors i", "skewed i")],
+)
+ORACLES["score_topk_pruned_even"] = ORACLES["score_topk_from_vectors"]
+# A user -1 who rated every movie that has a vector.
+_WITH_COLLECTOR = """pairs_and_collector AS (
+    SELECT userId, movieId, n, total FROM pairs
+    UNION ALL SELECT -1, movieId, 1, CAST(1 + movieId % 9 AS DOUBLE) / 2 FROM item_factors)"""
+ORACLES["fold_in_split_user"] = _sql(
+    """SELECT userId, n_items, CAST(place - 1 AS INTEGER) AS place, round(features[place], 6) AS component
+       FROM (SELECT userId, n_items, features, unnest(range(1, len(features) + 1)) AS place FROM solved)""",
+    "pairs",
+    "item_factors",
+    extra=[_WITH_COLLECTOR, *_solved("pairs_and_collector")],
+    recursive=True,
+)

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from ratingloom import fixed_values as fixed
 from ratingloom.functions import dot, guarded_ratio, ideal_dcg, is_good, last_n, release_year
 from ratingloom.operators import als
-from ratingloom.operators.fold_in import fold_in, fold_in_two, gram_sums, probe
+from ratingloom.operators.fold_in import fold_in, fold_in_split, fold_in_two, gram_sums, probe
 from ratingloom.operators.positions import dense_ids
 from ratingloom.operators.preparation import IdMappings, active_only, clean, counts, split_at, split_point, time_split
+from ratingloom.operators.pruned import pruned_top_items
 from ratingloom.operators.ranking import (
     good_items,
     hit_rate,
@@ -540,6 +541,20 @@ def fold_in_full(spark, folder):
     )
 
 
+@query
+def fold_in_split_user(spark, folder):
+    """The same with one more user, who rated every movie that has a vector, solved in parts of 32 movies."""
+    movies = tables.item_factors(spark, folder).select("movieId")
+    collector = movies.select(
+        F.lit(-1).alias("userId"), "movieId", ((F.lit(1) + F.col("movieId") % 9) / 2).cast("float").alias("rating")
+    )
+    rated = _fresh(spark, folder).unionByName(collector)
+    vectors = fold_in_split(rated, _items(spark, folder), pairs_per_part=32)
+    return vectors.select("userId", "n_items", F.posexplode("features").alias("place", "component")).withColumn(
+        "component", F.round("component", 6)
+    )
+
+
 def _rewritten_items(spark: SparkSession, folder: str) -> DataFrame:
     """Item factors in which every third movie has two rows, the later one back to front."""
     items = tables.item_factors(spark, folder).withColumn("written", F.lit(1))
@@ -609,6 +624,43 @@ def score_topk_in_blocks(spark, folder):
     return _rounded_scores(top_items(users, items, fixed.SHOWN_LENGTH, rated, user_block=256, item_block=256))
 
 
+def _skewed_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Item vectors whose lengths fall from 1 to 1/50, as those of popular and rare items do."""
+    scale = 1 / (1 + F.col("movieId") % 50)
+    return tables.item_factors(spark, folder).withColumn(
+        "features", F.transform("features", lambda x: x.cast("double") * scale)
+    )
+
+
+def _pruned(spark: SparkSession, folder: str, items: ItemFactors, rated: DataFrame | None, **sizes: int) -> DataFrame:
+    """Lists next to whether the search worked out fewer scores than there are pairs."""
+    users = _vectors_as_users(spark, folder)
+    best = files.staged(pruned_top_items(users, items, fixed.SHOWN_LENGTH, rated, **sizes))
+    scored = best.select("userId", "scored").distinct().agg(F.sum("scored").alias("scored"))
+    every_pair = users.agg((F.count("*") * items.count).alias("pairs"))
+    return _rounded_scores(best.withColumn("spared", scored.scalar() < every_pair.scalar()).drop("scored"))
+
+
+@query
+def score_topk_pruned(spark, folder):
+    """The best items over vectors of skewed lengths, found without scoring them all."""
+    return _pruned(spark, folder, ItemFactors.of(_skewed_items(spark, folder)), None, block=16)
+
+
+@query
+def score_topk_pruned_excluding(spark, folder):
+    """The same without rated items, with a catalogue treated as too large to broadcast."""
+    items = ItemFactors.of(_skewed_items(spark, folder), limit_bytes=0)
+    return _pruned(spark, folder, items, tables.ratings(spark, folder), first_tier=64)
+
+
+@query
+def score_topk_pruned_even(spark, folder):
+    """Over the vectors as they are: the lists of scoring everything, whatever can be skipped."""
+    best = pruned_top_items(_vectors_as_users(spark, folder), _items(spark, folder), fixed.SHOWN_LENGTH)
+    return _rounded_scores(best.drop("scored"))
+
+
 @query
 def fold_in_recommend(spark, folder):
     """Online lists of all users who sent messages."""
