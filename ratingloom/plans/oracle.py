@@ -806,3 +806,5 @@ ORACLES["fold_in_split_user"] = _sql(
     extra=[_WITH_COLLECTOR, *_solved("pairs_and_collector")],
     recursive=True,
 )
+ORACLES["serving_tiered"] = ORACLES["serving_compacted"]
+ORACLES["serving_tiered_lookup"] = ORACLES["serving_lookup"]

@@ -45,7 +45,8 @@ from ratingloom.plans.train import (
 from ratingloom.session import scratch_path
 from ratingloom.sources import files, schemas, tables
 from ratingloom.sources import messages as msg
-from ratingloom.sources.serving import lookup_many, serving_rows, serving_table
+from ratingloom.sources.serving import lookup_many, serving_rows, serving_table, tiered_serving_table
+from ratingloom.sources.tiered import TieredTable
 from ratingloom.sources.versioned import GENERATION, version_of
 from ratingloom.streaming.histories import histories
 from ratingloom.streaming.refresh import (
@@ -870,9 +871,9 @@ def als_stored_model(spark, folder):
 # --- serving -----------------------------------------------------------------
 
 
-def _served(spark: SparkSession, folder: str):
+def _served(spark: SparkSession, folder: str, table=None):
     """A table with every user's favourites and, newer, those of message senders, one write repeated."""
-    table = serving_table(spark, scratch_path(spark, "serving"))
+    table = table or serving_table(spark, scratch_path(spark, "serving"))
     table.append(serving_rows(_favourites(tables.ratings(spark, folder)), "batch"), version_of(1))
     online = files.staged(serving_rows(_favourites(_fresh(spark, folder)), "online"))
     for _ in range(2):
@@ -902,6 +903,32 @@ def serving_lookup(spark, folder):
     return _joined(lookup_many(_served(spark, folder).latest(), keys), "top_10")
 
 
+def _tiered(spark: SparkSession, folder: str) -> TieredTable:
+    return _served(spark, folder, tiered_serving_table(spark, scratch_path(spark, "tiered"), buckets=8, fan=2))
+
+
+@query
+def serving_tiered(spark, folder):
+    """The compacted query over merged runs, with a merged version written once more."""
+    table = _tiered(spark, folder)
+    table.merge()
+    table.append(serving_rows(_favourites(_fresh(spark, folder)), "online"), version_of(1, 0))
+    late = _favourites(tables.ratings(spark, folder).filter("rating < 3"))
+    table.append(serving_rows(late, "online"), version_of(1, 1))
+    table.expire()
+    return _joined(table.latest(), "top_10")
+
+
+@query
+def serving_tiered_lookup(spark, folder):
+    """Lookups of many keys in merged runs: buckets without a key are not opened."""
+    table = _tiered(spark, folder)
+    table.merge()
+    keys = tables.table(spark, folder, "customer").select((F.col("c_custkey") * 2).cast("string").alias("user_id"))
+    keys = files.staged(keys.distinct())
+    return _joined(lookup_many(table.latest(only=keys), keys), "top_10")
+
+
 def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
     return movie_map(tables.movies(spark, folder), tables.links(spark, folder))
 

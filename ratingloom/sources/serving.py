@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions import strings
 from ratingloom.sources import schemas
+from ratingloom.sources.tiered import TieredTable
 from ratingloom.sources.versioned import VersionedTable
 
 
@@ -17,6 +18,11 @@ def serving_table(spark: SparkSession, root: str) -> VersionedTable:
     return table
 
 
+def tiered_serving_table(spark: SparkSession, root: str, buckets: int = 64, fan: int = 8) -> TieredTable:
+    """The same table by merged runs, for many versions and single lookups."""
+    return TieredTable(spark, root, schemas.SERVING, ["user_id"], buckets, fan)
+
+
 def serving_rows(lists: DataFrame, source: Column | str) -> DataFrame:
     """``(userId, movies)`` as serving rows: key and list elements become text."""
     origin = F.lit(source) if isinstance(source, str) else source
@@ -33,6 +39,12 @@ def lookup(latest: DataFrame, user_id: object) -> list[str]:
     return list(row.top_10) if row and row.top_10 else []
 
 
+def lookup_key(table: TieredTable, user_id: object) -> list[str]:
+    """What :func:`lookup` gives, from one bucket of every run."""
+    row = table.latest_of(str(user_id)).select("top_10").first()
+    return list(row.top_10) if row and row.top_10 else []
+
+
 def lookup_many(latest: DataFrame, keys: DataFrame) -> DataFrame:
     """``(user_id, top_10, found)`` for every distinct key; unknown keys get ``[]``."""
     wanted = keys.select(F.col("user_id").cast("string").alias("user_id")).distinct()

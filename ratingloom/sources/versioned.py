@@ -113,6 +113,9 @@ class VersionedTable:
         rows = self.versions(only)
         if up_to is not None:
             rows = rows.filter(F.col("version") <= up_to)
+        return self._newest(rows)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
         values = [f.name for f in self.schema if f.name not in self.keys]
         newest = F.max_by(F.struct(*values), F.col("version"))
         return (

@@ -16,7 +16,7 @@ def rated(spark, data):
     return spark.createDataFrame(data, RATED)
 
 
-def files_read(df):
+def files_read(df, column="rating"):
     """Files that the scans of a table's log and snapshot opened when ``df`` ran."""
     df.collect()
     plan = df._jdf.queryExecution().executedPlan()
@@ -26,7 +26,7 @@ def files_read(df):
         node = open_nodes.pop()
         if "QueryStage" in node.getClass().getName():
             open_nodes.append(node.plan())
-        if "FileSourceScan" in node.getClass().getName() and "rating" in node.output().mkString(","):
+        if "FileSourceScan" in node.getClass().getName() and column in node.output().mkString(","):
             total += node.metrics().apply("numFiles").value()
         open_nodes += [node.children().apply(i) for i in range(node.children().length())]
     return total
