@@ -808,3 +808,8 @@ ORACLES["fold_in_split_user"] = _sql(
 )
 ORACLES["serving_tiered"] = ORACLES["serving_compacted"]
 ORACLES["serving_tiered_lookup"] = ORACLES["serving_lookup"]
+ORACLES["stream_from_latest"] = _sql(
+    f"""SELECT userId, movieId, rating FROM (SELECT *, {_PART.format(3)} AS part FROM parsed)
+        WHERE part > 0 AND userId IS NOT NULL AND movieId IS NOT NULL AND rating IS NOT NULL""",
+    "parsed",
+)

@@ -47,6 +47,7 @@ from ratingloom.sources import files, schemas, tables
 from ratingloom.sources import messages as msg
 from ratingloom.sources.serving import lookup_many, serving_rows, serving_table, tiered_serving_table
 from ratingloom.sources.tiered import TieredTable
+from ratingloom.sources.topic import NumberedTopic, publish_numbered
 from ratingloom.sources.versioned import GENERATION, version_of
 from ratingloom.streaming.histories import histories
 from ratingloom.streaming.refresh import (
@@ -1060,6 +1061,19 @@ def _run_stream(
     return refresh
 
 
+@query
+def stream_from_latest(spark, folder):
+    """What a subscriber parses who comes after the first third of the messages, and is away between the others."""
+    spark.dataSource.register(NumberedTopic)
+    topic, sink, checkpoint = (scratch_path(spark, name) for name in ("numbered", "parsed", "checkpoint"))
+    for part in _topic_parts(spark, folder, 3):
+        publish_numbered(part, topic)
+        stream = msg.subscribe(spark, NumberedTopic.name(), path=topic, startingOffsets="latest", group="parser")
+        parsed = msg.well_formed(msg.parse(stream)).drop("value").writeStream.format("parquet")
+        parsed.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink).awaitTermination()
+    return spark.read.schema("userId INT, movieId INT, rating FLOAT").parquet(sink)
+
+
 @query
 def stream_refresh_batch(spark, folder):
     """Lists served by the live refresh that looks at the micro-batch only."""
