@@ -11,6 +11,7 @@ from ratingloom import fixed_values as fixed
 from ratingloom.operators.joins import hot_keys, salted_join
 from ratingloom.operators.positions import dense_ids
 from ratingloom.operators.quantiles import approx_quantile, exact_quantile
+from ratingloom.sources.landing import RatingSummaries
 
 
 def clean(raw: DataFrame) -> DataFrame:
@@ -23,8 +24,10 @@ def clean(raw: DataFrame) -> DataFrame:
     ).dropna("any")
 
 
-def counts(ratings: DataFrame, *keys: str) -> DataFrame:
-    """Rows per key, combined before the shuffle: a hot key is one row per task."""
+def counts(ratings: DataFrame | RatingSummaries, *keys: str) -> DataFrame:
+    """Rows per key, combined before the shuffle: a hot key is one row per task. Summaries have them stored."""
+    if isinstance(ratings, RatingSummaries):
+        return ratings.counts(*keys)
     return ratings.groupBy(*keys).agg(F.count("*").alias("count"))
 
 
@@ -84,8 +87,12 @@ class IdMappings:
         return out.select(*rekeyed.columns)
 
 
-def split_point(ratings: DataFrame, q: float = fixed.SPLIT_QUANTILE, exact: bool = False) -> DataFrame:
-    """One row ``quantile``: the timestamp up to which ratings train the model."""
+def split_point(
+    ratings: DataFrame | RatingSummaries, q: float = fixed.SPLIT_QUANTILE, exact: bool = False
+) -> DataFrame:
+    """One row ``quantile``: the timestamp up to which ratings train the model; summaries give an approximate one."""
+    if isinstance(ratings, RatingSummaries):
+        return ratings.quantile(q)
     pick = exact_quantile if exact else approx_quantile
     return pick(ratings, "timestamp", q)
 

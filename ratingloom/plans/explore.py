@@ -2,7 +2,8 @@
 
 Every function returns a small DataFrame and leaves it to the caller what to do
 with it. Facts are aggregated before they meet a dimension, so joins here see one
-row per movie or user, never one per rating.
+row per movie or user, never one per rating. In place of the ratings every function
+takes their :class:`ratingloom.sources.landing.RatingSummaries` as well.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from ratingloom.functions import rating_year, release_year
 from ratingloom.operators.histogram import equal_width_histogram
 from ratingloom.operators.positions import popularity_positions
 from ratingloom.operators.preparation import counts
+from ratingloom.sources.landing import RatingSummaries
 
 
 def rating_distribution(ratings: DataFrame) -> DataFrame:
@@ -22,6 +24,8 @@ def rating_distribution(ratings: DataFrame) -> DataFrame:
 
 
 def ratings_per_year(ratings: DataFrame) -> DataFrame:
+    if isinstance(ratings, RatingSummaries):
+        return ratings.counts("year").orderBy("year")
     years = ratings.select(rating_year(F.col("timestamp")).alias("year"))
     return counts(years, "year").orderBy("year")
 

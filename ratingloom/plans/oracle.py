@@ -813,3 +813,34 @@ ORACLES["stream_from_latest"] = _sql(
         WHERE part > 0 AND userId IS NOT NULL AND movieId IS NOT NULL AND rating IS NOT NULL""",
     "parsed",
 )
+ORACLES["landed_incrementally"] = _sql(
+    """SELECT userId, movieId, CAST(rating AS FLOAT) AS rating, timestamp,
+              CAST(CASE WHEN movieId % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS part FROM ratings""",
+    "ratings",
+)
+ORACLES["stored_split_point"] = _sql(
+    "SELECT TRUE AS enough_before, TRUE AS enough_after, count(*) AS ratings FROM ratings", "ratings"
+)
+ORACLES["maintained_exploration"] = "\nUNION ALL\n".join(
+    f"""SELECT '{_measure}' AS measure, CAST({_key} AS DOUBLE) AS key, round(CAST({_value} AS DOUBLE), 6) AS value
+        FROM ({ORACLES[_recounted]})"""
+    for _measure, _key, _value, _recounted in (
+        ("rating", "rating", "count", "rating_distribution"),
+        ("year", "year", "count", "ratings_per_year"),
+        ("tail", "movieId", "position", "long_tail_rank"),
+        ("histogram", "bin", "rows", "user_count_histogram"),
+        ("release", "ReleaseYear", "total_ratings", "ratings_by_release_year"),
+        ("top", "userId", "count", "top_users"),
+        ("head", "head_size", "head_percent", "head_share"),
+        ("totals", "ratings", "users", "dataset_totals"),
+        ("sparsity", "movies", "sparsity_percent", "matrix_sparsity"),
+    )
+)
+ORACLES["als_model_generations"] = _sql(
+    """SELECT step, generation, pairs, pairs AS same_pairs
+       FROM (VALUES ('saved', 0), ('half written', 0), ('saved again', 1), ('rolled back', 0)) steps(step, generation),
+            (SELECT count(*) AS pairs FROM (SELECT DISTINCT userId, movieId FROM test
+             WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)))""",
+    "test",
+    "train",
+)

@@ -7,6 +7,7 @@ reads whole tables; sizes follow the tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,6 +46,8 @@ from ratingloom.plans.train import (
 from ratingloom.session import scratch_path
 from ratingloom.sources import files, schemas, tables
 from ratingloom.sources import messages as msg
+from ratingloom.sources.landing import SKETCH_K, RatingSummaries, land_new, landed_table
+from ratingloom.sources.models import ModelStore
 from ratingloom.sources.serving import lookup_many, serving_rows, serving_table, tiered_serving_table
 from ratingloom.sources.tiered import TieredTable
 from ratingloom.sources.topic import NumberedTopic, publish_numbered
@@ -296,6 +299,64 @@ def csv_reordered_header(spark, folder):
     return files.read_ratings(spark, _csv_copy(shuffled, "reordered-csv"))
 
 
+def _landed_in_two(spark: SparkSession, folder: str) -> tuple[str, RatingSummaries]:
+    """Ratings whose files arrive in two lots, each landed and summarised when it is there, then once more for nothing."""
+    raw, target, rejects, ledger, root = (
+        scratch_path(spark, name) for name in ("dat", "landed", "rejects", "ledger", "summaries")
+    )
+    summaries = RatingSummaries(spark, root)
+    ratings = tables.ratings(spark, folder)
+    lines = ratings.select("movieId", F.concat_ws("::", "userId", "movieId", "rating", "timestamp").alias("value"))
+    for late in (False, True, None):
+        if late is not None:
+            lines.filter((F.col("movieId") % 3 == 0) == late).select("value").write.mode("append").text(raw)
+        land_new(spark, raw, schemas.RATINGS, target, rejects, ledger, "::", False, summaries.add)
+    return target, summaries
+
+
+@query
+def landed_incrementally(spark, folder):
+    """Ratings with the number of the landing run that took their file."""
+    return landed_table(spark, _landed_in_two(spark, folder)[0], schemas.RATINGS)
+
+
+@query
+def maintained_exploration(spark, folder):
+    """Exploration tables from summaries that were refreshed by merging, one below the other."""
+    _, ratings = _landed_in_two(spark, folder)
+    movies = tables.movies(spark, folder)
+
+    def measured(table: DataFrame, name: str, key: str, value: str) -> DataFrame:
+        number = F.round(F.col(value).cast("double"), 6).alias("value")
+        return table.select(F.lit(name).alias("measure"), F.col(key).cast("double").alias("key"), number)
+
+    found = [
+        measured(explore.rating_distribution(ratings), "rating", "rating", "count"),
+        measured(explore.ratings_per_year(ratings), "year", "year", "count"),
+        measured(explore.long_tail(ratings), "tail", "movieId", "position"),
+        measured(explore.count_histogram(ratings, "userId"), "histogram", "bin", "rows"),
+        measured(explore.ratings_by_release_year(ratings, movies), "release", "ReleaseYear", "total_ratings"),
+        measured(explore.top_users(ratings), "top", "userId", "count"),
+        measured(explore.head_share(ratings), "head", "head_size", "head_percent"),
+        measured(explore.dataset_totals(ratings, movies), "totals", "ratings", "users"),
+        measured(explore.matrix_sparsity(ratings), "sparsity", "movies", "sparsity_percent"),
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def stored_split_point(spark, folder):
+    """Whether the split point of the stored sketches has its share of the whole table on either side."""
+    _, summaries = _landed_in_two(spark, folder)
+    point = split_point(summaries).scalar()
+    moment, allowed = F.col("timestamp"), 3 / SKETCH_K**0.9
+    return tables.ratings(spark, folder).agg(
+        (F.avg((moment <= point).cast("int")) >= fixed.SPLIT_QUANTILE - allowed).alias("enough_before"),
+        (F.avg((moment < point).cast("int")) <= fixed.SPLIT_QUANTILE + allowed).alias("enough_after"),
+        F.count("*").alias("ratings"),
+    )
+
+
 @query
 def stored_factors(spark, folder):
     """Item factors written and read back: first component and length per movie."""
@@ -869,6 +930,35 @@ def als_stored_model(spark, folder):
     return both.groupBy(F.col("prediction").eqNullSafe(F.col("loaded")).alias("same")).agg(F.count("*").alias("pairs"))
 
 
+@query
+def als_model_generations(spark, folder):
+    """Which generation a reader gets between saves, and on how many test pairs it predicts what that model predicts."""
+    model, prepared = _fitted(spark, folder)
+    small = als.fit(prepared.train, rank=4, iterations=1, seed=SEED)
+    store = ModelStore(spark, scratch_path(spark, "models"))
+    pairs = files.staged(prepared.test.select("userId", "movieId").distinct())
+
+    def seen(step: str, expected) -> DataFrame:
+        generation, read = store.load()
+        wanted = als.predict(expected, pairs).withColumnRenamed("prediction", "wanted")
+        both = als.predict(read, pairs).join(wanted, ["userId", "movieId"])
+        same = F.col("prediction").eqNullSafe(F.col("wanted")).cast("bigint")
+        found = both.agg(F.count("*").alias("pairs"), F.sum(same).alias("same_pairs"))
+        return files.staged(found.select(F.lit(step).alias("step"), F.lit(generation).alias("generation"), "pairs", "same_pairs"))
+
+    store.save(model)
+    found = [seen("saved", model)]
+    # A save that dies between its writes: the user factors are there, nothing else is.
+    small.userFactors.write.parquet(f"{store.folder(store.next_generation())}/userFactors")
+    found.append(seen("half written", model))
+    store.drop_unfinished()
+    store.save(small)
+    found.append(seen("saved again", small))
+    store.roll_back()
+    found.append(seen("rolled back", model))
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- serving -----------------------------------------------------------------
 
 

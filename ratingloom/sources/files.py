@@ -90,6 +90,12 @@ def land_raw(
     text = schemas.as_text(schema)
     reader = spark.read.option("header", header).option("sep", sep).option("columnNameOfCorruptRecord", "line")
     raw = reader.schema(StructType([*text.fields, StructField("line", StringType())])).csv(path)
+    write_fitting(raw, schema, target, rejects)
+
+
+def write_fitting(raw: DataFrame, schema: StructType, target: str, rejects: str) -> None:
+    """Text rows (the schema's columns and ``line``) that fit the schema to ``target``, the others to ``rejects``."""
+    spark, text = raw.sparkSession, schemas.as_text(schema)
     fits = F.col("line").isNull()
     for field in schema:
         fits = fits & F.col(field.name).try_cast(field.dataType).isNotNull()
