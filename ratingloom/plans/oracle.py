@@ -261,7 +261,7 @@ def _stored(users: str) -> list[str]:
     ]
 
 
-_FEW_ITEMS = ("FROM embeddings", "FROM embeddings WHERE vec_id % 150 = 0")
+_SPREAD_ITEMS = ("CAST(vec_id AS INTEGER) AS movieId", "CAST(vec_id * 150 AS INTEGER) AS movieId")
 _ALL_USERS = """vector_users AS (
     SELECT CAST(vec_id AS INTEGER) AS userId, CAST(embedding AS DOUBLE[]) AS features FROM embeddings)"""
 _REWRITTEN = (
@@ -574,7 +574,7 @@ ORACLES: dict[str, str] = {
                     SELECT 1 FROM fresh r WHERE r.userId = fresh.userId AND r.movieId = i.movieId)) = 0""",
         "fresh",
         "item_factors",
-    ).replace(*_FEW_ITEMS, 1),
+    ).replace(*_SPREAD_ITEMS, 1),
     # --- model: what holds whatever its random start --------------------------
     "als_recommend": _sql(_COMPLETE_LISTS.format("SELECT DISTINCT userId FROM train"), "train"),
     "als_recommend_subset": _sql(
@@ -727,7 +727,7 @@ ORACLES: dict[str, str] = {
             _best("rest", 30).replace("best AS", "stored AS", 1),
         ],
         recursive=True,
-    ).replace(*_FEW_ITEMS, 1),
+    ).replace(*_SPREAD_ITEMS, 1),
     "stream_refresh_model_first": _sql(
         f"""SELECT {_TOPPED}, 'online' AS source FROM best
             WHERE userId NOT IN (SELECT userId FROM stored) GROUP BY userId
@@ -745,7 +745,7 @@ ORACLES: dict[str, str] = {
             _best("rest", 30).replace("best AS", "stored AS", 1),
         ],
         recursive=True,
-    ).replace(*_FEW_ITEMS, 1),
+    ).replace(*_SPREAD_ITEMS, 1),
     "serving_publish_while_streaming": _sql(
         """SELECT CAST(userId AS VARCHAR) AS user_id, arg_max(source, turn) AS source,
                   CAST(max(turn) // 2 + 1 AS BIGINT) AS generation

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -53,7 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):  # not local-cluster, whose executors are processes of their own
         raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ratingloom-"))
     return spark.sparkContext.getCheckpointDir()
