@@ -7,8 +7,8 @@ eight bytes a chunk.
 
 Defined results: null and empty texts are equal to each other. A row that repeats
 another's doc_id and text counts as one more copy, and only one of such rows stays. A
-null doc_id is below all others. Other columns are ignored, and an empty table gives
-an empty result.
+null doc_id is below all others. Very long texts are cut into chunks of bounded length.
+Other columns are ignored, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -70,19 +70,12 @@ def exact_duplicates(docs: DataFrame, bits: int = 64, **lengths: int) -> DataFra
 
     Of equal texts (A-Z counts as a-z) the row with the largest doc_id stays.
     """
-    held = staged(recipes(docs, bits, **lengths), "recipes")
-    groups = staged(
-        held.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "recipe-groups"
-    )
-    rows = held.groupBy("recipe", "doc_id", "text_sha256").agg(F.count("*").alias("times"))
-    return (
-        rows.join(groups, "recipe")
-        .withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("time") == 1)).alias("kept"),
-            "text_sha256",
-        )
+    numbered = recipes(docs, bits, **lengths).withColumn("row", F.monotonically_increasing_id())
+    held = staged(numbered, "recipes")  # numbers are those that were written
+    groups = held.groupBy("recipe").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
+    keep_id, keep_row = F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row")
+    groups = staged(groups.select("recipe", keep_id, keep_row, "group_size"), "recipe-groups")
+    # Both sides are tables, so a text of very many rows is split by the join, and rows stay single.
+    return held.join(groups, "recipe").select(
+        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256"
     )

@@ -9,8 +9,8 @@ neutral mentions of a group stay low.
 Training takes at most ``SAMPLE`` labelled documents, those with the smallest hash of
 their ids. Scoring reads every whole text.
 
-Defined results: null and empty texts get the score of the bias alone. Of several labels of
-one document the largest counts; null labels count not at all. Without labels every score
+Defined results: null and empty texts get the score of the bias alone, an empty table gives
+no rows, very long texts are read piece by piece. Of several labels of one document the largest counts, of several texts one; null labels count not at all. Without labels every score
 is 0.5 or less (the bias is 0 and nothing is predicted toxic). Repeated rows get equal
 scores; other columns are ignored.
 """
@@ -67,7 +67,11 @@ def _word_lists(batches):
 
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """text and toxic of the labelled documents to learn from: at most ``size`` label rows, all documents of these ids."""
+    """text and toxic of the labelled documents to learn from: one row an id, ``size`` rows at most.
+
+    Of several texts under one id the one with the smallest hash counts; rows of an id combine
+    before they are shuffled.
+    """
     chosen = (
         labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
         .filter(~held_out(5, 0))
@@ -76,7 +80,9 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(size)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text"))
+    return texts.groupBy("doc_id", "toxic").agg(one.alias("text")).select("text", "toxic")
 
 
 class Model:

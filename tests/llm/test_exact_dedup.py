@@ -78,3 +78,14 @@ def test_chunks_make_up_the_text_and_survive_an_insertion(spark):
 def test_a_hot_text_is_split_by_the_join(spark):
     plan = exact_dedup.exact_duplicates(spark.createDataFrame(DATA, SCHEMA))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan and "Python" not in plan
+
+
+def test_a_third_of_all_rows_is_one_row_repeated(spark):
+    """Rows of a null id without text, and of an id with a text, come back one by one, and one of each stays."""
+    data = [(None, None)] * 300 + [(7, "the same text")] * 300 + [(i, f"text {i}") for i in range(100, 400)]
+    result = exact_dedup.exact_duplicates(spark.createDataFrame(data, SCHEMA).repartition(6))
+    found = {(r.doc_id, r.keep_id, r.group_size): r["count"] for r in result.groupBy("doc_id", "keep_id", "group_size").count().collect()}
+    assert found[None, None, 300] == found[7, 7, 300] == 300 and len(found) == 302
+    assert result.filter("kept").count() == 302
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "collect_list" not in plan

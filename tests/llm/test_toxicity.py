@@ -78,3 +78,32 @@ def test_penalty_charges_the_change_of_the_logit():
     loose, tight = toxicity.fit(rows, counterfactual=0.0), toxicity.fit(rows, counterfactual=1000.0)
     spread = lambda m: np.ptp([m.weights[w] for w in ("people", "women", "men")])
     assert spread(tight) < 0.1 < spread(loose)
+
+
+def test_a_hot_id_is_one_row_of_the_sample(spark):
+    docs, labels = labelled(90)
+    d, l = frames(spark, docs + [(7, f"text {i} of a hot id") for i in range(45)], labels + [(7, 0)] * 30)
+    assert toxicity.sample(d, l).count() == toxicity.sample(*frames(spark, docs, labels)).count()
+
+
+def test_slope_of_the_penalty_is_that_of_swapped_rows():
+    """One row with each swap made has the gap of logits that the closed form charges: brute force over the swaps."""
+    lists = [["women", "x"], ["men", "y"], ["women", "y"], ["x"]]
+    vocabulary = {w: i for i, w in enumerate(sorted({w for row in lists for w in row} | {"people"}))}
+    present = np.zeros(len(vocabulary))
+    for row in lists:
+        for word in row:
+            present[vocabulary[word]] += 1
+    weights = np.linspace(-1, 1, len(vocabulary))
+    closed = sum(
+        times * (weights[a] - (weights[b] if b >= 0 else 0)) ** 2 for a, b, times in toxicity.swap_pairs(vocabulary, present)
+    )
+    logit = lambda row: sum(weights[vocabulary[w]] for w in row if w in vocabulary)
+    swapped = 0.0
+    for row in lists:
+        for group in toxicity.IDENTITIES:
+            for term in set(row) & set(group):
+                for other in group:
+                    if other != term:
+                        swapped += (logit(row) - logit([other if w == term else w for w in row])) ** 2
+    assert np.isclose(closed, swapped)
