@@ -104,5 +104,5 @@ def test_empty_documents(spark):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert language.UNKNOWN == "und"
