@@ -1,7 +1,7 @@
 """Mixing sources to target weights by a hypergeometric splitting tree.
 
 Each source has a target in words. Its documents stand in an order given by a hash of
-their ids and are cut into blocks of a few hundred. The blocks that reach the target,
+their ids and texts and are cut into blocks of a few hundred. The blocks that reach the target,
 whole passes first, form the source's quota; a tree splits the vector of quotas among
 the output shards, halving the shards at each level and drawing the left half's share
 from the multivariate hypergeometric distribution, so every shard is a fair sample of
@@ -9,8 +9,9 @@ the mix without looking at data. Blocks then go to shards by their number, and e
 shard orders its rows by a hash.
 
 Defined results: null or empty texts have no words and are never taken. Null sources
-form one source, the last. Documents with equal ids share their place and fate. An
-empty table gives an empty result. There is one row of the source table per source;
+form one source, the last. Every row has a place and fate of its own, rows that share
+the id or repeat each other included; repeated rows are interchangeable. Long texts are
+hashed and counted whole. Other columns are ignored. An empty table gives an empty result. There is one row of the source table per source;
 the sources are numbered in one task, which takes a few million of them.
 """
 
@@ -36,11 +37,48 @@ FINE_BITS = 10
 WORDS_PER_SHARD = 5_000_000
 SEED = "mix"
 KEY_BITS = 60
+#: Repeated rows are numbered in so many parts.
+PARTS = 4096
 
 
-def _key() -> Column:
-    digest = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    return F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long")
+def _mark() -> Column:
+    """What tells documents apart: doc_id and text."""
+    return F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text_of()))
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` (with source and mark) with a key of their own each, in place of the mark.
+
+    Rows that repeat source, doc_id and text are numbered from 0, so which of them is which
+    makes no difference. They are dealt into parts, numbered within each and shifted by the
+    rows of the parts before, so a group of any size is spread over tasks.
+    """
+    same = F.concat("mark", F.coalesce(F.concat(F.lit(":"), "source"), F.lit("")))
+    rows = rows.withColumn("same", same)
+    repeated = staged(rows.groupBy("same").agg(F.count("*").alias("n")).filter("n > 1").select("same"), "mix-repeated")
+    if repeated.isEmpty():
+        numbered = rows.withColumn("nth", F.lit(0).cast("long"))
+    else:
+        repeated = small(repeated)
+        part = F.monotonically_increasing_id() % PARTS
+        many = staged(rows.join(repeated, "same", "left_semi").withColumn("part", part), "mix-copies")
+        earlier = W.partitionBy("same").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+        parts = (
+            many.groupBy("same", "part")
+            .agg(F.count("*").alias("n"))
+            .select("same", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+        )
+        within = F.row_number().over(W.partitionBy("same", "part").orderBy("part")) - 1
+        numbered = (
+            many.withColumn("within", within)
+            .join(parts, ["same", "part"])
+            .withColumn("nth", F.col("before") + F.col("within"))
+            .select(*rows.columns, "nth")
+            .unionByName(rows.join(repeated, "same", "left_anti").withColumn("nth", F.lit(0).cast("long")))
+        )
+    digest = F.md5(F.concat("mark", F.lit(":"), F.col("nth").cast("string")))
+    key = F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long")
+    return numbered.withColumn("key", key).drop("mark", "same", "nth")
 
 
 def _size() -> Column:
@@ -253,7 +291,8 @@ def splitting_tree(quotas: DataFrame, shards: int) -> DataFrame:
 
 def _plan(docs: DataFrame, words_per_shard: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sized documents, the sources with their cuts, and the blocks with the shards that draw them."""
-    sized = staged(docs.select("doc_id", "source", _size().alias("size"), _key().alias("key")), "mix-sizes")
+    rows = staged(docs.select("doc_id", "source", _size().alias("size"), _mark().alias("mark")), "mix-marks")
+    sized = staged(_keyed(rows), "mix-sizes")
     full = F.when(F.col("words") > 0, F.least(F.floor(F.col("target") / F.col("words")), F.lit(REPEAT))).otherwise(0)
     targets = staged(
         source_targets(sized)
@@ -324,10 +363,8 @@ def mix_counts(docs: DataFrame, words_per_shard: int = WORDS_PER_SHARD) -> DataF
 def mixed(docs: DataFrame, words_per_shard: int = WORDS_PER_SHARD, shard_column: str = "shard") -> DataFrame:
     """The mix itself: a row for each copy of a document, with its shard, in the shard's order."""
     _, sources, draws = _plan(docs, words_per_shard)
-    rows = docs.select(
-        F.struct("*").alias("row"), "source", _size().alias("size"), _key().alias("key")
-    )
-    copies = _drawn(rows, sources, draws).select("row", "key", F.explode("copies").alias("copy"))
+    rows = docs.select(F.struct("*").alias("row"), "source", _size().alias("size"), _mark().alias("mark"))
+    copies = _drawn(_keyed(rows), sources, draws).select("row", "key", F.explode("copies").alias("copy"))
     order = F.xxhash64(F.lit(SEED), "copy.shard", "copy.pass", "key")
     return (
         copies.select("row", F.col("copy.shard").alias("to_shard"), order.alias("place"))

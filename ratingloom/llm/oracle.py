@@ -16,7 +16,8 @@ FROM normalised WINDOW same AS (PARTITION BY text)
 MIXING = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':'
+                             || row_number() OVER (PARTITION BY source, doc_id, coalesce(text, '')) - 1), 1, 15))::BIGINT AS key
   FROM documents
 ),
 named AS (

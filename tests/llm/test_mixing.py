@@ -1,8 +1,13 @@
+import math
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.llm import mixing
+from ratingloom.llm.oracle import ORACLES
 from tests.conftest import rows
+from tools.check_oracles import compare
 
 
 def documents(spark, data):
@@ -63,6 +68,39 @@ def test_mix_comes_near_targets_with_many_shards(spark):
     assert rows(mixing.mix_counts(docs, words_per_shard=5000)) == rows(counts)
 
 
+@pytest.mark.parametrize("hot_id", [7, None])
+@pytest.mark.parametrize("same_text", [True, False])
+def test_a_third_of_all_rows_under_one_id(spark, hot_id, same_text):
+    sizes = [1 + i * 7919 % 50 for i in range(3000)]
+    data = [
+        (hot_id if i % 3 == 0 else i, "w " * (23 if same_text and i % 3 == 0 else n), "c" if i % 3 == 0 else f"s{i % 4}")
+        for i, n in enumerate(sizes)
+    ]
+    docs = documents(spark, data)
+    counts = mixing.mix_counts(docs, words_per_shard=5000)
+    by_target = counts.groupBy("target", "source_size").agg(F.sum("taken").alias("n"), F.max("size").alias("most"))
+    assert all(abs(r.n - r.target) <= r.most for r in by_target.collect())
+    base = duckdb.connect()
+    base.register("documents", docs.toArrow())
+    theirs = base.sql(ORACLES["op5_mixing"]).to_arrow_table()
+    assert compare(counts.toArrow(), theirs) == "equal, 3000 rows"
+    copies = mixing.mixed(docs, words_per_shard=5000)
+    words = copies.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("w"))).alias("n"))
+    assert sum(r.n for r in words.collect()) == sum(r.n for r in by_target.collect())
+
+
+def test_shards_hold_their_quotas(spark):
+    data = [(i, "w " * (1 + i % 9), f"s{i % 3}") for i in range(3000)]
+    docs = documents(spark, data)
+    _, sources, draws = mixing._plan(docs, 1500)
+    quotas = sources.agg(F.array_sort(F.collect_list(F.struct("ordinal", "quota"))).alias("q")).select("q.quota")
+    shards = math.ceil(sources.agg(F.sum("target")).first()[0] / 1500)
+    tree = mixing.splitting_tree(quotas.withColumnRenamed("quota", "quotas"), shards).collect()
+    due = {(r.shard, k): n for r in tree for k, n in enumerate(r.quotas) if n}
+    drawn = draws.select("ordinal", F.explode("draws.shard").alias("shard")).groupBy("shard", "ordinal").count()
+    assert shards > 4 and {(r["shard"], r["ordinal"]): r["count"] for r in drawn.collect()} == due
+
+
 def test_odd_rows_and_clashing_columns(spark):
     data = [(1, None, "a"), (2, "", "a"), (None, "x y", "a"), (None, "x y", "a"), (3, "z", None)]
     docs = documents(spark, data).withColumn("size", F.lit("mine")).withColumn("key", F.lit(0))
