@@ -7,10 +7,11 @@ Function words are everywhere in running text and hardly anywhere in menus and t
 so a fingerprint follows the prose.
 
 Defined results: null counts as empty. A text without words has the empty fingerprint;
-two empty fingerprints are alike (1), an empty and another are not (0). Rows that repeat
-doc_id and text are one document; rows that share only the doc_id stand in the order of a
-hash of their texts; a null doc_id stands last. Extra columns are ignored, an empty
-table gives an empty result, and a single document is its own next.
+two empty fingerprints are alike (1), an empty and another are not (0). Rows that share the
+doc_id stand in the order of a hash of their texts; rows that repeat doc_id and text have
+their equals as next, but for the last of them. A null doc_id stands last. Long texts are
+taken whole. Extra columns are ignored, an empty table gives an empty result, and a single
+document is its own next. Text without spaces between words is one word.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ ANCHORS = (
     "al como con del el ella ellos esta este ha la las lo los más no o para pero por se sin su sus una uno y"
 ).split()
 CHAIN = 2
+#: Equal rows that one row of the last step stands for, at most.
+COPIES = 1 << 16
 _WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
@@ -112,13 +115,24 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text_of().alias("text")).withColumn("text_hash", F.xxhash64("text"))
     keys = texts.select("doc_id", "text_hash", F.char_length("text").cast("long").alias("n_chars"))
     counted = staged(keys.groupBy("doc_id", "text_hash", "n_chars").agg(F.count("*").alias("times")), "keys")
-    if not counted.filter("times > 1").isEmpty():
+    ordered = _in_order(counted.drop("times")).withColumn("copies", F.lit(1).cast("long"))
+    is_repeated = not counted.filter("times > 1").isEmpty()
+    if is_repeated:
         texts = texts.dropDuplicates(["doc_id", "text_hash"])
+        further = counted.filter("times > 1").select(
+            "doc_id",
+            "text_hash",
+            "n_chars",
+            F.struct("doc_id", "text_hash").alias("next"),
+            (F.col("times") - 1).alias("copies"),
+        )
+        ordered = ordered.unionByName(further)
     order = staged(
-        _in_order(counted.drop("times")).select(
+        ordered.select(
             F.col("doc_id").alias("of_id"),
             F.col("text_hash").alias("of_hash"),
             "n_chars",
+            "copies",
             F.col("next.doc_id").alias("next_id"),
             F.col("next.text_hash").alias("next_hash"),
         ),
@@ -129,12 +143,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         "of_id",
         "of_hash",
         "n_chars",
+        "copies",
         F.expr("substring(text, 1, int(n_chars div 3))").alias("start"),
         fingerprint(F.col("text")).alias("next_fingerprint"),
     )
     both = texts.join(starts, here("of_id", "of_hash")).select(
         "doc_id",
         "n_chars",
+        "copies",
         F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 3))"), "start").alias("edited"),
         fingerprint(F.col("text")).alias("fingerprint"),
         "next_fingerprint",
@@ -142,12 +158,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     marked = both.select(
         "doc_id",
         "n_chars",
+        "copies",
         F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint",
         fingerprint(F.col("edited")).alias("edited_fingerprint"),
         "next_fingerprint",
     )
-    return marked.select(
+    compared = marked.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -155,4 +172,18 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        "copies",
+    )
+    return _each(staged(compared, "compared")) if is_repeated else compared.drop("copies")
+
+
+def _each(rows: DataFrame) -> DataFrame:
+    """A row for each of the ``copies`` of every row, large numbers spread over tasks."""
+    single, many = rows.filter("copies = 1").drop("copies"), rows.filter("copies > 1")
+    parts = (
+        many.withColumn("part", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES})")))
+        .withColumn("copies", F.expr(f"least({COPIES}, copies - part * {COPIES})"))
+        .repartition("doc_id", "edited_sha256", "part")
     )
+    each = parts.withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
+    return single.unionByName(each.drop("part", "copy", "copies"))

@@ -71,12 +71,25 @@ def test_equals_its_sql(spark):
 def test_repeated_rows_single_row_and_no_row(spark):
     docs = spark.createDataFrame([(1, "the sun"), (1, "the sun"), (1, "the moon"), (2, "a star")], SCHEMA)
     result = spotsigs.edited_fingerprints(docs).collect()
-    assert sorted(r.doc_id for r in result) == [1, 1, 2]
+    assert sorted(r.doc_id for r in result) == [1, 1, 1, 2]
+    assert sorted(r.near_next for r in result if r.doc_id == 1) == [0.0, 0.0, 1.0]
     one = spotsigs.edited_fingerprints(docs.filter("doc_id = 2")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
     assert spotsigs.edited_fingerprints(docs.limit(0)).count() == 0
 
 
+def test_a_third_of_all_rows_repeat_each_other(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "COPIES", 16)
+    data = [(i, f"the text of {i} and of {i % 5}") for i in range(400)]
+    data += [(200, data[200][1])] * 150 + [(None, None)] * 50 + [(-1, "the last")] * 2
+    docs = spark.createDataFrame(data, SCHEMA)
+    base = duckdb.connect()
+    base.register("documents", docs.toArrow())
+    sql = ORACLES["op8_fingerprints"].replace("doc_id DESC)", "doc_id DESC NULLS LAST)")
+    theirs = base.sql(sql).to_arrow_table()
+    assert compare(spotsigs.edited_fingerprints(docs).toArrow(), theirs) == "equal, 602 rows"
+
+
 def test_plan_has_no_python_and_no_cross_join(spark):
     docs = spark.createDataFrame([(1, "the sun"), (2, "a star")], SCHEMA)
     plan = spotsigs.edited_fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
