@@ -19,19 +19,21 @@ Defined results: null and empty texts have no ids. Characters without a piece be
 their UTF-8 bytes' pieces, or the unknown piece in a model without these. A literal
 U+2581 is a space to the model and decodes as one; every other text survives the round
 trip through a model with byte pieces. Repeated rows are encoded alike; other columns are
-ignored.
+ignored. An empty table gives an empty result. Long texts are encoded whole: cutting and
+looking up take a few bytes a byte of text. Units that are equally frequent at the end of
+the dictionary may fall on either side of it, which changes no ids.
 """
 
 from __future__ import annotations
 
 import heapq
 import itertools
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -299,57 +301,125 @@ def unit_ids(unit: str, pieces: Pieces) -> list[int]:
     return ids
 
 
-def spelled(ids: np.ndarray, pieces: Pieces) -> bytes:
-    """The bytes of ids, put together."""
+# Coding by batch: units and ids as Arrow arrays, Python for units outside the dictionary only.
+
+
+def _offsets(array: pa.Array) -> np.ndarray:
+    return np.frombuffer(array.buffers()[1], np.int32)[array.offset : array.offset + len(array) + 1]
+
+
+def cut(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The units of all texts, and for each text (and the end) the number of its first unit.
+
+    A unit starts with a text, at and behind a line feed, and at a mark that follows
+    another character.
+    """
+    prefix = pc.if_else(pc.equal(texts, ""), "", SPACE)
+    marked = pc.binary_join_element_wise(prefix, pc.replace_substring(texts, " ", SPACE), "")
+    ends = _offsets(marked)
+    data = np.frombuffer(marked.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    starts = np.zeros(len(data) + 3, bool)
+    line = np.flatnonzero(data == ord("\n"))
+    starts[line], starts[line + 1] = True, True
+    first, second, third = SPACE.encode()
+    mark = np.flatnonzero(data == first)
+    mark = mark[(data[mark + 1] == second) & (data[mark + 2] == third)]
+    starts[mark[np.diff(mark, prepend=-4) != 3]] = True
+    starts[ends] = True
+    at = np.flatnonzero(starts[: len(data)])
+    edges = np.append(at, len(data)).astype(np.int32)
+    units = pa.StringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(data))
+    return units, np.searchsorted(at, ends)
+
+
+def spellings(pieces: Pieces) -> pa.BinaryArray:
+    """The bytes of every id up to the highest that has any, and of an unknown one."""
     unknown = " ⁇ ".encode()
-    return b"".join(pieces.spelled.get(i, unknown) for i in ids.tolist())
+    return pa.array([pieces.spelled.get(i, unknown) for i in range(max(pieces.spelled, default=0) + 2)], pa.binary())
+
+
+def spelled(ids: pa.ListArray, table: pa.BinaryArray) -> pa.BinaryArray:
+    """The bytes of each list of ids, put together. Ids without bytes are unknown ones."""
+    flat = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+    last = len(table) - 1
+    parts = table.take(pa.array(np.where((flat < 0) | (flat > last), last, flat)))
+    bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(ids).fill_null(0)))).astype(np.int64)
+    ends = _offsets(parts)
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(ends[bounds])), parts.buffers()[2] or pa.py_buffer(b"")]
+    return pa.Array.from_buffers(pa.binary(), len(ids), buffers)
 
 
-def decoded(data: bytes) -> str:
+def plain(data: bytes) -> str:
     """The text of spelled ids: marks as spaces, without the space in front."""
     return data.decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
 
-def _coder(pieces, dictionary):
-    unit = re.compile(UNIT)
+@dataclass
+class Dictionary:
+    """Units whose ids are known, each once. ``DICTIONARY`` bounds it."""
+
+    units: pa.StringArray
+    ids: pa.ListArray
 
+    @classmethod
+    def of(cls, solved: DataFrame, pieces: Pieces) -> Dictionary:
+        """From unit, cuts and ids as ``segmented`` gives them."""
+        found = solved.withColumn("open", F.exists("ids", F.isnull)).toArrow().combine_chunks()
+        whole, open_ = found.filter(pc.invert(found["open"])), found.filter(found["open"])
+        columns = (open_.column(c).to_pylist() for c in ("unit", "cuts", "ids"))
+        mended = [
+            [i for known, at in zip(ids, cuts, strict=False) for i in (pieces.other(unit[at]) if known is None else [known])]
+            for unit, cuts, ids in zip(*columns, strict=True)
+        ]
+        kind = pa.list_(pa.int32())
+        return cls(
+            pa.concat_arrays([*whole["unit"].chunks, *open_["unit"].chunks, pa.array([], pa.string())]),
+            pa.concat_arrays([*(c.cast(kind) for c in whole["ids"].chunks), pa.array(mended, kind)]),
+        )
+
+    def look_up(self, units: pa.StringArray, missing: Callable[[str], list[int]]) -> pa.ListArray:
+        """The ids of each unit; ``missing`` gives those of a unit that is not here."""
+        at = pc.index_in(units, value_set=self.units)
+        known = self.ids.take(at.drop_null())
+        others = pa.array(map(missing, units.filter(at.is_null()).to_pylist()), known.type)
+        is_known = at.is_valid().to_numpy(zero_copy_only=False)
+        place = np.empty(len(units), np.int64)
+        place[is_known] = np.arange(len(known))
+        place[~is_known] = len(known) + np.arange(len(others))
+        return pa.concat_arrays([known, others]).take(pa.array(place))
+
+
+def _coder(pieces, dictionary):
     def code(batches):
         table, known = pieces.value, dictionary.value
-        rare: dict[str, bytes] = {}
-        spelling: dict[bytes, bytes] = {}
-
-        def bytes_of(ids: bytes) -> bytes:
-            found = spelling.get(ids)
-            if found is None:
-                if len(spelling) >= REMEMBERED:
-                    spelling.clear()
-                found = spelling[ids] = spelled(np.frombuffer(ids, np.int32), table)
-            return found
-
-        def of(name: str) -> bytes:
-            ids = known.get(name) or rare.get(name)
-            if ids is None:
+        spelling = spellings(table)
+        rare: dict[str, list[int]] = {}
+
+        def solved(unit: str) -> list[int]:
+            if unit not in rare:
                 if len(rare) >= REMEMBERED:
                     rare.clear()
-                ids = rare[name] = np.array(unit_ids(name, table), np.int32).tobytes()
-            return ids
+                rare[unit] = unit_ids(unit, table)
+            return rare[unit]
 
         for batch in batches:
-            coded, same = [], []
-            for text in batch.column("text").to_pylist():
-                marked = SPACE + text.replace(" ", SPACE) if text else ""
-                parts = list(map(of, unit.findall(marked)))
-                coded.append(b"".join(parts))
-                same.append(decoded(b"".join(map(bytes_of, parts))) == (text or ""))
-            offsets = np.cumsum([0, *(len(ids) // 4 for ids in coded)]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(coded), np.int32))
+            texts = pc.fill_null(batch.column("text"), "")
+            units, first = cut(texts)
+            coded = units.dictionary_encode()
+            lists = known.look_up(coded.dictionary, solved)
+            wrong = pc.not_equal(spelled(lists, spelling), coded.dictionary.cast(pa.binary()))
+            wrong = wrong.to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
+            by_unit = lists.take(coded.indices)
+            offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(by_unit))))[first].astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), by_unit.flatten())
+            same = ~pc.match_substring(texts, SPACE).to_numpy(zero_copy_only=False)
+            # Units that are not spelled as they were leave the answer to the whole text.
+            until = np.concatenate(([0], np.cumsum(wrong)))[first]
+            for i in np.flatnonzero(same & (np.diff(until) > 0)):
+                same[i] = plain(spelled(ids.slice(i, 1), spelling)[0].as_py()) == texts[i].as_py()
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.ListArray.from_arrays(pa.array(offsets), values),
-                    pa.array(np.diff(offsets).astype(np.int64)),
-                    pa.array(same, pa.bool_()),
-                ],
+                [batch.column("doc_id"), ids, pa.array(np.diff(offsets).astype(np.int64)), pa.array(same)],
                 ["doc_id", "ids", "n_ids", "round_trip"],
             )
 
@@ -359,16 +429,32 @@ def _coder(pieces, dictionary):
 def encoded(docs: DataFrame, pieces: Pieces, dictionary: int = DICTIONARY) -> DataFrame:
     """doc_id, ids, n_ids and round_trip (whether the ids decode to the very text) of every document."""
     context = docs.sparkSession.sparkContext
-    solved = segmented(staged(frequent_units(docs, dictionary), "units"), pieces).toArrow()
-    known = {}
-    columns = (solved.column(c).to_pylist() for c in ("unit", "cuts", "ids"))
-    for name, cuts, ids in zip(*columns, strict=True):
-        whole: list[int] = []
-        for i, at in zip(ids, cuts, strict=False):
-            whole += pieces.other(name[at]) if i is None else [i]
-        known[name] = np.array(whole, np.int32).tobytes()
+    known = Dictionary.of(segmented(staged(frequent_units(docs, dictionary), "units"), pieces), pieces)
     coder = _coder(context.broadcast(pieces), context.broadcast(known))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
         coder, f"doc_id {kind}, ids array<int>, n_ids bigint, round_trip boolean"
     )
+
+
+def decoded(coded: DataFrame, pieces: Pieces) -> DataFrame:
+    """doc_id and text of the ids of every row.
+
+    Null or no ids are an empty text, ids without a piece read " ⁇ ", and bytes that are no
+    UTF-8 become U+FFFD.
+    """
+    table = coded.sparkSession.sparkContext.broadcast(pieces)
+    kind = coded.schema["doc_id"].dataType.simpleString()
+
+    def decode(batches):
+        spelling = spellings(table.value)
+        for batch in batches:
+            data = spelled(batch.column("ids"), spelling)
+            try:
+                marked = pc.replace_substring(data.cast(pa.string()), SPACE, " ")
+                texts = pc.utf8_slice_codeunits(marked, 1)
+            except pa.ArrowInvalid:
+                texts = pa.array(map(plain, data.to_pylist()), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts], ["doc_id", "text"])
+
+    return coded.select("doc_id", "ids").mapInArrow(decode, f"doc_id {kind}, text string")

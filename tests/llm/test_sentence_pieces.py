@@ -1,6 +1,8 @@
 import itertools
+import re
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -41,8 +43,39 @@ def test_ids_are_those_of_the_library(spark, pieces, dictionary):
     assert all(r.round_trip and r.n_ids == len(r.ids) for r in found)
 
 
+def test_cuts_are_those_of_the_pattern():
+    texts = [*TEXTS, "", "▁", "▁▁ \n", "\n", " ", "a▁b", "\n\n ", ""]
+    units, first = sp.cut(pa.array(["skipped", *texts]).slice(1))
+    units = units.to_pylist()
+    for k, text in enumerate(texts):
+        marked = sp.SPACE + text.replace(" ", sp.SPACE) if text else ""
+        assert units[first[k] : first[k + 1]] == re.findall(sp.UNIT, marked)
+    assert sp.cut(pa.array([], pa.string()))[0].to_pylist() == []
+
+
+def test_decoding_gives_the_texts_back(spark, pieces):
+    coded = sp.encoded(documents(spark, TEXTS), pieces)
+    found = {r.doc_id: r.text for r in sp.decoded(coded, pieces).collect()}
+    assert found == dict(enumerate(TEXTS))
+
+
+def test_decoding_of_odd_ids(spark, pieces):
+    mark, broken = pieces.scores[sp.SPACE][0], pieces.byte_ids[0xE2]
+    rows = [(1, None), (2, []), (3, [mark, broken]), (4, [mark, 10**6, -1]), (None, [mark, mark])]
+    found = sp.decoded(spark.createDataFrame(rows, "doc_id bigint, ids array<int>"), pieces)
+    assert {r.doc_id: r.text for r in found.collect()} == {1: "", 2: "", 3: "\ufffd", 4: " ⁇  ⁇ ", None: " "}
+
+
+def test_a_model_without_bytes_tells_what_it_loses(spark):
+    pieces = sp.Pieces({sp.SPACE: (1, -1.0), "a": (2, -2.0), f"{sp.SPACE}a": (3, -3.0)}, [], 0)
+    found = sp.encoded(documents(spark, ["a a", "a b", "", "aa"]), pieces)
+    assert {r.doc_id: (r.ids, r.round_trip) for r in found.collect()} == {
+        0: ([3, 3], True), 1: ([3, 1, 0], False), 2: ([], True), 3: ([3, 2], True),
+    }
+
+
 def test_lattice_gives_what_one_unit_gives(spark, pieces):
-    units = sorted({u for text in TEXTS for u in sp.re.findall(sp.UNIT, sp.SPACE + text.replace(" ", sp.SPACE))})
+    units = sorted({u for text in TEXTS for u in re.findall(sp.UNIT, sp.SPACE + text.replace(" ", sp.SPACE))})
     units = [u for u in units if len(u) <= sp.LONGEST_UNIT]
     rows = sp.segmented(spark.createDataFrame([(u,) for u in units], "unit string"), pieces).collect()
     assert len(rows) == len(units)
