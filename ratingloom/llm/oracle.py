@@ -1,6 +1,6 @@
 """DuckDB SQL for the text queries that SQL can express."""
 
-from ratingloom.llm.quotations import ATTRIBUTION, MARKS
+from ratingloom.llm.quotations import ATTRIBUTION, MARKS, STOP
 from ratingloom.llm.spotsigs import ANCHORS
 
 EXACT_DEDUP = """
@@ -131,7 +131,7 @@ FROM signed
 """
 
 QUOTATION_LINKS = rf"""
-WITH messages AS (
+WITH RECURSIVE messages AS (
   SELECT row_number() OVER () AS id, conv_id, turn, role,
          regexp_split_to_array(coalesce(text, ''), '\r\n|\r|\n') AS raw
   FROM conversations
@@ -149,19 +149,47 @@ lines AS (
          trim(regexp_replace(lower(body), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS said
   FROM headed
 ),
+runs AS (
+  SELECT id, conv_id, turn, level, n, body, n - row_number() OVER (PARTITION BY id, level ORDER BY n) AS run
+  FROM lines WHERE NOT head AND said <> ''
+),
+sentences AS (
+  SELECT conv_id, turn, level, unnest(regexp_split_to_array(string_agg(body, ' ' ORDER BY n), '{STOP}')) AS body
+  FROM runs GROUP BY id, conv_id, turn, level, run
+),
+passages AS (
+  SELECT conv_id, turn, level, said, 1 AS as_line FROM lines WHERE NOT head
+  UNION ALL
+  SELECT conv_id, turn, level, trim(regexp_replace(lower(body), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), 0 FROM sentences
+),
 origins AS (
-  SELECT conv_id, said, min(turn) AS origin FROM lines WHERE level = 0 AND NOT head AND said <> '' GROUP BY ALL
+  SELECT conv_id, said, min(turn) AS origin FROM passages WHERE level = 0 AND said <> '' GROUP BY ALL
+),
+quotes AS (
+  SELECT conv_id, turn, level, said, sum(as_line)::BIGINT AS lines,
+         greatest(sum(as_line), count(*) - sum(as_line))::BIGINT AS times
+  FROM passages WHERE level > 0 AND said <> '' GROUP BY ALL
 ),
 found AS (
-  SELECT l.conv_id, l.turn, origin, count(*) AS times, count(*) FILTER (level = 1) AS direct
-  FROM lines l JOIN origins o ON l.conv_id = o.conv_id AND l.said = o.said
-  WHERE level > 0 AND NOT head AND origin < turn GROUP BY ALL
+  SELECT q.conv_id, q.turn, origin, sum(lines) AS lines, sum(times) AS times,
+         coalesce(sum(times) FILTER (level = 1), 0) AS direct
+  FROM quotes q JOIN origins o ON q.conv_id = o.conv_id AND q.said = o.said
+  WHERE origin < turn GROUP BY ALL
 ),
 links AS (
-  SELECT conv_id, turn, sum(times)::BIGINT AS linked_lines, list_sort(list(origin)) AS quoted_turns,
+  SELECT conv_id, turn, sum(lines)::BIGINT AS linked_lines, sum(times)::BIGINT AS linked_passages,
+         list_sort(list(origin)) AS quoted_turns,
          arg_max(origin, (direct, origin)) FILTER (direct > 0) AS parent_turn
   FROM found GROUP BY ALL
 ),
+threads AS (
+  SELECT conv_id, turn, turn AS thread, 0::BIGINT AS depth
+  FROM (SELECT DISTINCT conv_id, turn FROM messages) m
+  WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.conv_id = m.conv_id AND l.turn = m.turn AND parent_turn IS NOT NULL)
+  UNION ALL
+  SELECT l.conv_id, l.turn, t.thread, t.depth + 1
+  FROM threads t JOIN links l ON l.conv_id = t.conv_id AND l.parent_turn = t.turn
+),
 own AS (
   SELECT id, coalesce(string_agg(body, chr(10) ORDER BY n) FILTER (level = 0), '') AS text,
          max(level)::INTEGER AS quote_levels,
@@ -169,8 +197,10 @@ own AS (
   FROM lines GROUP BY id
 )
 SELECT m.conv_id, m.turn, role, regexp_replace(text, '^\s*\n|\s+$', '', 'g') AS text, quote_levels, quoted_lines,
-       coalesce(linked_lines, 0) AS linked_lines, parent_turn, coalesce(quoted_turns, []::BIGINT[]) AS quoted_turns
+       coalesce(linked_lines, 0) AS linked_lines, coalesce(linked_passages, 0) AS linked_passages,
+       parent_turn, coalesce(quoted_turns, []::BIGINT[]) AS quoted_turns, thread, depth
 FROM messages m JOIN own USING (id) LEFT JOIN links l ON m.conv_id = l.conv_id AND m.turn = l.turn
+JOIN threads t ON m.conv_id IS NOT DISTINCT FROM t.conv_id AND m.turn IS NOT DISTINCT FROM t.turn
 """
 
 LEXICAL_SEARCH = r"""

@@ -46,6 +46,34 @@ def test_most_quoted_message_is_the_parent_and_later_wins_a_tie(spark):
     assert (found[2].parent_turn, found[3].parent_turn) == (0, 1)
 
 
+def test_a_quote_wrapped_anew_is_linked(spark):
+    messages = spark.createDataFrame(
+        [
+            (1, 0, "a", "I think that we\nshould sort. It is\nnot slow, is it?\n\nBye"),
+            (1, 1, "b", "> I think that we should\n> sort. It is not\nYes.\n>> bye"),
+            (1, 2, "a", "> It is not slow, is\n> it?\nNo. Why"),
+        ],
+        SCHEMA,
+    )
+    found = by_turn(quotations.linked(messages))
+    assert [found[t].parent_turn for t in range(3)] == [None, 0, 0]
+    assert [(found[t].linked_lines, found[t].linked_passages) for t in range(3)] == [(0, 0), (1, 2), (0, 1)]
+    assert found[1].text == "Yes."
+
+
+def test_threads_follow_replies(spark):
+    # Two chains that alternate, the second of them deep, and a reply to an early message.
+    data = [(1, t, "a", (f"> word {t - 2}.\n" if t > 1 else "") + f"word {t}.") for t in range(40)]
+    data += [(1, 40, "b", "> word 1.\nlate"), (2, 5, "a", "word 0.")]
+    result = quotations.linked(spark.createDataFrame(data, SCHEMA)).collect()
+    assert {(r.turn, r.thread, r.depth) for r in result if r.conv_id == 1} == {
+        *((t, t % 2, t // 2) for t in range(40)), (40, 1, 1),
+    }
+    order = [r.turn for r in result if r.conv_id == 1]
+    assert order == [*range(0, 40, 2), *range(1, 40, 2), 40]
+    assert [(r.thread, r.depth) for r in result if r.conv_id == 2] == [(5, 0)]
+
+
 def test_reply_order_and_odd_rows(spark):
     messages = spark.createDataFrame(
         [
@@ -78,9 +106,11 @@ def test_equals_its_sql_on_quoted_text(spark):
             quoted = ["> " * (1 + (turn + i) % 2) + said[(conv + turn + i) % 6] for i in range(turn % 4)]
             head = ["Ann wrote:"] if quoted and conv % 2 else []
             data.append((conv, turn, "user", "\n".join(head + quoted + own)))
+    data += [(99, 0, "user", "One two\nthree. Four!\n\nfive"), (99, 1, "user", "> One\n> two three.\n> Four\n>> five\nx\x01y\nz")]
+    data += [(99, 2, "user", "> x y z\nok"), (None, 3, "user", "> five"), (99, None, "user", "> five")]
     messages = spark.createDataFrame(data, SCHEMA)
     base = duckdb.connect()
     base.register("conversations", messages.toArrow())
     verdict = compare(quotations.linked(messages).toArrow(), base.sql(ORACLES["op3_quotation_links"]).to_arrow_table())
-    assert verdict == "equal, 96 rows"
+    assert verdict == "equal, 101 rows"
     assert quotations.linked(messages).filter("parent_turn IS NOT NULL").count() > 20
