@@ -10,12 +10,15 @@ Defined results: null counts as empty. A text without words has the empty finger
 two empty fingerprints are alike (1), an empty and another are not (0). Rows that share the
 doc_id stand in the order of a hash of their texts; rows that repeat doc_id and text have
 their equals as next, but for the last of them. A null doc_id stands last. Long texts are
-taken whole. Extra columns are ignored, an empty table gives an empty result, and a single
+taken whole. In the search over all documents a text without signatures is near to nothing
+but its equals, and a null doc_id is a member like any other. Extra columns are ignored, an empty table gives an empty result, and a single
 document is its own next. Text without spaces between words is one word.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,6 +38,8 @@ ANCHORS = (
 CHAIN = 2
 #: Equal rows that one row of the last step stands for, at most.
 COPIES = 1 << 16
+#: Documents are near from this many hundredths of likeness on.
+NEAR = 75
 _WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
@@ -187,3 +192,73 @@ def _each(rows: DataFrame) -> DataFrame:
     )
     each = parts.withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
     return single.unionByName(each.drop("part", "copy", "copies"))
+
+
+def _ordered_sets(members: DataFrame) -> DataFrame:
+    """class and set, rarest signature first, of every distinct set that is not empty."""
+    sets = staged(
+        members.groupBy("class").agg(F.first("set").alias("set")).filter(F.size("set") > 0), "signature-sets"
+    )
+    spots = sets.select("class", F.explode("set").alias("signature"))
+    common = staged(spots.groupBy("signature").agg(F.count("*").alias("held")), "signature-counts")
+    rarest = F.sort_array(F.collect_list(F.struct("held", "signature")))
+    return spots.join(common, "signature").groupBy("class").agg(rarest["signature"].alias("set"))
+
+
+def near_documents(docs: DataFrame, near: int = NEAR) -> tuple[DataFrame, DataFrame]:
+    """All documents whose fingerprints are alike by ``near`` hundredths or more.
+
+    Two tables: members (doc_id, class: documents of one class have one fingerprint) and
+    pairs (a, b, shared, likeness) of different classes, each pair once.
+
+    Sets are partitioned by length so that a set's partners are in its own partition or the
+    one below. In a partition, sets meet by their rarest signatures only: sets that are near
+    share one of their first n - ceil(near n) + 1. Pairs whose lengths differ too much, or
+    whose signatures behind the common one are too few, go before the sets are compared.
+    Classes are compared, not rows, so copies cost nothing; near but different texts are
+    links of the result each.
+    """
+    signed = docs.select("doc_id", signatures(text_of()).alias("set"))
+    signed = staged(signed.withColumn("class", F.md5(F.array_join("set", " "))), "signed")
+    # A little wider than the ratio, so that rounding can't put partners two partitions apart.
+    width = math.log(100 / near) * (1 + 1e-9) if near < 100 else 1.0
+    sets = staged(
+        _ordered_sets(signed)
+        .withColumn("n", F.size("set").cast("long"))
+        .withColumn("lengths", F.floor(F.ln("n") / width)),
+        "ordered-sets",
+    )
+    prefix = F.expr(f"slice(set, 1, int(n - ({near} * n + 99) div 100 + 1))")
+    index = staged(sets.select("class", "n", "lengths", F.posexplode(prefix).alias("place", "signature")), "signature-index")
+    shorter = index.select(
+        "lengths", "signature", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a")
+    )
+    longer = index.select(
+        F.explode(F.array("lengths", F.col("lengths") - 1)).alias("lengths"),
+        "signature",
+        F.col("class").alias("b"),
+        F.col("n").alias("n_b"),
+        F.col("place").alias("place_b"),
+    )
+    still = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
+    met = (
+        shorter.join(longer, ["lengths", "signature"])
+        .filter("n_a < n_b OR (n_a = n_b AND a < b)")
+        .filter(f"100 * n_a >= {near} * n_b")
+        .filter((100 + near) * still >= near * (F.col("n_a") + F.col("n_b")))
+        .select("a", "b")
+        .distinct()
+    )
+    side = lambda name: sets.select(F.col("class").alias(name), F.col("set").alias(f"set_{name}"))
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - F.col("shared")
+    pairs = (
+        staged(met, "met")
+        .join(side("a"), "a")
+        .join(side("b"), "b")
+        .withColumn("shared", shared.cast("long"))
+        .withColumn("union", union)
+        .filter(f"100 * shared >= {near} * union")
+        .select("a", "b", "shared", (F.col("shared") / F.col("union")).alias("likeness"))
+    )
+    return signed.select("doc_id", "class"), pairs

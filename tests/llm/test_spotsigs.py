@@ -1,8 +1,10 @@
 import base64
 import hashlib
+import random
 import re
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.llm import spotsigs
@@ -94,3 +96,50 @@ def test_plan_has_no_python_and_no_cross_join(spark):
     docs = spark.createDataFrame([(1, "the sun"), (2, "a star")], SCHEMA)
     plan = spotsigs.edited_fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def running_text(rng, n):
+    return [rng.choice(["the", "of", "a", "and"]) if i % 2 else f"w{rng.randint(0, 40)}" for i in range(n)]
+
+
+@pytest.mark.parametrize("near", [50, 75, 100])
+def test_search_finds_the_pairs_of_brute_force(spark, near):
+    rng = random.Random(near)
+    texts = [None, "", "!!!", "xyz", *TEXTS]
+    for _ in range(25):
+        base = running_text(rng, rng.randint(4, 120))
+        texts.append(" ".join(base))
+        for _ in range(4):
+            changed = list(base)
+            for _ in range(rng.randint(0, 6)):
+                changed[rng.randrange(len(changed))] = f"w{rng.randint(0, 40)}"
+            texts.append(" ".join(changed[: rng.randint(len(base) * 2 // 3, len(base))]))
+    data = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[-1]) for i in range(70)] + [(None, texts[-2])] * 3
+    docs = spark.createDataFrame(data, SCHEMA).withColumn("set", F.lit("mine")).withColumn("class", F.lit(1))
+    members, pairs = spotsigs.near_documents(docs, near)
+    sets = {i: frozenset(signatures(t or "")) for i, t in data}
+    of_class = {}
+    rows = members.collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(i) for i, _ in data)
+    for r in rows:
+        assert of_class.setdefault(r["class"], sets[r.doc_id]) == sets[r.doc_id]
+    assert len(set(of_class.values())) == len(of_class)
+    found = pairs.collect()
+    distinct = sorted(filter(None, of_class.values()), key=sorted)
+    due = {
+        frozenset((a, b))
+        for i, a in enumerate(distinct)
+        for b in distinct[:i]
+        if 100 * len(a & b) >= near * len(a | b)
+    }
+    assert {frozenset((of_class[r.a], of_class[r.b])) for r in found} == due and len(found) == len(due)
+    assert all(r.likeness == pytest.approx(like(of_class[r.a], of_class[r.b])) for r in found)
+    assert near == 100 or len(due) > 20
+
+
+def test_search_in_no_row_and_its_plan(spark):
+    docs = spark.createDataFrame([(1, "the sun and a star"), (2, "a star")], SCHEMA)
+    members, pairs = spotsigs.near_documents(docs.limit(0))
+    assert members.count() == 0 and pairs.count() == 0
+    plan = spotsigs.near_documents(docs)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
