@@ -19,8 +19,8 @@ Defined results: null and empty texts have no ids. Characters without a piece be
 their UTF-8 bytes' pieces, or the unknown piece in a model without these. A literal
 U+2581 is a space to the model and decodes as one; every other text survives the round
 trip through a model with byte pieces. Repeated rows are encoded alike; other columns are
-ignored. An empty table gives an empty result. Long texts are encoded whole: cutting and
-looking up take a few bytes a byte of text. Units that are equally frequent at the end of
+ignored. An empty table gives an empty result. Long texts are encoded whole: a task holds a
+few times the longest text, or some ``SLICE`` bytes. Units that are equally frequent at the end of
 the dictionary may fall on either side of it, which changes no ids.
 """
 
@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -44,6 +44,8 @@ UNIT = rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
 #: Frequent units known to all tasks, at most, and the longest of them.
 DICTIONARY = 400_000
 LONGEST_UNIT = 48
+#: Bytes of text that are coded together, unless one text is longer.
+SLICE = 4 << 20
 #: Rarer units that a task remembers at once.
 REMEMBERED = 100_000
 #: A unigram model charges this much more than its worst piece for a character without one.
@@ -333,6 +335,15 @@ def cut(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
     return units, np.searchsorted(at, ends)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows with at most ``SLICE`` bytes of text, or of one row."""
+    ends, at = _offsets(batch.column("text")), 0
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(ends, int(ends[at]) + SLICE, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def spellings(pieces: Pieces) -> pa.BinaryArray:
     """The bytes of every id up to the highest that has any, and of an unknown one."""
     unknown = " ⁇ ".encode()
@@ -403,7 +414,7 @@ def _coder(pieces, dictionary):
                 rare[unit] = unit_ids(unit, table)
             return rare[unit]
 
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(_slices, batches)):
             texts = pc.fill_null(batch.column("text"), "")
             units, first = cut(texts)
             coded = units.dictionary_encode()

@@ -53,6 +53,15 @@ def test_cuts_are_those_of_the_pattern():
     assert sp.cut(pa.array([], pa.string()))[0].to_pylist() == []
 
 
+def test_slices_cover_a_batch_in_order(monkeypatch):
+    monkeypatch.setattr(sp, "SLICE", 10)
+    texts = pa.array(["abc", None, "x" * 30, "", "äö", "1234567", "z"])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"]).slice(1)
+    parts = [part.column("text").to_pylist() for part in sp._slices(batch)]
+    assert sum(parts, []) == texts.to_pylist()[1:]
+    assert all(len(part) == 1 or sum(len((t or "").encode()) for t in part) <= 10 for part in parts)
+
+
 def test_decoding_gives_the_texts_back(spark, pieces):
     coded = sp.encoded(documents(spark, TEXTS), pieces)
     found = {r.doc_id: r.text for r in sp.decoded(coded, pieces).collect()}
