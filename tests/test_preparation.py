@@ -45,6 +45,26 @@ def test_activity_filter_counts_once_on_the_input(spark, monkeypatch, rows_per_s
     assert rows(active_only(df, 8, 10)) == brute_active(data, 8, 10)
 
 
+@pytest.mark.parametrize("most_words", [0, 500_000])
+def test_activity_filter_over_sparse_negative_and_missing_ids(spark, monkeypatch, most_words):
+    monkeypatch.setattr(joins, "MOST_WORDS", most_words)
+    rng = random.Random(2)
+    ids = [-(2**31), -65, -64, -63, -1, 0, 1, 63, 64, 2**31 - 1]
+    data = [(rng.choice(ids), rng.choice(ids), 1.0, i) for i in range(300)] + [(5, 5, 2.0, 1), (0, 6, 2.0, 1)]
+    missing = [(None, 0, 1.0, 1), (0, None, 1.0, 1)] * 40
+    kept = active_only(spark.createDataFrame(data + missing, RATINGS), 30, 28)
+    assert rows(kept) == brute_active(data, 30, 28)
+    assert 0 < kept.count() < len(data)
+
+
+def test_activity_filter_moves_no_rating(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    df, data = skewed(spark)
+    kept = active_only(df, 8, 10)
+    assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(kept) == brute_active(data, 8, 10)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_the_plain_join(spark, how):
     df, _ = skewed(spark)
