@@ -101,3 +101,26 @@ def test_publish_serves_every_user_once(spark, trained, scratch):
     seen = {str(m) for (m,) in rows(ratings.filter(F.col("userId") == user), "movieId")}
     listed = lookup(latest, user)
     assert 0 < len(listed) <= 4 and not seen & set(listed)
+
+
+def test_blocks_are_one_a_task_until_memory_asks_for_more():
+    # The rows of 60 and of 360 times sf0.1 on 12 cores: factors of 650,000 movies fit a task, those of 4 million do not.
+    assert als.block_count(17_500_000, 650_000, 100, 12) == 12
+    assert als.block_count(105_000_000, 4_000_000, 100, 12) == 100
+    assert als.block_count(1_000_000_000, 4_000_000, 100, 12) > 800
+    assert als.block_count(500_000_000, 1_000, 100, 12) == 100
+    assert als.block_count(0, 0, 100, 4) == 4
+
+
+def test_shuffle_files_of_at_most_two_iterations_lie_together(spark, trained, monkeypatch):
+    given = {}
+
+    class Watched(als.ALS):
+        def __init__(self, **options):
+            given.update(options)
+            super().__init__(**options)
+
+    monkeypatch.setattr(als, "ALS", Watched)
+    als.fit(trained[2].train, rank=2, iterations=3, seed=1)
+    assert given["checkpointInterval"] <= 2
+    assert given["numUserBlocks"] == given["numItemBlocks"] == spark.sparkContext.defaultParallelism
