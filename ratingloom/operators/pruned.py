@@ -140,6 +140,8 @@ def _by_tiers(users: DataFrame, items: ItemFactors, k: int, exclude: DataFrame |
     """
     measured = staged(items.table.withColumn("length", length(F.col("features"))))
     users = staged(users.withColumn("own", length(F.col("features"))).withColumn("scored", F.lit(0).cast("bigint")))
+    if exclude is not None:  # every tier reads its part
+        exclude = staged(exclude.join(users.select("userId"), "userId", "left_semi"))
     shares, upper = [], first_tier
     while upper < items.count:
         shares.append(1 - upper / items.count)

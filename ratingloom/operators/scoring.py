@@ -14,6 +14,7 @@ survive per block, if it has them, so the merged result is exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from ratingloom.sources.files import staged
 
 _SCHEMA = "userId INT, movieId INT, score DOUBLE"
 _CELL_BUDGET = 8_000_000  # scores held at once in a task (64 MB)
+_CUT_BUDGET = 1_000_000  # of them, copied at once to be cut (8 MB)
+_MET_BYTES = 16 << 20  # vectors of items that a block of users meets at once
 _ARROW = pa.schema([("userId", pa.int32()), ("movieId", pa.int32()), ("score", pa.float64())])
 USER_BLOCK = 1024
 ITEM_BLOCK_BYTES = 64 << 20  # vectors of one block of items
@@ -54,6 +57,8 @@ def top_items(
     if items.packed is not None:
         candidates = _score_broadcast(users, items, k, exclude)
     else:
+        if exclude is not None:  # read twice; a pair without an item of the catalogue excludes nothing
+            exclude = staged(exclude.join(items.table.select("movieId"), "movieId", "left_semi"))
         candidates = _score_grid(users, items, k, exclude, user_block, item_block)
     if exclude is not None:
         candidates = candidates.join(exclude, ["userId", "movieId"], "left_anti")
@@ -155,36 +160,40 @@ def _score_grid(
     )
     cells = left.join(right, ["group", "salt"])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The join gives all item blocks of a user block one after the other.
-        open_block, best = None, None
-        for batch in batches:
-            for row in range(batch.num_rows):
-                cell = {name: batch.column(name)[row] for name in batch.schema.names}
+    columns = ["user_block", "user_ids", "user_vectors", "spare", "item_ids", "item_vectors"]
+    return cells.select(*columns).mapInArrow(partial(_meet_blocks, k=k), _SCHEMA)
+
+
+def _meet_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The best items of each user block, whose item blocks come one after the other; small ones are met together."""
+    open_block, best, met, held = None, None, [], 0
+
+    def meet() -> pa.Table:
+        ids, vectors = (np.concatenate(parts) for parts in zip(*met, strict=True))
+        fresh = pa.Table.from_batches(_best(user_ids, user_vectors, takes, ids, vectors), _ARROW)
+        return fresh if best is None else _cut(pa.concat_tables([best, fresh]), user_ids, takes)
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            cell = {name: batch.column(name)[row] for name in batch.schema.names}
+            if cell["user_block"].as_py() != open_block:
+                if met:
+                    best = meet()
+                if best is not None:
+                    yield from best.to_batches()
+                open_block, best, met, held = cell["user_block"].as_py(), None, [], 0
                 user_ids = cell["user_ids"].values.to_numpy()
-                ids = cell["item_ids"].values.to_numpy()
+                user_vectors = _unpack(cell["user_vectors"], len(user_ids))
                 takes = k + cell["spare"].values.to_numpy()
-                fresh = pa.Table.from_batches(
-                    _best(
-                        user_ids,
-                        _unpack(cell["user_vectors"], len(user_ids)),
-                        takes,
-                        ids,
-                        _unpack(cell["item_vectors"], len(ids)),
-                    ),
-                    _ARROW,
-                )
-                if cell["user_block"].as_py() != open_block:
-                    if best is not None:
-                        yield from best.to_batches()
-                    open_block, best = cell["user_block"].as_py(), fresh
-                else:
-                    best = _cut(pa.concat_tables([best, fresh]), user_ids, takes)
-        if best is not None:
-            yield from best.to_batches()
-
-    columns = ["user_block", "user_ids", "user_vectors", "spare", "item_ids", "item_vectors"]
-    return cells.select(*columns).mapInArrow(score, _SCHEMA)
+            ids = cell["item_ids"].values.to_numpy()
+            met.append((ids, _unpack(cell["item_vectors"], len(ids))))
+            held += met[-1][1].nbytes
+            if held >= _MET_BYTES:
+                best, met, held = meet(), [], 0
+    if met:
+        best = meet()
+    if best is not None:
+        yield from best.to_batches()
 
 
 def _cut(table: pa.Table, user_ids: np.ndarray, takes: np.ndarray) -> pa.Table:
@@ -208,7 +217,7 @@ def _best(
     """The ``takes[i]`` best items of every user, best first."""
     if not len(user_ids) or not len(ids):
         return
-    longest = float(np.sqrt((items * items).sum(axis=1).max()))
+    longest = float(np.sqrt(np.einsum("ij,ij->i", items, items).max()))
     slack = 4 * items.shape[1] * np.finfo(np.float64).eps * longest
     step = max(1, _CELL_BUDGET // len(ids))
     for start in range(0, len(user_ids), step):
@@ -220,7 +229,8 @@ def _best(
         for take in np.unique(own):  # users of equal takes are cut together
             rows = np.flatnonzero(own == take)
             at = len(ids) - int(take)
-            cuts[rows] = np.partition(rough[rows], at, axis=1)[:, at]
+            for few in np.array_split(rows, -(-len(rows) * len(ids) // _CUT_BUDGET)):
+                cuts[few] = np.partition(rough[few], at, axis=1)[:, at]
         for row, vector in enumerate(block):
             take, cut = int(own[row]), cuts[row]
             near = np.flatnonzero(rough[row] >= cut - slack * float(np.sqrt(vector @ vector)))

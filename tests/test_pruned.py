@@ -1,11 +1,13 @@
 """Top-k with items skipped by the length of their vectors, and fold-in with large users in parts."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.operators.fold_in import fold_in, fold_in_split
 from ratingloom.operators.pruned import length, pruned_top_items
+from ratingloom.operators import scoring
 from ratingloom.operators.scoring import top_items
 from ratingloom.operators.vectors import ItemFactors
 from tests.conftest import rows
@@ -32,6 +34,21 @@ def tables(spark):
     return factors(spark, users, "userId"), factors(spark, items, "movieId"), exclude
 
 
+def test_tiers_work_the_excluded_pairs_out_once(spark, tables):
+    users, items, exclude = tables
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    pairs = exclude.mapInArrow(counted, exclude.schema)
+    found = pruned_top_items(users, ItemFactors.of(items, limit_bytes=0), 10, pairs, first_tier=50)
+    assert rows(found, *LISTED) == rows(top_items(users, ItemFactors.of(items), 10, exclude), *LISTED)
+    assert seen.value == exclude.count()
+
+
 @pytest.mark.parametrize("path", ["tasks", "tiers"])
 @pytest.mark.parametrize("without", [False, True])
 @pytest.mark.parametrize("k", [1, 10, 40])
@@ -113,3 +130,29 @@ def test_a_large_user_is_worked_on_by_many_tasks(spark, tables):
     parts = seen["parts"].withColumn("file", F.input_file_name())
     assert parts.count() == 30 and parts.select("file").distinct().count() > 1
     assert parts.agg(F.max("n_items")).first()[0] < 100
+
+
+def test_small_blocks_of_items_are_scored_together(monkeypatch):
+    rng = np.random.default_rng(3)
+    users, items = rng.normal(size=(2, 4, 6)), rng.normal(size=(40, 6))
+    cells = [
+        {"user_block": b, "user_ids": [4 * b + u for u in range(4)], "user_vectors": users[b].ravel().tolist(),
+         "spare": [0, 1, 0, 2], "item_ids": list(range(i, i + 2)), "item_vectors": items[i : i + 2].ravel().tolist()}
+        for b in range(2) for i in range(0, 40, 2)
+    ]
+    calls, best = [], scoring._best
+    monkeypatch.setattr(scoring, "_best", lambda *arguments: calls.append(1) or best(*arguments))
+
+    def listed():
+        batches = [pa.RecordBatch.from_pylist(cells[i : i + 7]) for i in range(0, len(cells), 7)]
+        return [tuple(row.values()) for batch in scoring._meet_blocks(iter(batches), 3) for row in batch.to_pylist()]
+
+    found = listed()
+    assert len(calls) == 2  # one pass for each block of users
+    for block in range(2):
+        for u, spare in enumerate([0, 1, 0, 2]):
+            scores = (items * users[block][u]).sum(axis=1)
+            wanted = sorted(range(40), key=lambda i: (-scores[i], -i))[: 3 + spare]
+            assert [m for user, m, _ in found if user == 4 * block + u] == wanted
+    monkeypatch.setattr(scoring, "_MET_BYTES", 200)
+    assert sorted(listed()) == sorted(found) and len(calls) > 6
