@@ -124,3 +124,16 @@ def test_shuffle_files_of_at_most_two_iterations_lie_together(spark, trained, mo
     als.fit(trained[2].train, rank=2, iterations=3, seed=1)
     assert given["checkpointInterval"] <= 2
     assert given["numUserBlocks"] == given["numItemBlocks"] == spark.sparkContext.defaultParallelism
+
+
+def test_factors_are_checkpointed_every_iteration(trained, monkeypatch):
+    given = {}
+
+    class Watched(als.ALS):
+        def __init__(self, **options):
+            given.update(options)
+            super().__init__(**options)
+
+    monkeypatch.setattr(als, "ALS", Watched)
+    als.fit(trained[2].train, rank=2, iterations=2, seed=1)
+    assert given["checkpointInterval"] == 1
