@@ -1,10 +1,12 @@
 """Tables stored by buckets of their keys, and state by entry."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.sources import messages as msg
 from ratingloom.sources.versioned import BUCKET, version_of
+from ratingloom.streaming import histories as module
 from ratingloom.streaming.histories import _PROVIDER_CONF, entry_state, histories, map_histories
 from ratingloom.streaming.refresh import rating_log
 from tests.conftest import rows
@@ -124,3 +126,46 @@ def test_the_sessions_state_provider_comes_back(spark, conf):
     with entry_state(spark):
         assert "RocksDB" in spark.conf.get(_PROVIDER_CONF)
     assert spark.conf.get(_PROVIDER_CONF) == before
+
+
+class _Entries(dict):
+    """A map state that counts its calls."""
+
+    def iterator(self):
+        self.calls.append("iterator")
+        return iter([((movie,), (rating,)) for movie, rating in self.items()])
+
+    def getValue(self, key):
+        self.calls.append("get")
+        return (self[key[0]],) if key[0] in self else None
+
+    def updateValue(self, key, value):
+        self.calls.append("update")
+        self[key[0]] = value[0]
+
+
+def test_a_history_is_read_in_one_call_and_changes_are_written(monkeypatch):
+    processor = module.MovieRatings()
+    processor.ratings = _Entries({1: 2.0, 2: 3.0, 3: 4.0})
+    processor.ratings.calls = calls = []
+    monkeypatch.setattr(module, "_EMITTED", 2)
+    fresh = pd.DataFrame({"movieId": [2, 3, 5, 5], "rating": [3.0, 1.0, 1.0, 2.0]})
+    frames = list(processor.handleInputRows((7,), iter([fresh]), None))
+    assert calls == ["iterator", "update", "update"]
+    assert processor.ratings == {1: 2.0, 2: 3.0, 3: 1.0, 5: 2.0}
+    emitted = pd.concat(frames)
+    assert sorted(emitted.itertuples(index=False, name=None)) == [(7, 1, 2.0), (7, 2, 3.0), (7, 3, 1.0), (7, 5, 2.0)]
+
+
+def test_no_frame_is_grouped_per_user(monkeypatch):
+    class State:
+        exists, get = True, ([1, 2], [2.0, 3.0])
+
+        def update(self, value):
+            self.value = value
+
+    state, fresh = State(), pd.DataFrame({"movieId": [2, 5, 5], "rating": [1.0, 1.0, 2.0]})
+    monkeypatch.setattr(pd.DataFrame, "groupby", None)
+    (frame,) = module._remember((7,), iter([fresh]), state)
+    assert state.value == ([1, 2, 5], [2.0, 1.0, 2.0])
+    assert sorted(frame.itertuples(index=False, name=None)) == [(7, 1, 2.0), (7, 2, 1.0), (7, 5, 2.0)]
