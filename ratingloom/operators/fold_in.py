@@ -199,7 +199,7 @@ def _known_rows(batch: pa.RecordBatch, catalogue, rank: int, *keep: str):
     wanted = batch.column("movieId").to_numpy()
     slot = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
     known = ids[slot] == wanted
-    return users[known], vectors[slot[known]], n[known], total[known], *(column[known] for column in more)
+    return users[known], vectors[slot[known]].astype(np.float64, copy=False), n[known], total[known], *(column[known] for column in more)
 
 
 def _ridge(gram: np.ndarray, moment: np.ndarray, reg: float) -> np.ndarray:

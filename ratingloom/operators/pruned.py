@@ -78,6 +78,7 @@ def _in_tasks(users: DataFrame, items: ItemFactors, k: int, exclude: DataFrame |
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vectors = catalogue.value
+        vectors = vectors.astype(np.float64, copy=False)
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
         order = np.argsort(-lengths, kind="stable")  # once per task, not per user
         ids, vectors, lengths = ids[order], vectors[order], lengths[order]

@@ -31,7 +31,8 @@ _CUT_BUDGET = 1_000_000  # of them, copied at once to be cut (8 MB)
 _MET_BYTES = 16 << 20  # vectors of items that a block of users meets at once
 _ARROW = pa.schema([("userId", pa.int32()), ("movieId", pa.int32()), ("score", pa.float64())])
 USER_BLOCK = 1024
-ITEM_BLOCK_BYTES = 64 << 20  # vectors of one block of items
+ITEM_BLOCK_BYTES = 16 << 20  # vectors of one block of items
+TASKS_PER_CORE = 4  # cells of the grid
 
 
 def top_items(
@@ -93,7 +94,7 @@ def _score_broadcast(users: DataFrame, items: ItemFactors, k: int, exclude: Data
         for batch in batches:
             user_ids = batch.column("userId").to_numpy()
             takes = k + batch.column("spare").to_numpy()
-            yield from _best(user_ids, matrix(batch.column("features")), takes, ids, vectors)
+            yield from _best_of_all(user_ids, matrix(batch.column("features")), takes, ids, vectors)
 
     return users.mapInArrow(score, _SCHEMA)
 
@@ -121,7 +122,8 @@ def _score_grid(
     A task joins some blocks of users to one group of item blocks and carries a
     running top-k of a user block from one item block to the next, so at most k rows
     (and as many as a user has excluded items) leave it per user. The copies that are
-    shuffled grow with the square root of the number of tasks, not with the items.
+    shuffled grow with the square root of the number of tasks, not with the items: tasks
+    are as many as the cores need, and items are cut into blocks enough for a square grid.
     """
     spark = users.sparkSession
     if exclude is None:
@@ -131,10 +133,13 @@ def _score_grid(
         users = users.join(excluded, "userId", "left").withColumn("spare", F.coalesce("spare", F.lit(0)))
     users = staged(users)  # counted and read: the vectors are solved once
     n_users = users.count()
-    item_block = item_block or max(1, ITEM_BLOCK_BYTES // (8 * max(1, items.rank)))
-    item_blocks = -(-items.count // item_block)
     user_blocks = max(1, -(-n_users // user_block))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(tasks, TASKS_PER_CORE * spark.sparkContext.defaultParallelism, max(1, user_blocks * items.count))
+    if not item_block:
+        wanted, _ = grid_shape(tasks, n_users, user_blocks, items.count, items.count)
+        item_block = max(1, min(ITEM_BLOCK_BYTES // (8 * max(1, items.rank)), -(-items.count // wanted)))
+    item_blocks = -(-items.count // item_block)
     groups, salts = grid_shape(tasks, n_users, user_blocks, items.count, item_blocks)
 
     def packed(table: DataFrame, key: str, blocks: int, name: str, *more: str) -> DataFrame:
@@ -196,6 +201,23 @@ def _meet_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Recor
         yield from best.to_batches()
 
 
+def _best_of_all(
+    user_ids: np.ndarray, users: np.ndarray, takes: np.ndarray, ids: np.ndarray, items: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """What :func:`_best` gives, over a catalogue of either precision that is met in parts of bounded bytes."""
+    step = max(1, _MET_BYTES // (8 * max(1, items.shape[1])))
+    if len(ids) <= step:
+        yield from _best(user_ids, users, takes, ids, items.astype(np.float64, copy=False))
+        return
+    places, best = np.arange(len(user_ids), dtype=np.int32), None  # a place names a row, even if an id comes twice
+    for start in range(0, len(ids), step):
+        part = items[start : start + step].astype(np.float64)
+        fresh = pa.Table.from_batches(_best(places, users, takes, ids[start : start + step], part), _ARROW)
+        best = fresh if best is None else _cut(pa.concat_tables([best, fresh]), places, takes)
+    owners = pa.array(user_ids.astype(np.int32)[best.column("userId").to_numpy()])
+    yield from best.set_column(0, "userId", owners).to_batches()
+
+
 def _cut(table: pa.Table, user_ids: np.ndarray, takes: np.ndarray) -> pa.Table:
     """The ``takes[i]`` best rows of every user of a table of candidates."""
     users, ids, scores = (table.column(name).to_numpy() for name in ("userId", "movieId", "score"))

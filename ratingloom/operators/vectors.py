@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 128 << 20
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """A list column of equally long vectors as a float64 matrix, one row each."""
+def matrix(column: pa.Array, kind: type = np.float64) -> np.ndarray:
+    """A list column of equally long vectors as a matrix (float64 unless named), one row each."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64, copy=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    return flat.astype(kind, copy=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0), kind)
 
 
 def vector_lists(rows: np.ndarray) -> pa.ListArray:
@@ -35,7 +35,8 @@ class ItemFactors:
 
     ``table`` holds ``(movieId, features)``, one row per movie, which :meth:`of` makes
     or checks. ``packed`` is a broadcast ``(ids, matrix)`` ordered by id, or None beyond
-    the limit; both give the same answers.
+    the limit; both give the same answers. The matrix keeps the precision of the column,
+    as every Python worker holds it; what is worked out from it is in doubles.
     """
 
     table: DataFrame
@@ -72,7 +73,8 @@ class ItemFactors:
         if sizes.n * (rank * 8 + 8) <= limit_bytes:
             local = table.toArrow()
             ids = local.column("movieId").to_numpy()
-            vectors = matrix(local.column("features")).reshape(len(ids), rank)
+            kind = np.float32 if table.schema["features"].dataType.elementType.typeName() == "float" else np.float64
+            vectors = matrix(local.column("features"), kind).reshape(len(ids), rank)
             order = np.argsort(ids, kind="stable")
             packed = spark.sparkContext.broadcast((ids[order], vectors[order]))
         return cls(table, sizes.n, rank, packed)

@@ -156,3 +156,35 @@ def test_small_blocks_of_items_are_scored_together(monkeypatch):
             assert [m for user, m, _ in found if user == 4 * block + u] == wanted
     monkeypatch.setattr(scoring, "_MET_BYTES", 200)
     assert sorted(listed()) == sorted(found) and len(calls) > 6
+
+
+def test_a_grid_is_as_even_as_its_tables(spark, conf, monkeypatch):
+    conf(spark__sql__shuffle__partitions=16)
+    shapes, shape = [], scoring.grid_shape
+    monkeypatch.setattr(scoring, "grid_shape", lambda *sizes: shapes.append(shape(*sizes)) or shapes[-1])
+    vectors = spark.range(256).select(
+        F.col("id").cast("int").alias("userId"),
+        F.array(F.sin("id").cast("float"), F.cos("id").cast("float")).alias("features"),
+    )
+    items = vectors.withColumnRenamed("userId", "movieId")
+    gridded = scoring.top_items(vectors, ItemFactors.of(items, limit_bytes=0), 3, user_block=16)
+    assert shapes[-1] == (4, 4)  # one group of items would be copied to each of 16 tasks
+    assert rows(gridded) == rows(scoring.top_items(vectors, ItemFactors.of(items), 3))
+
+
+def test_a_catalogue_of_floats_stays_one_and_is_met_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    data = [(i, rng.normal(size=4).astype(np.float32).tolist()) for i in range(60)]
+    ids, vectors = ItemFactors.of(spark.createDataFrame(data, "movieId INT, features ARRAY<FLOAT>")).packed.value
+    assert vectors.dtype == np.float32
+    users, user_ids, takes = rng.normal(size=(3, 4)), np.array([9, 4, 9]), np.array([2, 5, 3])
+    seen, best = [], scoring._best
+    monkeypatch.setattr(scoring, "_best", lambda *given: seen.append(given[4]) or best(*given))
+    monkeypatch.setattr(scoring, "_MET_BYTES", 7 * 4 * 8)
+    found = [tuple(r.values()) for batch in scoring._best_of_all(user_ids, users, takes, ids, vectors) for r in batch.to_pylist()]
+    assert max(len(part) for part in seen) == 7 and all(part.dtype == np.float64 for part in seen)
+    wanted = []
+    for user, vector, take in zip(user_ids.tolist(), users, takes, strict=True):
+        scores = (vectors.astype(np.float64) * vector).sum(axis=1)
+        wanted += [(user, i, scores[i]) for i in sorted(range(60), key=lambda i: (-scores[i], -i))[:take]]
+    assert sorted(found) == sorted(wanted)
