@@ -7,6 +7,7 @@ from ratingloom.operators import joins
 from ratingloom.operators.joins import hot_keys, salted_join
 from ratingloom.operators.preparation import IdMappings, active_only, clean, counts, time_split
 from ratingloom.plans.train import prepare
+from ratingloom.sources import tables
 from ratingloom.sources.files import staged
 from tests.conftest import rows
 
@@ -128,3 +129,14 @@ def test_prepare_stores_what_later_jobs_read(spark, scratch):
     assert spark.read.parquet(f"{workspace}/users").count() == len({r[0] for r in kept})
     plan = prepared.test._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(timestamp," in plan.split("PushedFilters")[1]
+
+
+def test_ratings_are_worked_out_before_they_are_joined(spark, scratch):
+    folder = scratch()
+    line = "SELECT 1L l_orderkey, 7L l_partkey, 12D l_quantity, TIMESTAMP_NTZ'1970-01-02 00:00:00' l_shipdate"
+    spark.sql(line).write.parquet(f"{folder}/lineitem.parquet")
+    spark.sql("SELECT 1L o_orderkey, 3L o_custkey").write.parquet(f"{folder}/orders.parquet")
+    found = tables.ratings(spark, folder)
+    assert rows(found) == [(3, 7, 1.5, 86400)]
+    joined = found._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
+    assert "l_quantity" not in joined[0] and "l_quantity" in joined[1]
