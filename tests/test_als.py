@@ -137,3 +137,29 @@ def test_factors_are_checkpointed_every_iteration(trained, monkeypatch):
     monkeypatch.setattr(als, "ALS", Watched)
     als.fit(trained[2].train, rank=2, iterations=2, seed=1)
     assert given["checkpointInterval"] == 1
+
+
+def test_blocks_are_fewer_where_factors_would_fill_the_disk():
+    # 60 times sf0.1: an iteration sends 1.5 million factors to every block.
+    affordable = als.affordable_blocks(899_400 + 630_660, 100, 15)
+    assert affordable * 15 * (899_400 + 630_660) * 432 <= als.FIT_BYTES
+    assert als.block_count(17_219_400, 630_660, 100, 12, affordable) == 3
+    assert als.block_count(290_000, 10_000, 100, 12, als.affordable_blocks(25_000, 100, 15)) == 12
+    # Memory goes first.
+    assert als.block_count(30_000_000, 630_660, 100, 12, 1) == 4
+    assert als.block_count(105_000_000, 4_000_000, 100, 12, 1) == 100
+
+
+def test_a_fit_with_many_factors_takes_fewer_blocks_than_tasks(trained, monkeypatch):
+    given = {}
+
+    class Watched(als.ALS):
+        def __init__(self, **options):
+            given.update(options)
+            super().__init__(**options)
+
+    monkeypatch.setattr(als, "ALS", Watched)
+    monkeypatch.setattr(als, "FIT_BYTES", 1)
+    model = als.fit(trained[2].train, rank=2, iterations=2, seed=1)
+    assert given["numUserBlocks"] == given["numItemBlocks"] == 1
+    assert model.userFactors.count() == trained[2].train.select("userId").distinct().count()
