@@ -9,7 +9,8 @@ linked sets share an indexed shingle.
   in the prefix. A list is cut into runs of comparable sizes, and an entry is skipped
   when the shingles behind the two places can no longer give the needed overlap.
 * Answer-level skipping: first each run is compared with its smallest set only. What
-  that links is one component, and lists within a component are done. Across components
+  that links is one component, and lists within a component are done. In a few turns,
+  neighbours in a list that are of different components are compared. Then, across components,
   a pair is compared only if it can link at all: |u & v| <= |u & p| + |v - p| for every
   set p that both were compared with.
 
@@ -25,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.llm.common import BROADCAST_ROWS, small, staged
@@ -37,6 +38,8 @@ MOST_FREQUENT = 1_000_000
 #: Shingles counted at once by a task, and entries of one list of a frequent shingle.
 COUNTED_AT_ONCE, LIST_LENGTH = 4_000_000, 4096
 CLASS_BYTES = 8
+#: Turns in which neighbours across components are compared, at most, and the last turn's pairs a link.
+MOST_TURNS, TURN_GAIN = 3, 20
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -282,19 +285,47 @@ def _links(compared: DataFrame) -> DataFrame:
     return compared.filter("100 * shared >= 75 * (n_a + n_b - shared)").select("a", "b")
 
 
-def _crossing(lists: DataFrame, known: DataFrame, compared: DataFrame) -> DataFrame:
-    """Pairs of different components that share an indexed shingle and may still link, not yet compared."""
+def _merged(links: DataFrame, known: DataFrame) -> DataFrame:
+    """The components that ``links`` make of the ``known`` ones."""
+    return components(links.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
+def _open_entries(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """Entries, with their components, of the lists that hold several components; ``part`` cuts long lists."""
     parts = small(known.select(F.col("node").alias("class"), "component"))
     entries = lists.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    entries = staged(entries, "entries")
     open_lists = staged(
         entries.groupBy("shingle")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("entries"))
         .filter("least < most")
-        .select("shingle"),
+        .select("shingle", F.floor(F.col("entries") / LIST_LENGTH + 1).alias("parts")),
         "open-lists",
     )
-    entries = staged(entries.join(open_lists, "shingle"), "open-entries")
+    part = F.pmod(F.xxhash64("class"), "parts").alias("part")
+    return staged(entries.join(open_lists, "shingle").select("shingle", "class", "n", "place", "component", part), "open-entries")
+
+
+def _neighbours(entries: DataFrame, compared: DataFrame, turn: int) -> DataFrame:
+    """Pairs of neighbours in a list that are of different components, at most one an entry, not yet compared.
+
+    Lists are ordered by size first, by a hash that changes with the turn later.
+    """
+    order = [F.xxhash64("class", F.lit(turn))] if turn else [F.col("n")]
+    before = F.lag(F.struct("class", "n", "place", "component")).over(
+        Window.partitionBy("shingle", "part").orderBy(*order, "class")
+    )
+    sizes = "4 * least(n, before.n) >= 3 * greatest(n, before.n)"
+    overlap = "least(n - place, before.n - before.place) >= (3 * (n + before.n) + 6) div 7"
+    pairs = (
+        entries.withColumn("before", before)
+        .filter(f"component <> before.component AND {sizes} AND {overlap}")
+        .select(F.least("class", "before.class").alias("a"), F.greatest("class", "before.class").alias("b"))
+    )
+    return staged(pairs.distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "neighbours")
+
+
+def _crossing(entries: DataFrame, compared: DataFrame) -> DataFrame:
+    """Pairs of different components that share an indexed shingle and may still link, not yet compared."""
     x, y = entries.alias("x"), entries.alias("y")
     may_link = F.expr(
         "x.shingle = y.shingle AND x.component <> y.component AND (x.n > y.n OR x.n = y.n AND x.class > y.class)"
@@ -362,8 +393,22 @@ def joined(docs: DataFrame) -> DataFrame:
     pairs = listed.filter("kind = 1").select(F.col("shingle").alias("a"), F.col("class").alias("b"))
     first = _compared(docs, classes, staged(pairs.distinct(), "pairs"), class_at)
     known = components(_links(first))
-    second = _compared(docs, classes, _crossing(lists, known, first), class_at)
-    found = components(_links(second).union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    entries = _open_entries(lists, known)
+    for turn in range(MOST_TURNS):
+        pairs = _neighbours(entries, first, turn)
+        if pairs.isEmpty():
+            break
+        turned = _compared(docs, classes, pairs, class_at)
+        links = _links(turned)
+        first = first.union(turned)
+        merged = links.count()
+        if merged:
+            known = _merged(links, known)
+            entries = _open_entries(entries.select("shingle", "class", "n", "place"), known)
+        if TURN_GAIN * merged < turned.count():
+            break
+    second = _compared(docs, classes, _crossing(entries, first), class_at)
+    found = _merged(_links(second), known)
 
     of_class = staged(
         classes.join(small(found.select(F.col("node").alias("class"), "component")), "class", "left").select(

@@ -115,3 +115,26 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     result = dict(components(edges).collect())
     assert result == {i: 100 for i in range(100, 141)} | {i: 5 for i in (5, *range(200, 230))} | {i: 300 for i in range(300, 320)}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_turns_of_neighbours_save_pairs_across_components(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(100)]
+    data = []
+    for i in range(80):
+        words = list(base)
+        for at in rng.sample(range(100), rng.randint(1, 4)):
+            words[at] = f"e{i}x{at}"
+        data.append((i, " ".join(words)))
+    compared, real = [], ngram_join._compared
+
+    def counted(docs, classes, pairs, class_at):
+        compared[-1] += pairs.count()
+        return real(docs, classes, pairs, class_at)
+
+    monkeypatch.setattr(ngram_join, "_compared", counted)
+    for turns in (ngram_join.MOST_TURNS, 0):
+        monkeypatch.setattr(ngram_join, "MOST_TURNS", turns)
+        compared.append(0)
+        assert found(spark, data) == brute(data)
+    assert compared[0] < compared[1]
