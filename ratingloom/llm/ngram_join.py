@@ -9,10 +9,11 @@ linked sets share an indexed shingle.
   in the prefix. A list is cut into runs of comparable sizes, and an entry is skipped
   when the shingles behind the two places can no longer give the needed overlap.
 * Answer-level skipping: first each run is compared with its smallest set only. What
-  that links is one component, and lists within a component are done. In a few turns,
-  neighbours in a list that are of different components are compared. Then, across components,
-  a pair is compared only if it can link at all: |u & v| <= |u & p| + |v - p| for every
-  set p that both were compared with.
+  that links is one component, and lists within a component are done. Every class has a
+  sketch, which bounds from below in how many elements two sets differ. The components of
+  a list are then bridged by a tree of its closest sketches, fewer pairs than entries. Then,
+  across components, a pair is compared only if it can link at all: by its sketches, and
+  as |u & v| <= |u & p| + |v - p| for every set p that both were compared with.
 
 No pair of different components whose sets can link is left out, so the components are
 exact. Defined results: null or wordless texts have no shingles, are linked with nothing
@@ -26,7 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm.common import BROADCAST_ROWS, small, staged
@@ -38,8 +39,11 @@ MOST_FREQUENT = 1_000_000
 #: Shingles counted at once by a task, and entries of one list of a frequent shingle.
 COUNTED_AT_ONCE, LIST_LENGTH = 4_000_000, 4096
 CLASS_BYTES = 8
-#: Turns in which neighbours across components are compared, at most, and the last turn's pairs a link.
-MOST_TURNS, TURN_GAIN = 3, 20
+#: A sketch holds the parity of a set's hashes in 64 times so many buckets.
+SKETCH_WORDS = 8
+SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+#: Turns in which the components of a list are bridged, at most; one is enough where no list is cut.
+MOST_TURNS = 3
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -50,8 +54,19 @@ def _class(digest: bytes, at: int) -> int:
     return int.from_bytes(digest[at : at + CLASS_BYTES], "big", signed=True)
 
 
+def _sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parities by bucket: sets u and v differ in at least as many elements as their sketches do in bits."""
+    bucket = (hashes % np.uint64(64 * SKETCH_WORDS)).astype(np.int64)
+    return np.packbits((np.bincount(bucket, minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _differing(x: str, y: str) -> str:
+    """SQL for the bits in which the sketches of x and y differ."""
+    return " + ".join(f"bit_count({x}.{s} ^ {y}.{s})" for s in SKETCH)
+
+
 def _described(batches):
-    """n and digest of every set, and how often shingles repeat among the distinct sets of a stretch of rows."""
+    """n, digest and sketch of every set, and how often shingles repeat among the distinct sets of a stretch of rows."""
     held, size, seen, id_type = [], 0, set(), None
 
     def repeated():
@@ -63,16 +78,18 @@ def _described(batches):
                 pa.array(counts[more]),
                 pa.nulls(int(more.sum()), pa.binary()),
                 pa.array(hashes[more].view(np.int64)),
+                *(pa.nulls(int(more.sum()), pa.int64()) for _ in SKETCH),
             ],
-            ["doc_id", "n", "digest", "shingle"],
+            ["doc_id", "n", "digest", "shingle", *SKETCH],
         )
 
     for batch in batches:
         id_type = batch.column("doc_id").type
-        counts, digests = [], []
+        counts, digests, sketches = [], [], [np.zeros((0, SKETCH_WORDS), np.int64)]
         for hashes in shingle_sets(batch.column("text").to_pylist()):
             digests.append(_digest(hashes))
             counts.append(len(hashes))
+            sketches.append(_sketch(hashes)[None])
             if digests[-1] not in seen:
                 seen.add(digests[-1])
                 held.append(hashes)
@@ -86,8 +103,9 @@ def _described(batches):
                 pa.array(counts, pa.int64()),
                 pa.array(digests, pa.binary()),
                 pa.nulls(len(counts), pa.int64()),
+                *map(pa.array, np.ascontiguousarray(np.concatenate(sketches).T)),
             ],
-            ["doc_id", "n", "digest", "shingle"],
+            ["doc_id", "n", "digest", "shingle", *SKETCH],
         )
     if held:
         yield repeated()
@@ -274,7 +292,7 @@ def _compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame, class_at: i
     """``pairs`` (a, b: classes) with n_a, n_b and the size of their intersection."""
     involved = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
     texts = staged(
-        _texts_of(docs, classes.join(involved, "class"), class_at).dropDuplicates(["class"]), "texts"
+        _texts_of(docs, classes.select("class", "doc_id").join(involved, "class"), class_at).dropDuplicates(["class"]), "texts"
     )
     side = lambda x: texts.select(F.col("class").alias(x), F.col("text").alias(f"text_{x}"))
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
@@ -290,10 +308,10 @@ def _merged(links: DataFrame, known: DataFrame) -> DataFrame:
     return components(links.union(known.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
-def _open_entries(lists: DataFrame, known: DataFrame) -> DataFrame:
-    """Entries, with their components, of the lists that hold several components; ``part`` cuts long lists."""
-    parts = small(known.select(F.col("node").alias("class"), "component"))
-    entries = lists.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
+def _open_entries(lists: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Entries, with components and sketches, of the lists that hold several components; ``parts`` cuts long lists."""
+    of = small(known.select(F.col("node").alias("class"), "component"))
+    entries = lists.join(of, "class", "left").withColumn("component", F.coalesce("component", "class"))
     open_lists = staged(
         entries.groupBy("shingle")
         .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("entries"))
@@ -301,27 +319,77 @@ def _open_entries(lists: DataFrame, known: DataFrame) -> DataFrame:
         .select("shingle", F.floor(F.col("entries") / LIST_LENGTH + 1).alias("parts")),
         "open-lists",
     )
-    part = F.pmod(F.xxhash64("class"), "parts").alias("part")
-    return staged(entries.join(open_lists, "shingle").select("shingle", "class", "n", "place", "component", part), "open-entries")
+    found = entries.join(open_lists, "shingle").join(classes.select("class", *SKETCH), "class")
+    return staged(found.select("shingle", "class", "n", "place", "component", "parts", *SKETCH), "open-entries")
+
+
+def _tree(n: np.ndarray, place: np.ndarray, component: np.ndarray, sketch: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of places that join the components of a list by what may link, closest sketches first."""
+    far, done = 1 << 20, 1 << 21
+    distance, nearest = np.full(len(n), far), np.zeros(len(n), np.int64)
+    pairs, last = [], 0
+    for _ in range(len(n) - 1):
+        both = n + n[last]
+        differ = np.bitwise_count(sketch ^ sketch[last]).sum(axis=1, dtype=np.int64)
+        can = (
+            (4 * np.minimum(n, n[last]) >= 3 * np.maximum(n, n[last]))
+            & (np.minimum(n - place, n[last] - place[last]) >= (3 * both + 6) // 7)
+            & (differ <= both // 7)
+        )
+        differ[~can] = far
+        differ[component == component[last]] = -1
+        distance[last] = done
+        closer = (differ < distance) & (distance < done)
+        distance[closer], nearest[closer] = differ[closer], last
+        last = int(np.argmin(distance))
+        if 0 <= distance[last] < far:
+            pairs.append((int(nearest[last]), last))
+    return pairs
+
+
+def _bridges(batches):
+    """a, b: classes of the pairs of :func:`_tree` for every list, or part of one, of sorted entries."""
+    carried: pa.RecordBatch | None = None
 
+    def bridged(table: pa.Table):
+        shingle, part, own, n, place, component = (
+            table.column(c).to_numpy() for c in ("shingle", "part", "class", "n", "place", "component")
+        )
+        if not len(shingle):
+            return
+        sketch = np.stack([table.column(c).to_numpy() for c in SKETCH], axis=1).view(np.uint64)
+        new = np.flatnonzero((shingle[1:] != shingle[:-1]) | (part[1:] != part[:-1])) + 1
+        pairs = set()
+        for start, end in zip([0, *new.tolist()], [*new.tolist(), len(own)], strict=True):
+            at = slice(start, end)
+            for i, j in _tree(n[at], place[at], component[at], sketch[at]):
+                a, b = int(own[start + i]), int(own[start + j])
+                pairs.add((min(a, b), max(a, b)))
+        columns = zip(*pairs, strict=True) if pairs else [[], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if carried is None else [carried, batch])
+        if not table.num_rows:
+            continue
+        shingle, part = table.column("shingle").to_numpy(), table.column("part").to_numpy()
+        open_from = int(np.argmax((shingle == shingle[-1]) & (part == part[-1])))
+        yield from bridged(table.slice(0, open_from))
+        carried = table.slice(open_from).combine_chunks().to_batches()[0]
+    if carried is not None:
+        yield from bridged(pa.Table.from_batches([carried]))
 
-def _neighbours(entries: DataFrame, compared: DataFrame, turn: int) -> DataFrame:
-    """Pairs of neighbours in a list that are of different components, at most one an entry, not yet compared.
 
-    Lists are ordered by size first, by a hash that changes with the turn later.
+def _bridging(entries: DataFrame, compared: DataFrame, turn: int) -> DataFrame:
+    """Fewer pairs than entries, not yet compared, that join the components of each list if they link.
+
+    Long lists are cut into parts in a way that changes with the turn.
     """
-    order = [F.xxhash64("class", F.lit(turn))] if turn else [F.col("n")]
-    before = F.lag(F.struct("class", "n", "place", "component")).over(
-        Window.partitionBy("shingle", "part").orderBy(*order, "class")
-    )
-    sizes = "4 * least(n, before.n) >= 3 * greatest(n, before.n)"
-    overlap = "least(n - place, before.n - before.place) >= (3 * (n + before.n) + 6) div 7"
-    pairs = (
-        entries.withColumn("before", before)
-        .filter(f"component <> before.component AND {sizes} AND {overlap}")
-        .select(F.least("class", "before.class").alias("a"), F.greatest("class", "before.class").alias("b"))
-    )
-    return staged(pairs.distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "neighbours")
+    part = F.pmod(F.xxhash64("class", F.lit(turn)), "parts").alias("part")
+    dealt = entries.select("shingle", part, "class", "n", "place", "component", *SKETCH)
+    ordered = dealt.repartition("shingle", "part").sortWithinPartitions("shingle", "part", "class")
+    pairs = ordered.mapInArrow(_bridges, "a bigint, b bigint").distinct()
+    return staged(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "bridges")
 
 
 def _crossing(entries: DataFrame, compared: DataFrame) -> DataFrame:
@@ -330,6 +398,7 @@ def _crossing(entries: DataFrame, compared: DataFrame) -> DataFrame:
     may_link = F.expr(
         "x.shingle = y.shingle AND x.component <> y.component AND (x.n > y.n OR x.n = y.n AND x.class > y.class)"
         " AND 4 * y.n >= 3 * x.n AND least(x.n - x.place, y.n - y.place) >= (3 * (x.n + y.n) + 6) div 7"
+        f" AND {_differing('x', 'y')} <= (x.n + y.n) div 7"
     )
     pairs = x.join(y, may_link).select(
         F.least("x.class", "y.class").alias("a"),
@@ -365,9 +434,13 @@ def joined(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     described = staged(
-        docs.mapInArrow(_described, f"doc_id {doc_type}, n bigint, digest binary, shingle bigint"), "described"
+        docs.mapInArrow(
+            _described,
+            f"doc_id {doc_type}, n bigint, digest binary, shingle bigint, {', '.join(f'{s} bigint' for s in SKETCH)}",
+        ),
+        "described",
     )
-    sets = described.filter("digest IS NOT NULL").select("doc_id", "n", "digest")
+    sets = described.filter("digest IS NOT NULL").select("doc_id", "n", "digest", *SKETCH)
     frequent = spark.sparkContext.broadcast(_frequent(described.filter("shingle IS NOT NULL").select("shingle", "n")))
 
     # A class is named by eight bytes of its digest: the first that no two digests share.
@@ -380,7 +453,12 @@ def joined(docs: DataFrame) -> DataFrame:
     else:
         raise ValueError("digests share all their bytes")
     sets = named.drop("digest")
-    classes = staged(sets.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id")), "classes")
+    classes = staged(
+        sets.filter("n > 0")
+        .groupBy("class")
+        .agg(F.min("doc_id").alias("doc_id"), *(F.min(s).alias(s) for s in SKETCH)),
+        "classes",
+    )
 
     index = docs.mapInArrow(
         _indexer(frequent, class_at), "shingle bigint, part bigint, class bigint, n bigint, place bigint"
@@ -393,25 +471,26 @@ def joined(docs: DataFrame) -> DataFrame:
     pairs = listed.filter("kind = 1").select(F.col("shingle").alias("a"), F.col("class").alias("b"))
     first = _compared(docs, classes, staged(pairs.distinct(), "pairs"), class_at)
     known = components(_links(first))
-    entries = _open_entries(lists, known)
+    entries = _open_entries(lists, known, classes)
     for turn in range(MOST_TURNS):
-        pairs = _neighbours(entries, first, turn)
+        pairs = _bridging(entries, first, turn)
         if pairs.isEmpty():
             break
+        cut = not entries.filter("parts > 1").isEmpty()
         turned = _compared(docs, classes, pairs, class_at)
         links = _links(turned)
         first = first.union(turned)
-        merged = links.count()
-        if merged:
-            known = _merged(links, known)
-            entries = _open_entries(entries.select("shingle", "class", "n", "place"), known)
-        if TURN_GAIN * merged < turned.count():
+        if links.isEmpty():
+            break
+        known = _merged(links, known)
+        entries = _open_entries(entries.select("shingle", "class", "n", "place"), known, classes)
+        if not cut:
             break
     second = _compared(docs, classes, _crossing(entries, first), class_at)
     found = _merged(_links(second), known)
 
     of_class = staged(
-        classes.join(small(found.select(F.col("node").alias("class"), "component")), "class", "left").select(
+        classes.select("class", "doc_id").join(small(found.select(F.col("node").alias("class"), "component")), "class", "left").select(
             "class", F.coalesce("component", "class").alias("component"), "doc_id"
         ),
         "of-class",

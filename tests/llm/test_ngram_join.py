@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ratingloom.llm import ngram_join
+from ratingloom.llm import graph, ngram_join
 from ratingloom.llm.graph import components
 from ratingloom.llm.shingles import shingle_sets
 
@@ -138,3 +138,49 @@ def test_turns_of_neighbours_save_pairs_across_components(spark, monkeypatch):
         compared.append(0)
         assert found(spark, data) == brute(data)
     assert compared[0] < compared[1]
+
+
+def edited(n, seed=6, length=150):
+    """Copies of one text with up to ten words changed: near ones link in a cluster, the others with little or nothing."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(length)]
+    data = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(length), rng.randint(1, 10)):
+            words[at] = f"e{i}x{at}"
+        data.append((i, " ".join(words)))
+    return data
+
+
+def test_pairs_of_a_group_of_near_copies_grow_with_the_group(spark, monkeypatch):
+    compared, real = [], ngram_join._compared
+
+    def counted(docs, classes, pairs, class_at):
+        compared[-1] += pairs.count()
+        return real(docs, classes, pairs, class_at)
+
+    monkeypatch.setattr(ngram_join, "_compared", counted)
+    for n in (100, 400):
+        data = edited(n)
+        compared.append(0)
+        assert found(spark, data) == brute(data)
+    assert compared[1] < 6 * compared[0]  # sixteen times as many pairs in the group
+    assert compared[1] < 8 * 400
+
+
+def test_sets_differ_in_as_many_elements_as_their_sketches():
+    rng = random.Random(7)
+    sets = list(shingle_sets([t for _, t in corpus(7, 60)] + [t for _, t in edited(30)] + ["", "a b"]))
+    for _ in range(500):
+        u, v = rng.choice(sets), rng.choice(sets)
+        bits = int.from_bytes((ngram_join._sketch(u) ^ ngram_join._sketch(v)).tobytes(), "big").bit_count()
+        assert bits <= len(set(u.tolist()) ^ set(v.tolist()))
+
+
+def test_components_of_few_and_of_many_edges_are_the_same(spark, monkeypatch):
+    rng = random.Random(8)
+    edges = spark.createDataFrame([(rng.randrange(300), rng.randrange(300)) for _ in range(170)], "a bigint, b bigint")
+    few = sorted(map(tuple, components(edges).collect()))
+    monkeypatch.setattr(graph, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, components(edges).collect())) == few
