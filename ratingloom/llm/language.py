@@ -27,7 +27,8 @@ from ratingloom.llm.common import held_out, pieces
 PROFILE_LENGTH = 400
 #: A profile list larger than this is refused: it is shipped to every task.
 MOST_LANGUAGES = 5_000
-SLICE_CHARS, SLICE_TEXTS = 1_500_000, 1_000
+#: Arrays over a slice take some 150 bytes a character.
+SLICE_CHARS, SLICE_TEXTS = 300_000, 300
 UNKNOWN = "und"
 CODE_BITS = 21
 

@@ -1,5 +1,9 @@
+import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +104,20 @@ def test_pieces_of_a_long_text_count_as_one(spark):
     expected = grams(text)
     spelled = {"".join(chr(c >> s & 0x1FFFFF) for s in (42, 21, 0)).lstrip("\x00"): n for c, n in zip(codes.tolist(), counts.tolist())}
     assert spelled == expected
+
+
+def test_memory_of_a_task_does_not_follow_its_texts():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghij klmnop") for _ in range(900)) for _ in range(2_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["xx", "yy"] * 1_000)], ["text", "lang"])
+    counted = pa.Table.from_batches(list(language._count_by_language([batch])))
+    most = pc.sort_indices(counted["n"], [("", "descending")])[:400]
+    learned = counted.take(most).append_column("place", pa.array(range(400)))
+    known = language.Profiles(learned.select(["lang", "gram", "place"]), 400)
+    peaks = []
+    for work in (lambda: list(language._count_by_language([batch])), lambda: language._judged(texts, known)):
+        tracemalloc.start()
+        work()
+        peaks.append(tracemalloc.get_traced_memory()[1] >> 20)
+        tracemalloc.stop()
+    assert max(peaks) < 100, peaks
