@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom import fixed_values as fixed
+from ratingloom.operators.alternating import alternate
 from ratingloom.operators.preparation import IdMappings
 from ratingloom.operators.scoring import as_lists, top_items
 from ratingloom.operators.vectors import ItemFactors
@@ -22,6 +23,14 @@ CHECKPOINT_INTERVAL = 1
 BLOCK_BYTES, BLOCK_RATINGS = 512 << 20, 8_000_000
 #: What the blocks of one fit send each other, at most, where memory allows: all of it goes through shuffle files.
 FIT_BYTES = 32 << 30
+#: Multiplications of an iteration of MLlib beyond which the iterations run over stored factor tables instead
+#: (some 60 s of one core), and blocks a side up to which they do: each of them reads a whole table.
+MLLIB_WORK, STORED_BLOCKS = 50_000_000_000, 200
+
+
+def iteration_work(ratings: int, factors: int, rank: int) -> int:
+    """Multiplications of one iteration of MLlib: half a square of the rank for each rating and side, a Cholesky for each factor."""
+    return ratings * rank**2 + factors * rank**3 // 3
 
 
 def factor_bytes(rank: int) -> int:
@@ -65,18 +74,27 @@ def fit(
     with their number, so many factors get fewer blocks than there are tasks. Factors are checkpointed to
     the shared folder every iteration: that bounds what a lost executor costs, and the
     shuffle files of the iterations before are deleted then.
+
+    A fit that is a lot of work (``MLLIB_WORK``) takes its checks and its random start from
+    MLlib and its iterations from :func:`alternate`: the same steps, so the same model but for
+    rounding. Nothing is sent between blocks then, and there is a block a task.
     """
     ensure_checkpointing(train.sparkSession)
-    if not (user_blocks and item_blocks):
-        size = train.agg(
-            F.count("*").alias("ratings"),
-            F.approx_count_distinct("userId").alias("users"),
-            F.approx_count_distinct("movieId").alias("movies"),
-        ).first()
-        tasks = train.sparkSession.sparkContext.defaultParallelism
-        affordable = affordable_blocks(size.users + size.movies, rank, iterations)
-        user_blocks = user_blocks or block_count(size.ratings, size.movies, rank, tasks, affordable)
-        item_blocks = item_blocks or block_count(size.ratings, size.users, rank, tasks, affordable)
+    size = train.agg(
+        F.count("*").alias("ratings"),
+        F.approx_count_distinct("userId").alias("users"),
+        F.approx_count_distinct("movieId").alias("movies"),
+    ).first()
+    tasks = train.sparkSession.sparkContext.defaultParallelism
+    least = [block_count(size.ratings, others, rank, tasks) for others in (size.movies, size.users)]
+    stored = (
+        reg > 0
+        and iteration_work(size.ratings, size.users + size.movies, rank) > MLLIB_WORK
+        and max(user_blocks or least[0], item_blocks or least[1]) <= STORED_BLOCKS
+    )
+    affordable = None if stored else affordable_blocks(size.users + size.movies, rank, iterations)
+    user_blocks = user_blocks or block_count(size.ratings, size.movies, rank, tasks, affordable)
+    item_blocks = item_blocks or block_count(size.ratings, size.users, rank, tasks, affordable)
     als = ALS(
         userCol="userId",
         itemCol="movieId",
@@ -84,7 +102,7 @@ def fit(
         coldStartStrategy=fixed.ALS_COLD_START,
         nonnegative=False,
         rank=rank,
-        maxIter=iterations,
+        maxIter=0 if stored else iterations,
         regParam=reg,
         numUserBlocks=user_blocks,
         numItemBlocks=item_blocks,
@@ -93,7 +111,15 @@ def fit(
         finalStorageLevel=fixed.ALS_FINAL_STORAGE,
         seed=seed,
     )
-    return als.fit(train.select("userId", "movieId", "rating"))
+    train = train.select("userId", "movieId", "rating")
+    model = als.fit(train)
+    if not stored:
+        return model
+    users, items = alternate(
+        train, model.userFactors, model.itemFactors, rank, iterations, reg, user_blocks, item_blocks
+    )
+    made = train.sparkSession._jvm.org.apache.spark.ml.recommendation.ALSModel
+    return als._copyValues(ALSModel(made(model.uid, rank, users._jdf, items._jdf)))
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
