@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ratingloom import fixed_values as fixed
 from ratingloom.functions import dot, guarded_ratio, ideal_dcg, is_good, last_n, release_year
 from ratingloom.operators import als
+from ratingloom.operators.alternating import weighted_sums
 from ratingloom.operators.fold_in import fold_in, fold_in_split, fold_in_two, gram_sums, probe
 from ratingloom.operators.positions import dense_ids
 from ratingloom.operators.preparation import IdMappings, active_only, clean, counts, split_at, split_point, time_split
@@ -829,12 +830,13 @@ def als_normal_equations(spark, folder):
     model, prepared = _fitted(spark, folder)
     users, items = als.factor_tables(model)
     rated = _products(model, prepared.train.select("userId", "movieId", "rating"))
-    rated = rated.withColumn("error", F.col("product") - F.col("rating")).join(items, "movieId")
-    parts = rated.select("userId", "error", F.posexplode("features").alias("d", "x"))
-    sums = parts.groupBy("userId", "d").agg(F.sum(F.col("error") * F.col("x")).alias("slope"), F.count("*").alias("n"))
-    own = users.select("userId", F.posexplode("features").alias("d", "u"))
-    left = F.abs(F.col("slope") + fixed.ALS_REG * F.col("n") * F.col("u")) / F.col("n")
-    solved = sums.join(own, ["userId", "d"]).groupBy("userId").agg((F.max(left) < 1e-3).alias("solved"))
+    errors = rated.select("userId", "movieId", (F.col("product") - F.col("rating")).alias("rating"))
+    tasks = spark.sparkContext.defaultParallelism
+    blocks = als.block_count(prepared.train.count(), items.count(), model.rank, tasks)
+    slopes = weighted_sums(errors, items, blocks)
+    gradient = F.zip_with("sums", "features", lambda slope, u: F.abs(slope + fixed.ALS_REG * F.col("n") * u))
+    left = F.array_max(gradient) / F.col("n")
+    solved = slopes.join(users, "userId").select("userId", (left < 1e-3).alias("solved"))
     return prepared.mappings.restore(solved)
 
 

@@ -93,3 +93,17 @@ def test_factors_may_come_before_the_ratings_that_name_them():
     for order in ([factors, rated], [rated, factors], [factors, rated.slice(0, 1), rated.slice(1)], mixed):
         list(alternating._met(iter(order), 3, look))
     assert seen == [([1, 1, 2], [1, 2, 3], [[2, 3], [6, 7], [6, 7]])] * 4
+
+
+def test_factors_are_added_up_by_user_without_a_row_per_number(spark, ratings, monkeypatch):
+    monkeypatch.setattr(alternating, "_SOLVE_BYTES", 100)  # several parts a user
+    vectors = np.random.default_rng(1).normal(size=(120, 3)).astype(np.float32)
+    items = spark.createDataFrame([(m, v.tolist()) for m, v in enumerate(vectors)], "movieId INT, features ARRAY<FLOAT>")
+    wanted = {}
+    for user, movie, rating in rows(ratings):
+        n, total = wanted.get(user, (0, 0))
+        wanted[user] = n + 1, total + vectors[movie].astype(np.float64) * rating
+    found = alternating.weighted_sums(ratings, items, 4).collect()
+    assert {row.userId: row.n for row in found} == {user: n for user, (n, _) in wanted.items()}
+    for row in found:
+        assert row.sums == pytest.approx(wanted[row.userId][1].tolist(), abs=1e-6)
